@@ -20,7 +20,9 @@ def decimal_text(value: Column) -> Column:
     """Shortest decimal text of a double, as other engines print it.
 
     Plain digits for magnitudes in [1e-4, 1e16), else ``1.5e-07`` form. Spark's
-    own cast switches to exponents much earlier (``1.23456789E7``).
+    own cast switches to exponents much earlier (``1.23456789E7``). The digits are
+    the JVM's; before Java 19 a value of 17 significant digits may get one more
+    than the shortest text has.
     """
     plain = F.regexp_replace(
         value.try_cast(T.DecimalType(38, 22)).cast("string"), r"(\.\d+?)0+$", "$1"
@@ -35,6 +37,7 @@ def decimal_text(value: Column) -> Column:
     size = F.abs(value)
     return (
         F.when(value == 0, F.lit("0.0"))
+        .when((size >= 1e-3) & (size < 1e7), raw)
         .when(F.isnan(value) | (size == float("inf")), F.lower(raw))
         .when((size >= 1e-4) & (size < 1e16), plain)
         .otherwise(F.concat(mantissa, exponent))
@@ -48,6 +51,16 @@ def iso_text(value: Column) -> Column:
     )
 
 
+def _bits_text(value: Column) -> Column:
+    """A number for a value of at most eight bytes, as text.
+
+    xxHash64 of a single such value is a bijection of its bits (every step of it
+    can be undone), so different values get different numbers, without the cost
+    of formatting a double or a time.
+    """
+    return F.when(value.isNotNull(), F.xxhash64(value)).cast("string")
+
+
 def canonical_text(value: Column, dtype: T.DataType, *, portable: bool = False) -> Column:
     """One text per value, decided by the declared type; null stays null.
 
@@ -57,13 +70,9 @@ def canonical_text(value: Column, dtype: T.DataType, *, portable: bool = False)
     if isinstance(dtype, T.StringType):
         return value
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        if portable:
-            return decimal_text(value.cast("double"))
-        return F.when(value == 0, F.lit("0.0")).otherwise(value.cast("string"))
-    if isinstance(dtype, T.TimestampType):
-        return iso_text(value) if portable else F.unix_micros(value).cast("string")
-    if isinstance(dtype, T.TimestampNTZType):
-        return iso_text(value) if portable else value.cast("string")
+        return decimal_text(value.cast("double")) if portable else _bits_text(value)
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        return iso_text(value) if portable else _bits_text(value)
     if isinstance(dtype, T.BinaryType):
         return F.lower(F.hex(value))
     if isinstance(dtype, (T.ArrayType, T.StructType, T.MapType)):
@@ -71,6 +80,16 @@ def canonical_text(value: Column, dtype: T.DataType, *, portable: bool = False)
     return value.cast("string")
 
 
+_FREE_TEXT = (T.StringType, T.ArrayType, T.StructType, T.MapType)
+
+
+def _marked_text(value: Column, dtype: T.DataType) -> Column:
+    text = canonical_text(value, dtype)
+    if isinstance(dtype, _FREE_TEXT):
+        return F.concat(F.length(text).cast("string"), F.lit(":"), text)
+    return text
+
+
 def row_checksum(
     schema: T.StructType,
     columns: Sequence[str] | None = None,
@@ -80,9 +99,10 @@ def row_checksum(
 ) -> Column:
     """SHA-256 over the named columns (default: all but the sync columns).
 
-    Each value is written as ``length:text`` and null as ``~``, so two rows get
-    one digest only if all their values are equal. ``legacy`` joins the texts by
-    ``|`` with null as an empty text, which is not injective.
+    Values are joined by ``;``, null as ``~``; free text carries its length in
+    front and no other text contains a ``;``, so two rows get one digest only if
+    all their values are equal. ``legacy`` joins portable texts by ``|`` with null
+    as an empty text, which is not injective.
     ``on_missing='null'`` gives a null digest for an unknown column.
     """
     names = list(columns) if columns else [f.name for f in schema if f.name not in SYNC_COLUMNS]
@@ -91,16 +111,12 @@ def row_checksum(
         if on_missing == "null":
             return F.lit(None).cast("string")
         raise ValueError(f"checksum columns not found: {missing}")
-    texts = [canonical_text(F.col(f"`{n}`"), schema[n].dataType, portable=legacy) for n in names]
     if legacy:
+        texts = [canonical_text(F.col(f"`{n}`"), schema[n].dataType, portable=True) for n in names]
         joined = F.concat_ws("|", *[F.coalesce(t, F.lit("")) for t in texts])
     else:
-        joined = F.concat(
-            *[
-                F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("~"))
-                for t in texts
-            ]
-        )
+        marked = [_marked_text(F.col(f"`{n}`"), schema[n].dataType) for n in names]
+        joined = F.concat_ws(";", *[F.coalesce(t, F.lit("~")) for t in marked])
     return F.sha2(joined, 256)
 
 

@@ -47,6 +47,13 @@ def dedupe_source(
     return keyed.unionByName(source.where(_any_null(keys)))
 
 
+def distinct_keys(source: DataFrame, keys: Sequence[str]) -> int:
+    """Rows left after ``dedupe_source``, counted from the key columns alone."""
+    names = [quoted(k) for k in keys]
+    keyed = source.where(~_any_null(keys)).select(*names).distinct().count()
+    return keyed + source.where(_any_null(keys)).count()
+
+
 def duplicate_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, with their row counts."""
     return (

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections import Counter
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -45,7 +46,8 @@ def split_wide(df: DataFrame, sheet: str = "", *, keep_empty: bool = False) -> d
     found = {}
     for number, columns in table_columns(df.columns).items():
         names = plain_names(columns)
-        table = df.select(*[F.col(quoted(c)).alias(names[c]) for c in columns]).dropna(how="all")
+        filled = reduce(lambda a, b: a | b, [F.col(quoted(c)).isNotNull() for c in columns])
+        table = df.where(filled).select(*[F.col(quoted(c)).alias(names[c]) for c in columns])
         if keep_empty or not table.isEmpty():
             found[f"{sheet}_table_{number}"] = table
     return found

@@ -144,13 +144,9 @@ def coerce_rejects(spark: SparkSession, sf: str) -> DataFrame:
     "row_checksum",
     """
     SELECT c_custkey,
-           sha256(concat(
-               length(CAST(c_custkey AS VARCHAR)), ':', CAST(c_custkey AS VARCHAR),
-               length(c_name), ':', c_name,
-               CASE WHEN c_acctbal < 0 THEN '~'
-                    ELSE concat(length(CAST(c_nationkey AS VARCHAR)), ':', CAST(c_nationkey AS VARCHAR))
-               END,
-               length(c_mktsegment), ':', c_mktsegment)) AS row_checksum
+           sha256(concat_ws(';', c_custkey, length(c_name) || ':' || c_name,
+                            CASE WHEN c_acctbal < 0 THEN '~' ELSE CAST(c_nationkey AS VARCHAR) END,
+                            length(c_mktsegment) || ':' || c_mktsegment)) AS row_checksum
     FROM customer
     """,
 )

@@ -95,6 +95,7 @@ def sync(
         wide = schema.widen(prepared.schema)
         writers.create_table(spark, table, wide, partition_by=partition_by)
     else:
+        spark.catalog.refreshTable(table)
         writers.add_sync_columns(spark, table)
     target = spark.table(table)
 
@@ -127,9 +128,12 @@ def sync(
     rows_read = staged_source.count()
     stamp = F.lit(run_time or dt.datetime.now(dt.timezone.utc)).cast("timestamp")
     if keys:
-        inserted, updated, distinct = _merge_into(
+        inserted, updated = _merge_into(
             spark, table, target, good, keys, order_by, stamp, partition_by, strategy
         )
+        distinct = inserted + updated
+        if distinct < rows_read - skipped:
+            distinct = merge.distinct_keys(good, keys)
     else:
         before = target.count()
         distinct = good.select(SYNC_CHECKSUM).distinct().count()
@@ -159,10 +163,9 @@ def _merge_into(
     stamp: Column,
     partition_by: Sequence[str],
     strategy: str,
-) -> tuple[int, int, int]:
-    """Merge and count; returns inserted, updated and distinct source keys."""
+) -> tuple[int, int]:
+    """Merge and count; returns inserted and updated rows."""
     single = merge.dedupe_source(good, keys, order_by)
-    distinct = single.select(*keys).count()
     if not partition_by:
         partition_by = [
             c.name for c in spark.catalog.listColumns(table) if c.isPartition and c.name in keys
@@ -187,7 +190,7 @@ def _merge_into(
         after = spark.table(table)
     written = after.where(F.col(SYNC_UPDATED_AT) == stamp).count()
     inserted = after.count() - before
-    return inserted, written - inserted, distinct
+    return inserted, written - inserted
 
 
 def _complete(rows: DataFrame, target: DataFrame) -> DataFrame:

@@ -70,7 +70,7 @@ def scan_sheets(
                         kept = frame.reindex(columns=names)
                         kept.insert(0, "sheet", sheet)
                         kept.insert(0, "file", file)
-                        yield kept
+                        yield kept.astype(object)
                     if first_only:
                         break
 

@@ -75,12 +75,15 @@ def sync_stream(
     continuous: str | None = None,
 ) -> StreamingQuery:
     """Checksum sync of every micro-batch; a repeated batch changes nothing."""
+    caller = rows.sparkSession
 
     def take(batch: DataFrame, batch_id: int) -> None:
         sync(
             batch, table, keys=keys, order_by=order_by, strategy="delta",
             run_time=dt.datetime.now(dt.timezone.utc),
         )
+        # A micro-batch has a session of its own; the caller's remembers old files.
+        caller.catalog.refreshTable(table)
 
     return _start(rows, take, checkpoint, continuous)
 
