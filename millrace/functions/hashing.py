@@ -24,30 +24,30 @@ def decimal_text(value: Column) -> Column:
     the JVM's; before Java 19 a value of 17 significant digits may get one more
     than the shortest text has.
     """
+    value = value + F.lit(0.0)  # minus zero becomes zero
+    text = value.cast("string")
     plain = F.regexp_replace(
         value.try_cast(T.DecimalType(38, 22)).cast("string"), r"(\.\d+?)0+$", "$1"
     )
-    raw = value.cast("string")
-    mantissa = F.regexp_replace(F.substring_index(raw, "E", 1), r"\.0$", "")
-    power = F.substring_index(raw, "E", -1).try_cast("int")
+    mantissa = F.regexp_replace(F.substring_index(text, "E", 1), r"\.0$", "")
+    power = F.substring_index(text, "E", -1).try_cast("int")
     exponent = F.concat(
         F.when(power < 0, "e-").otherwise("e+"),
         F.lpad(F.abs(power).cast("string"), 2, "0"),
     )
     size = F.abs(value)
-    return (
-        F.when(value == 0, F.lit("0.0"))
-        .when((size >= 1e-3) & (size < 1e7), raw)
-        .when(F.isnan(value) | (size == float("inf")), F.lower(raw))
-        .when((size >= 1e-4) & (size < 1e16), plain)
-        .otherwise(F.concat(mantissa, exponent))
-    )
+    return F.when(
+        F.contains(text, F.lit("E")),
+        F.when((size >= 1e-4) & (size < 1e16), plain).otherwise(F.concat(mantissa, exponent)),
+    ).otherwise(text)
 
 
 def iso_text(value: Column) -> Column:
     """``2024-01-31T10:00:00``, with microseconds only where they are not zero."""
-    return F.regexp_replace(
-        F.date_format(value, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), r"\.000000$", ""
+    text = value.cast("string")
+    fraction = F.when(F.length(text) > 19, F.rpad(F.substring(text, 20, 7), 7, "0"))
+    return F.concat(
+        F.translate(F.substring(text, 1, 19), " ", "T"), F.coalesce(fraction, F.lit(""))
     )
 
 

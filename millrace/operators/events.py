@@ -277,31 +277,32 @@ def log_outcomes(
     content = F.to_json(F.struct(*RESULT_KEYS))
     order = [F.desc(order_by) if order_by is not None else content, content]
     fresh = log_rows(first_per_key(valid, ["event_id"], order), stamp)
-    current = latest_logs(logs).select(F.col("id").alias("_log_id"), "event_id")
+    current = logs.groupBy("event_id").agg(
+        F.max_by("id", F.struct("processed_at", "id")).alias("_log_id")
+    )
+    judged = fresh.join(current, "event_id", "left")
     values = [c for c in logs.columns if c not in ("id", "event_id")]
-    updates = fresh.join(current, "event_id").select(
-        F.col("_log_id").alias("id"), *[F.col(c).alias(f"_new_{c}") for c in values]
+    known = F.col("_log_id").isNotNull()
+    # New logs get a join key that matches none (ids are positive) and differs from
+    # row to row, so that they do not all meet in the shuffle partition of null.
+    changes = judged.select(
+        F.coalesce(F.col("_log_id"), -F.col("event_id")).alias("_at"),
+        known.alias("_known"),
+        F.col("event_id").alias("_new_event_id"),
+        *[F.col(c).alias(f"_new_{c}") for c in values],
     )
-    kept = logs.join(updates, "id", "left").select(
-        "id",
-        "event_id",
-        *[
-            F.when(F.col("_new_processed_at").isNotNull(), F.col(f"_new_{c}"))
-            .otherwise(F.col(c))
-            .alias(c)
-            for c in values
-        ],
+    start = next_id(logs) if start_id is None else start_id
+    changed = F.col("_known").isNotNull()
+    merged = logs.join(changes, logs["id"] == changes["_at"], "full_outer").select(
+        F.coalesce(F.col("id"), F.lit(start) + F.monotonically_increasing_id()).alias("id"),
+        F.coalesce("event_id", "_new_event_id").alias("event_id"),
+        *[F.when(changed, F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) for c in values],
     )
-    inserts = fresh.join(logs.select("event_id"), "event_id", "left_anti")
-    numbered = with_ids(inserts, next_id(logs) if start_id is None else start_id)
-    known = logs.select("event_id").distinct().withColumn("_known", F.lit(True))
-    actions = fresh.join(known, "event_id", "left").select(
-        "event_id", F.when(F.col("_known"), "updated").otherwise("inserted").alias("action")
+    actions = judged.select(
+        "event_id", F.when(known, "updated").otherwise("inserted").alias("action")
     )
     return Logged(
-        kept.unionByName(numbered.select(*kept.columns)),
-        actions,
-        checked.where("_problem IS NOT NULL"),
+        merged.select(*logs.columns), actions, checked.where("_problem IS NOT NULL")
     )
 
 
@@ -339,10 +340,12 @@ def archive_completed(store: DataFrame, logs: DataFrame) -> Archive:
         "integration_payload",
         F.col("processed_result").alias("integration_response"),
     )
-    moved = completed.select("event_id")
+    # Membership needs neither the latest log nor any payload, only the ids.
+    candidates = delivered.select("event_id")
+    moved = candidates.join(event.select("event_id"), "event_id", "left_semi")
     return Archive(
         completed,
-        event.join(moved, "event_id", "left_anti")
+        event.join(candidates, "event_id", "left_anti")
         .withColumnRenamed("event_id", "id")
         .select(*store.columns),
         logs.join(moved, "event_id", "left_anti").select(*logs.columns),

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from millrace.functions.hashing import row_checksum
 from millrace.operators.mapping import quoted
 from millrace.operators.ordered import with_neighbour
+from millrace.session import stored_rows
 
 VALID_FROM, VALID_TO, VERSION_CHECKSUM = "valid_from", "valid_to", "version_checksum"
 VERSION_COLUMNS = (VALID_FROM, VALID_TO, VERSION_CHECKSUM)
@@ -120,6 +121,8 @@ def version_intervals(
     A version equal to the one before it is left out; the interval of each ends
     where the next begins. Equal times are ordered by checksum. ``bucket`` is the
     span of time (``date_trunc`` unit) that one task sorts at once for one key.
+    The versions kept are stored in the scratch folder on the way, as the second
+    step reads them twice.
     """
     payload = [c for c in versions.columns if c != at]
     stamped = versions.withColumn(VERSION_CHECKSUM, row_checksum(versions.schema, payload))
@@ -129,5 +132,6 @@ def version_intervals(
         stamped, keys, slot, order, F.col(VERSION_CHECKSUM), "_before", following=False
     )
     kept = compared.where(~F.col("_before").eqNullSafe(F.col(VERSION_CHECKSUM))).drop("_before")
+    kept = stored_rows(kept)
     ended = with_neighbour(kept, keys, slot, order, F.col(quoted(at)), VALID_TO, following=True)
     return ended.withColumnRenamed(at, VALID_FROM)

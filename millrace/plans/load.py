@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.cleanse import drop_sheet_errors
-from millrace.operators import pii, quality, schema
+from millrace.operators import quality, schema
 from millrace.operators.mapping import map_columns, quoted, table_name
-from millrace.plans.sync import _stored_rows
+from millrace.plans.sync import replace_personal_data
+from millrace.session import Scratch
 from millrace.sources import tables, writers
 
 
@@ -76,40 +77,36 @@ def load_file(
         raise ValueError(f"table {table} exists already")
     if not exists and not auto_create:
         raise ValueError(f"table {table} does not exist")
-    source = map_columns(cleansed(df), mapping or {})
-    if pii_config:
-        stored = spark.table(pii_table) if pii_table and spark.catalog.tableExists(pii_table) else None
-        source, new_rows = pii.anonymize(
-            source, pii_config, source_system or table, pii_context, stored
-        )
-        if pii_table:
-            writers.write_table(_stored_rows(spark, new_rows), pii_table, "append")
-    if target is None:
-        target = spark.table(table).schema if exists else schema.infer_schema(source, sized=True)
-    shaped = schema.conform(source, target)
-    tagged = _stored_rows(spark, schema.coerce(shaped, target))
-    outcome = quality.load_outcome(tagged).first()
-    bad = schema.rejected(tagged)
-    errors = [
-        r.asDict(recursive=True)
-        for r in bad.orderBy(F.to_json(F.struct(*bad.columns))).limit(10).collect()
-    ]
-    if rejects and outcome["rows_rejected"]:
-        writers.write_table(bad.withColumn("table_name", F.lit(table)), rejects, "append")
-    if outcome["failed"] or outcome["status"] == "error":
-        raise LoadFailed(f"{outcome['rows_rejected']} of the rows were rejected, first: {errors[:1]}")
-    if not exists:
-        if "." in table:
-            writers.ensure_database(spark, table.rsplit(".", 1)[0])
-        writers.create_table(spark, table, target, sync_columns=False)
-    rows = schema.accepted(tagged)
-    lacking = [f for f in spark.table(table).schema if f.name not in rows.columns]
-    for f in lacking:
-        rows = rows.withColumn(f.name, F.lit(None).cast(f.dataType))
-    if if_exists == "replace":
-        writers.reload_table(rows, table)
-    else:
-        writers.write_table(rows, table, "append")
+    with Scratch(spark) as scratch:
+        source = map_columns(cleansed(df), mapping or {})
+        if pii_config:
+            source = replace_personal_data(
+                source, scratch, pii_config, source_system or table, pii_context, pii_table
+            )
+        if target is None:
+            known = spark.table(table).schema if exists else None
+            target = known or schema.infer_schema(source, sized=True)
+        tagged = scratch.keep(schema.coerce(schema.conform(source, target), target))
+        outcome = quality.load_outcome(tagged).first()
+        bad = schema.rejected(tagged)
+        content = F.to_json(F.struct(*bad.columns))
+        errors = [r.asDict(recursive=True) for r in bad.orderBy(content).limit(10).collect()]
+        if rejects and outcome["rows_rejected"]:
+            writers.write_table(bad.withColumn("table_name", F.lit(table)), rejects, "append")
+        if outcome["failed"] or outcome["status"] == "error":
+            raise LoadFailed(f"{outcome['rows_rejected']} rows were rejected, first: {errors[:1]}")
+        if not exists:
+            if "." in table:
+                writers.ensure_database(spark, table.rsplit(".", 1)[0])
+            writers.create_table(spark, table, target, sync_columns=False)
+        rows = schema.accepted(tagged)
+        for f in spark.table(table).schema:
+            if f.name not in rows.columns:
+                rows = rows.withColumn(f.name, F.lit(None).cast(f.dataType))
+        if if_exists == "replace":
+            writers.reload_table(rows, table)
+        else:
+            writers.write_table(rows, table, "append")
     return LoadResult(
         outcome["status"], outcome["rows_written"], outcome["rows_rejected"],
         outcome["error_rate"], errors, not exists,

@@ -9,8 +9,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.operators.snapshot import VALID_TO, empty_history, snapshot_step
-from millrace.plans.sync import _stored_rows
+from millrace.operators.snapshot import VALID_FROM, VALID_TO, empty_history, snapshot_step
+from millrace.session import Scratch
 from millrace.sources import writers
 
 OPEN = "is_open"
@@ -57,25 +57,21 @@ def save_snapshot(
         blank.write.partitionBy(OPEN).format("parquet").saveAsTable(table)
     stored = spark.table(table)
     opened = stored.where(F.col(OPEN)).drop(OPEN)
-    step = _stored_rows(
-        spark,
-        snapshot_step(
-            spec.source, opened, spec.keys, stamp,
-            strategy=spec.strategy, updated_at=spec.updated_at,
-        ),
-    )
-    version = [*spec.keys, "valid_from", "valid_to"]
-    closing = step.where(F.col(VALID_TO).isNotNull())
-    known = stored.where(~F.col(OPEN))
-    if spec.strategy == "check":
-        known = known.where(F.col(VALID_TO) >= stamp)
-    newly = closing.join(known.select(*version), version, "left_anti")
-    newly.select(*step.columns).withColumn(OPEN, F.lit(False)).select(
-        *stored.columns
-    ).write.insertInto(table)
-    writers.replace_partitions(
-        step.where(F.col(VALID_TO).isNull()).withColumn(OPEN, F.lit(True)), table
+    advanced = snapshot_step(
+        spec.source, opened, spec.keys, stamp, strategy=spec.strategy, updated_at=spec.updated_at
     )
+    with Scratch(spark) as scratch:
+        step = scratch.keep(advanced)
+        version = [*spec.keys, VALID_FROM, VALID_TO]
+        known = stored.where(~F.col(OPEN))
+        if spec.strategy == "check":
+            known = known.where(F.col(VALID_TO) >= stamp)
+        closing = step.where(F.col(VALID_TO).isNotNull())
+        newly = closing.join(known.select(*version), version, "left_anti")
+        newly.withColumn(OPEN, F.lit(False)).select(*stored.columns).write.insertInto(table)
+        writers.replace_partitions(
+            step.where(F.col(VALID_TO).isNull()).withColumn(OPEN, F.lit(True)), table
+        )
 
 
 def build_marts(

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from millrace.functions.hashing import SYNC_CHECKSUM, SYNC_UPDATED_AT
 from millrace.operators import merge, snapshot
 from millrace.plans.queries.registry import iso_second, registered, table
+from millrace.session import stored_rows
 
 NEW_KEYS = 1_000_000_000_000
 
@@ -117,8 +118,10 @@ def merge_action_counts(spark: SparkSession, sf: str) -> DataFrame:
 )
 def merge_delta(spark: SparkSession, sf: str) -> DataFrame:
     target = stored_customers(spark, sf)
-    changes = merge.merge_changes(
-        target, delivery(spark, sf), ["c_custkey"], F.lit(_RUN_TIME).cast("timestamp")
+    changes = stored_rows(
+        merge.merge_changes(
+            target, delivery(spark, sf), ["c_custkey"], F.lit(_RUN_TIME).cast("timestamp")
+        )
     )
     return merge.merge_delta(target, changes, ["c_custkey"]).select(
         "c_custkey", "c_name", "c_acctbal", "c_mktsegment",
@@ -219,9 +222,8 @@ def _history(spark: SparkSession, sf: str) -> DataFrame:
     days = _customer_days(spark, sf)
     history = snapshot.empty_history(spark, days[0].schema)
     for rows, day in zip(days, _DAYS, strict=True):
-        history = snapshot.snapshot(
-            rows, history, ["c_custkey"], F.lit(day).cast("timestamp")
-        )
+        run_time = F.lit(day).cast("timestamp")
+        history = stored_rows(snapshot.snapshot(rows, history, ["c_custkey"], run_time))
     return history
 
 
@@ -266,9 +268,11 @@ def scd2_timestamp_strategy(spark: SparkSession, sf: str) -> DataFrame:
     last = orders.agg(F.max("o_orderdate").alias("ordered_at"))
     history = snapshot.empty_history(spark, first.schema)
     for rows in (first, last):
-        history = snapshot.snapshot(
-            rows, history, ["o_custkey"], F.lit(_RUN_TIME).cast("timestamp"),
-            strategy="timestamp", updated_at="ordered_at",
+        history = stored_rows(
+            snapshot.snapshot(
+                rows, history, ["o_custkey"], F.lit(_RUN_TIME).cast("timestamp"),
+                strategy="timestamp", updated_at="ordered_at",
+            )
         )
     return history.select(
         "o_custkey",

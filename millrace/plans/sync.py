@@ -6,13 +6,13 @@ import datetime as dt
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.hashing import SYNC_CHECKSUM, SYNC_COLUMNS, SYNC_UPDATED_AT
 from millrace.operators import merge, pii, schema
 from millrace.operators.mapping import check_merge_keys, quoted, rename_columns
-from millrace.session import scratch_dir
+from millrace.session import Scratch
 from millrace.sources import writers
 
 
@@ -65,12 +65,15 @@ def sync(
 
     The prepared source is written once to the scratch folder, so a remote
     source is read once and every count is taken from stored rows, exact even if
-    tasks are repeated. ``strategy='delta'`` suits a source much smaller than the
+    tasks are repeated. (With ``pii_config`` it is read once more for the new
+    replacements: raw personal data is never stored on the way.) ``strategy='delta'`` suits a source much smaller than the
     table: only its changed keys meet the table. A table partitioned by columns
     of the merge key is rewritten in the touched partitions only.
     """
     if mode not in ("auto", "existing") or on_bad not in ("fail", "skip"):
         raise ValueError("mode is auto or existing; on_bad is fail or skip")
+    if strategy not in ("full", "delta", "merge_into"):
+        raise ValueError("strategy is full, delta or merge_into")
     if set(partition_by) - set(keys):
         raise ValueError("partition columns must be part of the merge key")
     spark = source.sparkSession
@@ -80,25 +83,76 @@ def sync(
     missing = [k for k in keys if k not in prepared.columns]
     if missing:
         raise ValueError(f"merge keys not in the source: {missing}")
-    if pii_config:
-        stored = spark.table(pii_table) if pii_table and spark.catalog.tableExists(pii_table) else None
-        prepared, new_rows = pii.anonymize(
-            prepared, pii_config, source_system or table, pii_context, stored
-        )
-        if pii_table:
-            writers.write_table(_stored_rows(spark, new_rows), pii_table, "append")
-
     created = not spark.catalog.tableExists(table)
     if created and mode == "existing":
         raise ValueError(f"table {table} does not exist")
-    if created:
-        wide = schema.widen(prepared.schema)
-        writers.create_table(spark, table, wide, partition_by=partition_by)
-    else:
-        spark.catalog.refreshTable(table)
-        writers.add_sync_columns(spark, table)
-    target = spark.table(table)
+    with Scratch(spark) as scratch:
+        if pii_config:
+            prepared = replace_personal_data(
+                prepared, scratch, pii_config, source_system or table, pii_context, pii_table
+            )
+        if created:
+            wide = schema.widen(prepared.schema)
+            writers.create_table(spark, table, wide, partition_by=partition_by)
+        else:
+            spark.catalog.refreshTable(table)
+            writers.add_sync_columns(spark, table)
+        target = spark.table(table)
+        tagged, required = _checked(prepared, target)
+        staged = scratch.keep(tagged)
+        skipped, errors = _rejects(staged, on_bad) if required else (0, [])
+        good = schema.accepted(staged)
+        rows_read = staged.count()
+        stamp = F.lit(run_time or dt.datetime.now(dt.timezone.utc)).cast("timestamp")
+        if keys:
+            inserted, updated = _merge_into(
+                scratch, table, target, good, keys, order_by, stamp, partition_by, strategy
+            )
+            distinct = inserted + updated
+            if distinct < rows_read - skipped:
+                distinct = merge.distinct_keys(good, keys)
+        else:
+            before = target.count()
+            fresh = merge.merge_checksum_only(target, good).withColumn(SYNC_UPDATED_AT, stamp)
+            writers.write_table(_complete(fresh, target), table, "append")
+            inserted, updated = spark.table(table).count() - before, 0
+            distinct = inserted
+            if distinct < rows_read - skipped:
+                distinct = good.select(SYNC_CHECKSUM).distinct().count()
+    return SyncResult(
+        status="success" if not skipped else ("partial" if skipped < rows_read else "error"),
+        rows_read=rows_read,
+        inserted=inserted,
+        updated=updated,
+        unchanged=distinct - inserted - updated,
+        skipped=skipped,
+        duplicates=rows_read - skipped - distinct,
+        table_created=created,
+        errors=errors,
+    )
+
 
+def replace_personal_data(
+    rows: DataFrame,
+    scratch: Scratch,
+    config: Mapping[str, object] | Sequence[str],
+    source_system: str,
+    context: str | None,
+    mapping_table: str | None,
+) -> DataFrame:
+    """Anonymised rows; new replacements are added to the mapping table first."""
+    spark = rows.sparkSession
+    if not mapping_table:
+        return pii.anonymize(rows, config, source_system, context)[0]
+    exists = spark.catalog.tableExists(mapping_table)
+    stored = spark.table(mapping_table) if exists else pii.empty_mapping(spark)
+    _, new_rows = pii.anonymize(rows, config, source_system, context, stored)
+    writers.write_table(scratch.keep(new_rows), mapping_table, "append")
+    return pii.anonymize(rows, config, source_system, context, spark.table(mapping_table))[0]
+
+
+def _checked(prepared: DataFrame, target: DataFrame) -> tuple[DataFrame, list[str]]:
+    """Source rows in the target's columns and types, with checksum and reject reasons."""
     data = schema.data_fields(target.schema)
     shaped = schema.conform(prepared, target.schema, on_extra="drop")
     report = schema.validate_frame(shaped.limit(0), target.schema)
@@ -114,47 +168,21 @@ def sync(
             *[F.when(F.col(quoted(n)).isNull(), F.lit(f"{n} is null")) for n in required],
         )
     )
-    tagged = merge.with_checksum(cast).withColumn(schema.REJECT_REASONS, lacking)
-    staged_source = _stored_rows(spark, tagged)
-    errors: list[dict] = []
-    skipped = 0
-    if required:
-        bad = staged_source.where(F.size(schema.REJECT_REASONS) > 0)
-        skipped = bad.count()
-        errors = [r.asDict(recursive=True) for r in bad.orderBy(SYNC_CHECKSUM).limit(10).collect()]
-        if skipped and on_bad == "fail":
-            raise ValueError(f"{skipped} rows lack required values, first: {errors[0]}")
-    good = schema.accepted(staged_source)
-    rows_read = staged_source.count()
-    stamp = F.lit(run_time or dt.datetime.now(dt.timezone.utc)).cast("timestamp")
-    if keys:
-        inserted, updated = _merge_into(
-            spark, table, target, good, keys, order_by, stamp, partition_by, strategy
-        )
-        distinct = inserted + updated
-        if distinct < rows_read - skipped:
-            distinct = merge.distinct_keys(good, keys)
-    else:
-        before = target.count()
-        distinct = good.select(SYNC_CHECKSUM).distinct().count()
-        fresh = merge.merge_checksum_only(target, good).withColumn(SYNC_UPDATED_AT, stamp)
-        writers.write_table(_complete(fresh, target), table, "append")
-        inserted, updated = spark.table(table).count() - before, 0
-    return SyncResult(
-        status="success" if not skipped else ("partial" if skipped < rows_read else "error"),
-        rows_read=rows_read,
-        inserted=inserted,
-        updated=updated,
-        unchanged=distinct - inserted - updated,
-        skipped=skipped,
-        duplicates=rows_read - skipped - distinct,
-        table_created=created,
-        errors=errors,
-    )
+    return merge.with_checksum(cast).withColumn(schema.REJECT_REASONS, lacking), required
+
+
+def _rejects(staged: DataFrame, on_bad: str) -> tuple[int, list[dict]]:
+    """How many rows are refused, and the first ten of them."""
+    bad = schema.rejected(staged)
+    skipped = bad.count()
+    errors = [r.asDict(recursive=True) for r in bad.orderBy(SYNC_CHECKSUM).limit(10).collect()]
+    if skipped and on_bad == "fail":
+        raise ValueError(f"{skipped} rows lack required values, first: {errors[0]}")
+    return skipped, errors
 
 
 def _merge_into(
-    spark: SparkSession,
+    scratch: Scratch,
     table: str,
     target: DataFrame,
     good: DataFrame,
@@ -165,18 +193,24 @@ def _merge_into(
     strategy: str,
 ) -> tuple[int, int]:
     """Merge and count; returns inserted and updated rows."""
+    spark = scratch.spark
     single = merge.dedupe_source(good, keys, order_by)
     if not partition_by:
         partition_by = [
             c.name for c in spark.catalog.listColumns(table) if c.isPartition and c.name in keys
         ]
     scope = target
-    if partition_by:
+    if partition_by and strategy != "merge_into":
         touched = good.select(*partition_by).distinct()
         scope = target.join(touched, list(partition_by), "left_semi").select(*target.columns)
     before = scope.count()
+    if strategy == "merge_into":
+        writers.merge_rows(_complete(single, target).withColumn(SYNC_UPDATED_AT, stamp), table, keys)
+        written = spark.table(table).where(F.col(SYNC_UPDATED_AT) == stamp).count()
+        inserted = spark.table(table).count() - before
+        return inserted, written - inserted
     if strategy == "delta":
-        changes = _stored_rows(spark, merge.merge_changes(scope, _complete(single, target), keys, stamp))
+        changes = scratch.keep(merge.merge_changes(scope, _complete(single, target), keys, stamp))
         merged = merge.merge_delta(scope, changes, keys)
     else:
         merged = merge.merge_keyed(scope, _complete(single, target), keys, stamp).drop(merge.ACTION)
@@ -199,10 +233,3 @@ def _complete(rows: DataFrame, target: DataFrame) -> DataFrame:
         if f.name not in rows.columns and f.name not in SYNC_COLUMNS:
             rows = rows.withColumn(f.name, F.lit(None).cast(f.dataType))
     return rows
-
-
-def _stored_rows(spark: SparkSession, rows: DataFrame) -> DataFrame:
-    """The rows, written once and read back: no later step computes them again."""
-    path = scratch_dir(spark, "rows")
-    rows.write.mode("errorifexists").parquet(path)
-    return spark.read.schema(rows.schema).parquet(path)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings. Each matters for skewed or very large inputs:
 # adaptive execution measures shuffle output before it picks broadcast joins and
@@ -40,3 +40,37 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="millrace-")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def stored_rows(df: DataFrame, path: str | None = None) -> DataFrame:
+    """The rows, written once to the scratch folder and read back.
+
+    This cuts the plan: what follows neither repeats the work before it nor
+    depends on executors that held it, and can count and prune the stored rows.
+    """
+    spark = df.sparkSession
+    path = path or scratch_dir(spark, "rows")
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+class Scratch:
+    """Stored rows that are deleted when the ``with`` block ends."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        path = scratch_dir(self.spark, "rows")
+        self.paths.append(path)
+        return stored_rows(df, path)
+
+    def __exit__(self, *_: object) -> None:
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        for path in self.paths:
+            folder = hadoop.Path(path)
+            folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -153,6 +154,29 @@ def replace_partitions(df: DataFrame, table: str) -> None:
         df.select(*[quoted(c) for c in columns]).write.insertInto(table, overwrite=True)
 
 
+def merge_rows(source: DataFrame, table: str, keys: Sequence[str]) -> None:
+    """Keyed checksum merge done by the table format; needs row-level support.
+
+    Plain file tables do not have it, and Spark refuses this for them.
+    """
+    on = reduce(
+        lambda a, b: a & b,
+        [F.col(f"source.{quoted(k)}") == F.col(f"{table}.{quoted(k)}") for k in keys],
+    )
+    same = F.col(f"source.{SYNC_CHECKSUM}").eqNullSafe(F.col(f"{table}.{SYNC_CHECKSUM}"))
+    columns = source.sparkSession.table(table).columns
+    values = {c: F.col(f"source.{quoted(c)}") for c in columns if c in source.columns}
+    (
+        source.alias("source")
+        .mergeInto(table, on)
+        .whenMatched(~same)
+        .update(values)
+        .whenNotMatched()
+        .insert(values)
+        .merge()
+    )
+
+
 def batch_size_for(columns: int) -> int:
     """Rows per JDBC batch: 3000, fewer for wide rows (65000 bound values)."""
     return max(1, min(3000, 65000 // max(columns, 1)))

@@ -5,11 +5,12 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from millrace.operators.events import ingest_events
+from millrace.operators.events import checked_events, ingest_events
 from millrace.plans.sync import sync
 
 BATCH = "batch_id"
@@ -20,9 +21,13 @@ STORE_SCHEMA = (
 
 
 def read_store(spark: SparkSession, store: str) -> DataFrame:
-    """Events stored by the stream so far; the folder may not exist yet."""
-    spark.createDataFrame([], STORE_SCHEMA).write.mode("append").partitionBy(BATCH).parquet(store)
-    return spark.read.schema(STORE_SCHEMA).parquet(store)
+    """Events stored by the stream so far; none before its first batch."""
+    try:
+        return spark.read.schema(STORE_SCHEMA).parquet(store)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], STORE_SCHEMA)
 
 
 def ingest_stream(
@@ -47,8 +52,6 @@ def ingest_stream(
     hourly); ``continuous`` is a trigger interval for a standing query.
     """
     if watermark:
-        from millrace.operators.events import checked_events
-
         column, delay = watermark
         tagged = checked_events(events).withWatermark(column, delay)
         events = tagged.where("_problem IS NULL").dropDuplicatesWithinWatermark(["event_hash"])

@@ -84,6 +84,8 @@ def test_sync_options(spark, database):
     assert counts(done) == (1, 0, 0, 0, 0)
     assert spark.table(name).columns == ["id", "v", "_sync_checksum", "_sync_updated_at"]
     assert target["id"].nullable is False
+    with pytest.raises(Exception, match="MERGE|row-level|UNSUPPORTED"):
+        sync(frame(spark, [(1, "b")], "id int, v string"), name, keys=["id"], strategy="merge_into")
     with pytest.raises(ValueError, match="does not fit"):
         sync(frame(spark, [("x", "a")], "id string, v string"), name, keys=["id"])
 
