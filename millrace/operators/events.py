@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from millrace.functions.cleanse import is_json
 from millrace.functions.hashing import event_hash
 from millrace.operators.merge import first_per_key
+from millrace.operators.skew import one_row_per_key
 
 EVENT_SCHEMA = (
     "id long, event_type string, event_created_at timestamp, event_data string, event_hash string"
@@ -342,7 +343,9 @@ def archive_completed(store: DataFrame, logs: DataFrame) -> Archive:
     )
     # Membership needs neither the latest log nor any payload, only the ids.
     candidates = delivered.select("event_id")
-    moved = candidates.join(event.select("event_id"), "event_id", "left_semi")
+    moved = one_row_per_key(
+        candidates.join(event.select("event_id"), "event_id", "left_semi"), ["event_id"]
+    )
     return Archive(
         completed,
         event.join(candidates, "event_id", "left_anti")

@@ -8,6 +8,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.operators.mapping import quoted
+from millrace.operators.skew import same_key, with_hot_count
+
+
+# A key of more rows than this is windowed in buckets, if it is among the hot ones.
+ROWS_PER_WINDOW = 1_000_000
 
 
 def with_neighbour(
@@ -19,30 +24,39 @@ def with_neighbour(
     out: str,
     *,
     following: bool,
+    rows_per_window: int = ROWS_PER_WINDOW,
 ) -> DataFrame:
     """Add the value of the next (or previous) row of the same key.
 
-    A plain ``lead`` sorts all rows of a key in one task. Here rows are windowed
-    per key *and* bucket, where ``bucket`` must grow with the order (a day or
-    month of the ordering time). Only the one row at the edge of a bucket needs
-    its neighbour from another bucket; those edges are one row per key and bucket.
+    A plain ``lead`` sorts all rows of a key in one task. Here the rows of a hot
+    key are windowed per key *and* bucket, where ``bucket`` must grow with the
+    order (an hour or day of the ordering time). Only the row at the edge of a
+    bucket needs its neighbour from another bucket; the edges are one row per hot
+    key and bucket.
     """
     group = [quoted(k) for k in keys]
-    named = df.withColumn("_bucket", bucket).withColumn("_value", F.struct(value.alias("v")))
+    named = (
+        with_hot_count(df, keys, rows_per_window)
+        .withColumn("_bucket", F.when(F.col("_hot_rows").isNotNull(), bucket))
+        .withColumn("_value", F.struct(value.alias("v")))
+        .drop("_hot_rows")
+    )
     local = Window.partitionBy(*group, "_bucket").orderBy(*order_by)
     step = F.lead("_value") if following else F.lag("_value")
     marked = named.withColumn("_near", step.over(local))
-    place = F.struct(*[o for o in _plain(order_by)])
+    place = F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order_by)])
     pick = F.min_by if following else F.max_by
-    edges = named.groupBy(*group, "_bucket").agg(pick("_value", place).alias("_edge"))
+    edges = (
+        named.where(F.col("_bucket").isNotNull())
+        .groupBy(*group, "_bucket")
+        .agg(pick("_value", place).alias("_edge"))
+    )
     across = Window.partitionBy(*group).orderBy("_bucket")
     jump = F.lead("_edge") if following else F.lag("_edge")
-    edges = edges.withColumn("_beyond", jump.over(across)).drop("_edge")
-    joined = marked.join(edges, [*keys, "_bucket"], "left")
-    return joined.withColumn(out, F.coalesce("_near", "_beyond")["v"]).select(
-        *[quoted(c) for c in df.columns], out
+    beyond = edges.withColumn("_beyond", jump.over(across)).drop("_edge")
+    on = same_key("m", "e", keys) & (F.col("m._bucket") == F.col("e._bucket"))
+    joined = marked.alias("m").join(beyond.alias("e"), on, "left")
+    return joined.select(
+        *[F.col(f"m.{quoted(c)}") for c in df.columns],
+        F.coalesce("m._near", "e._beyond")["v"].alias(out),
     )
-
-
-def _plain(order_by: Sequence[Column]) -> list[Column]:
-    return [o.alias(f"o{i}") for i, o in enumerate(order_by)]

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.operators.mapping import quoted
+from millrace.operators.skew import one_row_per_key, with_page
 
 _COMPARE: dict[str, Callable[[Column, object], Column]] = {
     "_eq": lambda c, v: c == v,
@@ -125,11 +126,10 @@ def _related_count(
     df: DataFrame, rel: Relation, condition: Mapping[str, object], flags: dict[str, DataFrame]
 ) -> tuple[Column, DataFrame]:
     name = f"_n_related_{len(flags)}"
-    counted = (
-        where(rel.df, condition, rel.relations)
-        .groupBy(F.col(quoted(rel.theirs)).alias(rel.ours))
-        .agg(F.count("*").alias(name))
+    related = where(rel.df, condition, rel.relations).select(
+        F.col(quoted(rel.theirs)).alias(rel.ours)
     )
+    counted = one_row_per_key(related, [rel.ours], F.count("*").alias(name))
     flags[name] = counted
     return F.coalesce(F.col(name), F.lit(0)), df.join(counted, rel.ours, "left")
 
@@ -172,32 +172,26 @@ def nest_children(
     column, each with its share of the children in order: one array of all of
     them would have to fit into one task and one row.
     """
-    fields = [quoted(c) for c in (columns or [c for c in child.columns])]
+    fields = [quoted(c) for c in (columns or child.columns)]
     key = quoted(fk)
     rows = child.where(F.col(key).isNotNull())
-    place = [o.alias(f"_o{i}") for i, o in enumerate(order_by)]
+    whole = F.struct(*fields).alias("v")
     if limit is not None:
         window = Window.partitionBy(key).orderBy(*order_by)
-        rows = rows.withColumn("_rank", F.row_number().over(window)).where(F.col("_rank") <= limit)
-        item = F.struct(F.col("_rank").alias("p"), F.struct(*fields).alias("v"))
-        lists = rows.groupBy(F.col(key).alias("_fk")).agg(F.collect_list(item).alias("_items"))
-        page = F.lit(0)
-    else:
-        wide = (
-            rows.groupBy(F.col(key).alias("_fk"))
-            .agg(F.count("*").alias("_n"))
-            .where(F.col("_n") > page_size)
-        )
-        item = F.struct(*place, F.struct(*fields).alias("v"))
-        spread = rows.withColumn("_item", item).join(
-            wide, F.col(key) == F.col("_fk"), "left"
+        ranked = rows.withColumn("_p", F.row_number().over(window)).where(F.col("_p") <= limit)
+        placed = ranked.select(
+            F.col(key).alias("_fk"), F.struct("_p", whole).alias("_item"), F.lit(0).alias("_page")
         )
-        pages = F.ceil(F.col("_n") / page_size)
-        number = F.coalesce(F.pmod(F.xxhash64("_item"), pages), F.lit(0))
-        lists = spread.groupBy(F.col(key).alias("_fk"), number.cast("int").alias("_page")).agg(
-            F.collect_list("_item").alias("_items")
-        )
-        page = F.coalesce(F.col("_page"), F.lit(0))
+        group = ["_fk"]
+    else:
+        place = [o.alias(f"_o{i}") for i, o in enumerate(order_by)]
+        items = rows.select(F.col(key).alias("_fk"), F.struct(*place, whole).alias("_item"))
+        placed = with_page(items, ["_fk"], F.col("_item"), page_size)
+        group = ["_fk", "_slot", "_page"]
+    lists = placed.groupBy(*group).agg(
+        F.collect_list("_item").alias("_items"), *([F.lit(0).alias("_page")] if limit else [])
+    )
+    page = F.coalesce(F.col("_page"), F.lit(0))
     ordered = F.transform(F.array_sort("_items"), lambda x: x["v"])
     empty = F.array().cast(_array_type(child, fields))
     joined = parent.join(lists, parent[quoted(pk)] == F.col("_fk"), "left")
@@ -256,11 +250,9 @@ def joined_text(
     is spread over numbered parts, each an ordered text of its share.
     """
     named = df.select(*keys, value.cast("string").alias("_value"), value.alias("_order"))
-    wide = named.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > part_rows)
-    number = F.pmod(F.xxhash64("_order"), F.ceil(F.col("_n") / part_rows))
-    numbered = named.join(wide, list(keys), "left").withColumn(
-        "part", F.coalesce(number, F.lit(0)).cast("int")
-    )
+    placed = with_page(named, keys, F.col("_order"), part_rows)
     items = F.array_sort(F.collect_list(F.struct("_order", "_value")))
     text = F.array_join(F.transform(items, lambda x: x["_value"]), separator)
-    return numbered.groupBy(*keys, "part").agg(text.alias(out))
+    return placed.groupBy(*keys, "_slot", "_page").agg(text.alias(out)).select(
+        *keys, F.col("_page").alias("part"), out
+    )

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from millrace.functions.hashing import row_checksum
 from millrace.operators.mapping import quoted
-from millrace.operators.ordered import with_neighbour
+from millrace.operators.ordered import ROWS_PER_WINDOW, with_neighbour
 from millrace.session import stored_rows
 
 VALID_FROM, VALID_TO, VERSION_CHECKSUM = "valid_from", "valid_to", "version_checksum"
@@ -114,7 +114,12 @@ def current_versions(history: DataFrame) -> DataFrame:
 
 
 def version_intervals(
-    versions: DataFrame, keys: Sequence[str], at: str, *, bucket: str = "month"
+    versions: DataFrame,
+    keys: Sequence[str],
+    at: str,
+    *,
+    bucket: str = "hour",
+    rows_per_window: int = ROWS_PER_WINDOW,
 ) -> DataFrame:
     """History of a change log that states every version with its time.
 
@@ -129,9 +134,13 @@ def version_intervals(
     order = [F.col(quoted(at)), F.col(VERSION_CHECKSUM)]
     slot = F.date_trunc(bucket, F.col(quoted(at)))
     compared = with_neighbour(
-        stamped, keys, slot, order, F.col(VERSION_CHECKSUM), "_before", following=False
+        stamped, keys, slot, order, F.col(VERSION_CHECKSUM), "_before",
+        following=False, rows_per_window=rows_per_window,
     )
     kept = compared.where(~F.col("_before").eqNullSafe(F.col(VERSION_CHECKSUM))).drop("_before")
     kept = stored_rows(kept)
-    ended = with_neighbour(kept, keys, slot, order, F.col(quoted(at)), VALID_TO, following=True)
+    ended = with_neighbour(
+        kept, keys, slot, order, F.col(quoted(at)), VALID_TO,
+        following=True, rows_per_window=rows_per_window,
+    )
     return ended.withColumnRenamed(at, VALID_FROM)

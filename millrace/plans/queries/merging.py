@@ -298,7 +298,7 @@ def scd2_version_intervals(spark: SparkSession, sf: str) -> DataFrame:
     log = table(spark, sf, "events").select(
         "user_id", "event_type", F.col("ts").cast("timestamp").alias("ts")
     )
-    return snapshot.version_intervals(log, ["user_id"], "ts", bucket="day").select(
+    return snapshot.version_intervals(log, ["user_id"], "ts").select(
         "user_id",
         "event_type",
         F.unix_micros("valid_from").alias("valid_from_us"),

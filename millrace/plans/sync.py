@@ -201,8 +201,8 @@ def _merge_into(
         ]
     scope = target
     if partition_by and strategy != "merge_into":
-        touched = good.select(*partition_by).distinct()
-        scope = target.join(touched, list(partition_by), "left_semi").select(*target.columns)
+        touched = _touched(good, partition_by)
+        scope = target.where(touched)
     before = scope.count()
     if strategy == "merge_into":
         writers.merge_rows(_complete(single, target).withColumn(SYNC_UPDATED_AT, stamp), table, keys)
@@ -217,7 +217,7 @@ def _merge_into(
     merged = merged.select(*[quoted(c) for c in target.columns])
     if partition_by:
         writers.replace_partitions(merged, table)
-        after = spark.table(table).join(touched, list(partition_by), "left_semi")
+        after = spark.table(table).where(touched)
     else:
         staged = writers.stage(merged, table)
         writers.swap_in(spark, table, staged)
@@ -227,6 +227,29 @@ def _merge_into(
     return inserted, written - inserted
 
 
+# Up to this many values of a partition column are listed in a predicate.
+LISTED_PARTITIONS = 5_000
+
+
+def _touched(source: DataFrame, partition_by: Sequence[str]) -> Column:
+    """Predicate for the partitions the source has rows in.
+
+    Listed values prune the file listing, so untouched partitions are not read.
+    A column with more values than may be listed does not prune at all: more is
+    then read and rewritten than needed, with the same result.
+    """
+    predicate = F.lit(True)
+    for name in partition_by:
+        column = F.col(quoted(name))
+        found = source.select(column).distinct().limit(LISTED_PARTITIONS + 1).collect()
+        if len(found) <= LISTED_PARTITIONS:
+            values = [r[0] for r in found if r[0] is not None]
+            listed = column.isin(*values) if values else F.lit(False)
+            with_null = any(r[0] is None for r in found)
+            predicate = predicate & (listed | column.isNull() if with_null else listed)
+    return predicate
+
+
 def _complete(rows: DataFrame, target: DataFrame) -> DataFrame:
     """Add target columns that the source does not deliver, as nulls."""
     for f in target.schema:

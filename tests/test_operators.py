@@ -445,7 +445,7 @@ def test_version_intervals_of_one_hot_key(spark):
         (F.floor(F.col("id") / 7) % 5).alias("v"),
         (start + F.make_dt_interval(mins=F.col("id").cast("int"))).alias("at"),
     )
-    got = snapshot.version_intervals(minutes, ["k"], "at", bucket="hour")
+    got = snapshot.version_intervals(minutes, ["k"], "at", rows_per_window=100)
     rows = sorted((r.valid_from, r.valid_to, r.v) for r in got.collect())
     assert len(rows) == -(-3000 // 7)
     assert all(a[1] == b[0] and a[2] != b[2] for a, b in zip(rows, rows[1:]))
@@ -457,7 +457,8 @@ def test_neighbour_matches_plain_window(spark):
         (F.col("id") % 3).alias("k"), ((F.col("id") * 37) % 501).alias("o"), F.col("id").alias("v")
     )
     got = ordered.with_neighbour(
-        df, ["k"], F.floor(F.col("o") / 40), [F.col("o")], F.col("v"), "n", following=True
+        df, ["k"], F.floor(F.col("o") / 40), [F.col("o")], F.col("v"), "n", following=True,
+        rows_per_window=166,
     )
     df.createOrReplaceTempView("neighbours")
     want = spark.sql("SELECT k, o, lead(v) OVER (PARTITION BY k ORDER BY o) FROM neighbours")
@@ -506,6 +507,21 @@ def test_nesting_in_pages_keeps_every_child(spark):
     assert {r.id: [k.v for k in r.kids] for r in top.collect()} == {1: [989, 988], 2: [999, 998], 3: []}
 
 
+def test_pages_of_keys_that_are_large_but_not_hot(spark, monkeypatch):
+    from millrace.operators import skew
+
+    monkeypatch.setattr(skew, "HOT_KEYS", 1)
+    df = spark.range(600).select(
+        F.when(F.col("id") < 300, "a").when(F.col("id") < 500, "b").otherwise("c").alias("k"),
+        F.col("id").alias("v"),
+    )
+    rows = relations.joined_text(df, ["k"], F.col("v"), ",", "t", part_rows=100).collect()
+    parts = {k: [r for r in rows if r.k == k] for k in "abc"}
+    assert len(parts["a"]) == 3 and len(parts["b"]) == 2 and len(parts["c"]) == 1
+    assert sorted(int(v) for r in rows for v in r.t.split(",")) == list(range(600))
+    assert all(sorted(r.part for r in p) == list(range(len(p))) for p in parts.values())
+
+
 def test_joined_text_in_parts(spark):
     df = spark.range(50).select(F.lit("a").alias("k"), F.col("id").alias("v"))
     assert relations.joined_text(df, ["k"], F.col("v"), ",", "t").first().t == ",".join(
