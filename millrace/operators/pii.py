@@ -100,6 +100,11 @@ def empty_mapping(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], MAPPING_SCHEMA)
 
 
+def switched_on(setting: str | None) -> bool:
+    """The global switch as text: on unless it says false, 0 or no."""
+    return (setting or "").strip().lower() not in {"false", "0", "no"}
+
+
 def normal_context(context: str | None) -> str:
     return (context or "").strip()
 
@@ -290,7 +295,7 @@ def anonymize(
             )
             hashes = hashes.join(scope.select("hash_value"), "hash_value", "left_anti")
         if realistic:
-            taken = scope_values(same_field if mapping is not None else new_rows)
+            taken = (same_field if mapping is not None else new_rows).select("replacement_value")
             fresh = unique_realistic(hashes, taken, field_type, max_length, cfg.get("locale"))
             scope = fresh if scope is None else scope.unionByName(fresh)
         else:
@@ -311,11 +316,6 @@ def anonymize(
     return out, new_rows
 
 
-def scope_values(mapping: DataFrame) -> DataFrame:
-    """All replacement texts used so far."""
-    return mapping.select("replacement_value")
-
-
 def _replace(
     df: DataFrame, name: str, hashed: Column, scope: DataFrame | None, derived: Column | None
 ) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.cleanse import drop_sheet_errors
+from millrace.functions.hashing import SYNC_CREATED_AT
 from millrace.operators import quality, schema
 from millrace.operators.mapping import map_columns, quoted, table_name
 from millrace.plans.sync import replace_personal_data
@@ -68,7 +69,8 @@ def load_file(
     """Load tabular rows into a table; bad rows are told apart one by one.
 
     A missing table is created, after its database, from ``target`` or from the
-    data with sized text columns. ``rejects`` names a table for the refused rows
+    data with sized text columns, and gets a column for the time of loading.
+    Columns the target fills itself are left out unless mapped. ``rejects`` names a table for the refused rows
     and their reasons.
     """
     spark = df.sparkSession
@@ -86,6 +88,7 @@ def load_file(
         if target is None:
             known = spark.table(table).schema if exists else None
             target = known or schema.infer_schema(source, sized=True)
+        source = schema.drop_generated(source, target, list((mapping or {}).values()))
         tagged = scratch.keep(schema.coerce(schema.conform(source, target), target))
         outcome = quality.load_outcome(tagged).first()
         bad = schema.rejected(tagged)
@@ -98,11 +101,12 @@ def load_file(
         if not exists:
             if "." in table:
                 writers.ensure_database(spark, table.rsplit(".", 1)[0])
-            writers.create_table(spark, table, target, sync_columns=False)
+            writers.create_table(spark, table, target, sync_columns=[SYNC_CREATED_AT])
         rows = schema.accepted(tagged)
         for f in spark.table(table).schema:
             if f.name not in rows.columns:
-                rows = rows.withColumn(f.name, F.lit(None).cast(f.dataType))
+                filled = F.current_timestamp() if f.name == SYNC_CREATED_AT else F.lit(None)
+                rows = rows.withColumn(f.name, filled.cast(f.dataType))
         if if_exists == "replace":
             writers.reload_table(rows, table)
         else:

@@ -8,10 +8,12 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.operators.snapshot import VALID_FROM, VALID_TO, empty_history, snapshot_step
 from millrace.session import Scratch
 from millrace.sources import writers
+from millrace.sources.files import load_seed
 
 OPEN = "is_open"
 
@@ -26,20 +28,36 @@ class SnapshotOf:
     updated_at: str | None = None
 
 
+@dataclass(frozen=True)
+class Seed:
+    """A small reference table kept as a delimited file."""
+
+    path: str
+    schema: T.StructType
+
+
+Reader = Callable[[str], DataFrame]
+Model = Callable[[Reader], DataFrame]
+
+
 @dataclass
 class Marts:
-    """What to build. Later layers get a reader of the tables built before them."""
+    """What to build. Later layers get a reader of what was built before them."""
 
     snapshots: Mapping[str, SnapshotOf] = field(default_factory=dict)
-    staging: Mapping[str, Callable[[Callable[[str], DataFrame]], DataFrame]] = field(
-        default_factory=dict
-    )
-    core: Mapping[str, Callable[[Callable[[str], DataFrame]], DataFrame]] = field(
-        default_factory=dict
-    )
-    reporting: Mapping[str, Callable[[Callable[[str], DataFrame]], DataFrame]] = field(
-        default_factory=dict
-    )
+    seeds: Mapping[str, Seed] = field(default_factory=dict)
+    staging: Mapping[str, Model] = field(default_factory=dict)
+    core: Mapping[str, Model] = field(default_factory=dict)
+    reporting: Mapping[str, Model] = field(default_factory=dict)
+    checks: Mapping[str, Model] = field(default_factory=dict)
+
+
+@dataclass
+class Built:
+    """Names in the order they were built, and the number of findings per check."""
+
+    names: list[str]
+    findings: dict[str, int]
 
 
 def save_snapshot(
@@ -79,14 +97,15 @@ def build_marts(
     marts: Marts,
     database: str,
     run_time: dt.datetime,
-) -> list[str]:
-    """Build all layers in order and return the names built.
+) -> Built:
+    """Build all layers in order: snapshots, seeds, staging, core, reporting, checks.
 
     Staging is made of views, core and reporting of tables. The first failure
-    stops the build; the layers after it stay as they were.
+    stops the build; the layers after it stay as they were. A check is a query
+    for offending rows; findings are reported and do not stop anything.
     """
     writers.ensure_database(spark, database)
-    built: list[str] = []
+    names: list[str] = []
 
     def read(name: str) -> DataFrame:
         if name in marts.staging:
@@ -96,12 +115,15 @@ def build_marts(
 
     for name, spec in marts.snapshots.items():
         save_snapshot(spark, f"{database}.{name}", spec, run_time)
-        built.append(name)
+        names.append(name)
+    for name, seed in marts.seeds.items():
+        load_seed(spark, seed.path, seed.schema, f"{database}.{name}")
+        names.append(name)
     for name, make in marts.staging.items():
         make(read).createOrReplaceTempView(name)
-        built.append(name)
+        names.append(name)
     for layer in (marts.core, marts.reporting):
         for name, make in layer.items():
             writers.refresh_table(make(read), f"{database}.{name}")
-            built.append(name)
-    return built
+            names.append(name)
+    return Built(names, {name: make(read).count() for name, make in marts.checks.items()})

@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.sqltypes import column
+from millrace.operators.quality import check_unique
 from millrace.operators.snapshot import current_versions
 from millrace.plans.load import copy_table, load_file, refresh_tables
-from millrace.plans.marts import Marts, SnapshotOf, build_marts
+from millrace.plans.marts import Marts, Seed, SnapshotOf, build_marts, save_snapshot
 from millrace.plans.queries.registry import as_double, iso_date, iso_second, registered, table
 from millrace.plans.reporting import Dimension, build_reporting, money, revenue_by
 from millrace.plans.staging import stage_dimension
@@ -132,7 +133,7 @@ def load_file_csv(spark: SparkSession, sf: str) -> DataFrame:
         mapping={"item no": "item_id", "Name": "item_name", "Size": "size", "Price": "price"},
         target=target,
     )
-    return spark.table(name).withColumn("price", as_double("price"))
+    return spark.table(name).drop("_sync_created_at").withColumn("price", as_double("price"))
 
 
 @registered(
@@ -173,6 +174,8 @@ def refresh_and_copy(spark: SparkSession, sf: str) -> DataFrame:
 def build_marts_query(spark: SparkSession, sf: str) -> DataFrame:
     """All layers, run twice: suppliers as a history, of which some leave in between."""
     database = scratch_database(spark)
+    seeds = scratch_dir(spark, "seeds")
+    table(spark, sf, "region").select("r_regionkey", "r_name").write.option("header", True).csv(seeds)
     suppliers = table(spark, sf, "supplier")
     lines = table(spark, sf, "lineitem")
 
@@ -196,16 +199,25 @@ def build_marts_query(spark: SparkSession, sf: str) -> DataFrame:
                     read("snap_suppliers"), trimmed=["s_name"], required=["s_name"]
                 )
             },
+            seeds={"seed_regions": Seed(seeds, files.text_columns(["r_regionkey", "r_name"]))},
             core={"fct_lines": fact},
             reporting={
                 "rpt_sellers": lambda read: revenue_by(
                     read("fct_lines"), ["record_type", "year", "seller_name"], profit=None
                 )
             },
+            checks={
+                "sellers are unique": lambda read: check_unique(
+                    read("stg_suppliers"), ["s_suppkey"]
+                ),
+                "every line has a known date": lambda read: read("fct_lines").where("year IS NULL"),
+            },
         )
 
     build_marts(spark, marts(suppliers), database, _FIRST)
-    build_marts(spark, marts(suppliers.where("s_acctbal >= 0")), database, _SECOND)
+    built = build_marts(spark, marts(suppliers.where("s_acctbal >= 0")), database, _SECOND)
+    if any(built.findings.values()):
+        raise ValueError(f"data tests failed: {built.findings}")
     return spark.table(f"{database}.rpt_sellers").withColumn("revenue", as_double("revenue"))
 
 
@@ -218,8 +230,6 @@ def build_marts_query(spark: SparkSession, sf: str) -> DataFrame:
     """,
 )
 def snapshot_table(spark: SparkSession, sf: str) -> DataFrame:
-    from millrace.plans.marts import save_snapshot
-
     name = f"{scratch_database(spark)}.history"
     suppliers = table(spark, sf, "supplier")
     save_snapshot(spark, name, SnapshotOf(suppliers, ["s_suppkey"]), _FIRST)

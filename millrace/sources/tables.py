@@ -141,3 +141,9 @@ def inventory(tables: Mapping[str, DataFrame]) -> DataFrame:
         )
 
     return union_all(described(name, df) for name, df in tables.items())
+
+
+def database_inventory(spark: SparkSession, database: str) -> DataFrame:
+    """Inventory of all tables of a database."""
+    names = [t.name for t in spark.catalog.listTables(database) if not t.isTemporary]
+    return inventory({n: spark.table(f"{database}.{n}") for n in sorted(names)})

@@ -73,14 +73,11 @@ def create_table(
     schema: T.StructType,
     *,
     partition_by: Sequence[str] = (),
-    sync_columns: bool = True,
+    sync_columns: Sequence[str] = (SYNC_CHECKSUM, SYNC_UPDATED_AT),
 ) -> None:
     """An empty table with these columns and the sync columns behind them."""
     fields = [f for f in schema if f.name not in SYNC_TYPES]
-    if sync_columns:
-        fields += [
-            T.StructField(n, SYNC_TYPES[n], True) for n in (SYNC_CHECKSUM, SYNC_UPDATED_AT)
-        ]
+    fields += [T.StructField(n, SYNC_TYPES[n], True) for n in sync_columns]
     writer = spark.createDataFrame([], T.StructType(fields)).write.format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)

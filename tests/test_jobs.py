@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from conftest import as_set
 from millrace.functions.sqltypes import column
 from millrace.operators.events import checked_events
+from millrace.operators.quality import check_unique
 from millrace.plans.load import LoadFailed, copy_table, load_file, refresh_tables
 from millrace.plans.marts import Marts, SnapshotOf, build_marts, save_snapshot
 from millrace.plans.reporting import revenue_by
@@ -161,7 +162,8 @@ def test_load_file(spark, database):
     assert done.error_rate == 33.3 and done.errors[0]["_reject_reasons"] == ["id: no usable value"]
     assert spark.table(rejects).count() == 1
     load_file(raw.limit(1), name, mapping=mapping, target=target, if_exists="replace")
-    assert as_set(spark.table(name)) == {(1, 5)}
+    assert as_set(spark.table(name), "id", "size") == {(1, 5)}
+    assert spark.table(name).where("_sync_created_at IS NULL").count() == 0
     with pytest.raises(ValueError, match="exists already"):
         load_file(raw, name, mapping=mapping, if_exists="fail")
     with pytest.raises(LoadFailed):
@@ -209,12 +211,14 @@ def test_query_guard(spark):
         tables.jdbc_table(spark, {}, "t", partition_column="id")
 
 
-def test_catalogue(spark):
+def test_catalogue(spark, database):
     rows = {"a": frame(spark, [(1, "x")]), "b": frame(spark, [])}
     got = {r.table_name: r for r in tables.inventory(rows).collect()}
     assert got["a"].n_rows == 1 and got["b"].n_rows == 0
     assert [c.name for c in got["a"].columns] == ["k", "v"]
     assert tables.column_catalogue(spark, rows).count() == 4
+    writers.write_table(rows["a"], f"{database}.one", "fail")
+    assert as_set(tables.database_inventory(spark, database), "table_name", "n_rows") == {("one", 1)}
 
 
 def test_ragged_text_and_seed(spark, database, tmp_path):
@@ -292,8 +296,13 @@ def test_build_stops_at_first_failure(spark, database):
         build_marts(spark, marts, database, DAY)
     assert spark.catalog.tableExists(f"{database}.snap")
     assert not spark.catalog.tableExists(f"{database}.rpt")
-    good = Marts(marts.snapshots, marts.staging, {"fct": lambda read: read("stg")}, marts.reporting)
-    assert build_marts(spark, good, database, DAY) == ["snap", "stg", "fct", "rpt"]
+    good = Marts(
+        snapshots=marts.snapshots, staging=marts.staging, core={"fct": lambda read: read("stg")},
+        reporting=marts.reporting,
+        checks={"none": lambda read: check_unique(read("fct"), ["k"]), "all": lambda read: read("fct")},
+    )
+    built = build_marts(spark, good, database, DAY)
+    assert built.names == ["snap", "stg", "fct", "rpt"] and built.findings == {"none": 0, "all": 1}
     assert spark.table(f"{database}.rpt").first().revenue == 5
 
 

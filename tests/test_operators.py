@@ -270,6 +270,9 @@ def test_realistic_continues_after_stored(spark):
 
 
 def test_pii_bad_options(spark):
+    assert [pii.switched_on(t) for t in (None, "", "yes", " False ", "0", "no")] == [
+        True, True, True, False, False, False,
+    ]
     with pytest.raises(ValueError):
         pii.prefixed_text(F.lit("ab"), "f", max_length=0)
     with pytest.raises(ValueError):
