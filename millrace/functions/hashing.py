@@ -47,7 +47,7 @@ def iso_text(value: Column) -> Column:
     text = value.cast("string")
     fraction = F.when(F.length(text) > 19, F.rpad(F.substring(text, 20, 7), 7, "0"))
     return F.concat(
-        F.translate(F.substring(text, 1, 19), " ", "T"), F.coalesce(fraction, F.lit(""))
+        F.substring(text, 1, 10), F.lit("T"), F.substring(text, 12, 8), F.coalesce(fraction, F.lit(""))
     )
 
 
@@ -122,7 +122,11 @@ def row_checksum(
 
 def event_hash(event_type: Column, event_data: Column) -> Column:
     """SHA-256 of ``type:json``; the JSON text is key-sorted at every level."""
-    return F.sha2(F.concat(event_type, F.lit(":"), canonical_json(event_data)), 256)
+    return hash_of_canonical(event_type, canonical_json(event_data))
+
+
+def hash_of_canonical(event_type: Column, canonical: Column) -> Column:
+    return F.sha2(F.concat(event_type, F.lit(":"), canonical), 256)
 
 
 def canonical_json(text: Column) -> Column:

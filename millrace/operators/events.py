@@ -8,8 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.cleanse import is_json
-from millrace.functions.hashing import event_hash
+from millrace.functions.hashing import canonical_json, hash_of_canonical
 from millrace.operators.merge import first_per_key
 from millrace.operators.skew import one_row_per_key
 
@@ -81,11 +80,20 @@ def checked_events(events: DataFrame) -> DataFrame:
     problem = (
         F.when(F.col("event_type").isNull(), "missing event_type")
         .when(F.col("event_data").isNull(), "missing event_data")
-        .when(~is_json(F.col("event_data")), "event_data is not JSON")
+        .when(F.col("_canonical").isNull(), "event_data is not JSON")
     )
-    return events.withColumn("_problem", problem).withColumn(
-        "event_hash",
-        F.when(F.col("_problem").isNull(), event_hash(F.col("event_type"), F.col("event_data"))),
+    # The canonical text is a column of its own so that it is made once per row.
+    return (
+        events.withColumn("_canonical", canonical_json(F.col("event_data")))
+        .withColumn("_problem", problem)
+        .withColumn(
+            "event_hash",
+            F.when(
+                F.col("_problem").isNull(),
+                hash_of_canonical(F.col("event_type"), F.col("_canonical")),
+            ),
+        )
+        .drop("_canonical")
     )
 
 
@@ -132,18 +140,20 @@ def ingest_events(
     checked = checked_events(events)
     order = order_by if order_by is not None else F.col("event_data")
     # Invalid rows have no hash and form the group of the null hash, so one scan
-    # gives the stored events as well as all the counts.
+    # gives the stored events as well as all the counts. Validity is an aggregate:
+    # a filter on the hash itself would be pushed down and parse every event twice.
     per_hash = (
         checked.groupBy("event_hash")
         .agg(
             F.count("*").alias("n_rows"),
+            F.bool_or(F.col("_problem").isNull()).alias("_valid"),
             F.min_by(F.struct("event_type", "event_data"), order).alias("first"),
         )
-        .select("event_hash", "n_rows", "first.*")
+        .select("event_hash", "n_rows", "_valid", "first.*")
     )
     known = known_hashes(store, completed).withColumn("_known", F.lit(True))
     judged = per_hash.join(known, "event_hash", "left")
-    valid = F.col("event_hash").isNotNull()
+    valid = F.col("_valid")
     fresh = valid & F.col("_known").isNull()
     created = judged.where(fresh).select(
         "event_type",

@@ -190,8 +190,7 @@ def unique_realistic(
     """``hash_value, replacement_value`` with a different text for every hash.
 
     Hashes that draw one text are numbered in hash order, continuing after the
-    highest number already stored for that text. Texts are drawn evenly by hash,
-    so no numbering group can grow out of proportion.
+    highest number already stored for that text.
     """
     separator, tail = _kind_suffix(field_type)
     number_at_end = rf"{separator.replace('.', chr(92) + '.')}(\d+)(?={tail}$)"
@@ -213,10 +212,27 @@ def unique_realistic(
         .groupBy("drawn")
         .agg(F.max("n").alias("used"))
     )
-    window = Window.partitionBy("drawn").orderBy("hash_value")
-    number = F.coalesce(F.col("used"), F.lit(0)) + F.row_number().over(window)
-    suffix = F.when(number > 1, F.concat(F.lit(separator), number.cast("string"))).otherwise("")
-    numbered = drawn.join(used, "drawn", "left").withColumn("suffix", suffix)
+    # Numbers within a text are dealt per leading hash digits, whose groups are even
+    # and follow the hash order; each group starts where the ones before it end.
+    grouped = drawn.withColumn("lead", F.substring("hash_value", 1, 2))
+    before = Window.partitionBy("drawn").orderBy("lead").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (
+        grouped.groupBy("drawn", "lead")
+        .agg(F.count("*").alias("n"))
+        .withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
+        .join(used, "drawn", "left")
+        .select("drawn", "lead", (F.coalesce("used", F.lit(0)) + F.col("before")).alias("start"))
+    )
+    within = Window.partitionBy("drawn", "lead").orderBy("hash_value")
+    numbered = (
+        grouped.withColumn("place", F.row_number().over(within))
+        .join(starts, ["drawn", "lead"])
+        .withColumn("number", F.col("start") + F.col("place"))
+        .withColumn(
+            "suffix",
+            F.when(F.col("number") > 1, F.concat(F.lit(separator), F.col("number"))).otherwise(""),
+        )
+    )
     unique = F.concat("head", "suffix", "tail")
     fallback = prefixed_text(F.col("hash_value"), "PII", "PII_", max_length)
     return numbered.select(

@@ -246,16 +246,25 @@ def test_pii_stored_wins_and_is_scoped(spark):
     assert elsewhere.count() == 3
 
 
-@pytest.mark.parametrize("kind", sorted(pii.FIELD_TYPES))
+def test_every_field_type_gives_a_text(spark):
+    df = spark.range(50).select(F.sha2(F.col("id").cast("string"), 256).alias("h"))
+    for locale in pii.POOLS:
+        texts = [pii.realistic_text(F.col("h"), k, locale).alias(k) for k in pii.FIELD_TYPES]
+        rows = df.select(*texts).collect()
+        assert all(v and v.strip() == v for r in rows for v in r)
+        assert all(len({r[k] for r in rows}) > 20 for k in pii.FIELD_TYPES)
+
+
+@pytest.mark.parametrize("kind", ["city", "email", "postcode"])
 def test_realistic_values_are_unique_and_repeat(spark, kind):
     df = spark.range(400).select(F.concat(F.lit("p"), "id").alias("v"))
     cfg = {"v": {"field_type": kind, "max_length": 40}}
     first, rows = pii.anonymize(df, cfg, "s")
-    assert first.distinct().count() == 400
-    assert first.where(F.length("v") > 40).count() == 0
-    again, none = pii.anonymize(df, cfg, "s", None, rows)
-    assert none.count() == 0
-    assert as_set(again) == as_set(first)
+    stored = spark.createDataFrame(rows.collect(), rows.schema)
+    texts = as_set(first)
+    assert len(texts) == 400 and all(len(t) <= 40 for (t,) in texts)
+    again, none = pii.anonymize(df, cfg, "s", None, stored)
+    assert none.count() == 0 and as_set(again) == texts
 
 
 def test_realistic_continues_after_stored(spark):
