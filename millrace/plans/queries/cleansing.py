@@ -6,17 +6,24 @@ import warnings
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.functions import cleanse
 from millrace.functions.hashing import row_checksum
 from millrace.functions.sqltypes import column
 from millrace.operators import schema as contracts
-from millrace.operators.mapping import map_columns, rename_columns
+from millrace.operators.mapping import (
+    clean_column_names,
+    map_columns,
+    rename_columns,
+    snake_case_columns,
+)
+from millrace.operators.quality import load_outcome
 from millrace.operators.sheets import split_wide
 from millrace.plans.load import cleansed
-from millrace.plans.queries.registry import iso_date, registered, table
+from millrace.plans.queries.registry import as_double, iso_date, iso_second, registered, table
 from millrace.sources.streams import counts_by_stream, extract_records
-from pyspark.sql import types as T
+from millrace.sources.tables import scan_query, typed_values
 
 
 @registered(
@@ -140,6 +147,120 @@ def coerce_rejects(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@registered(
+    "load_outcome",
+    f"""
+    WITH raw AS ({_QUANTITY_TEXT_SQL}),
+    judged AS (
+        SELECT coalesce(TRY_CAST(t AS DOUBLE) = floor(TRY_CAST(t AS DOUBLE)), false) AS good FROM raw
+    ),
+    tally AS (SELECT count_if(good)::BIGINT AS g, count_if(NOT good)::BIGINT AS b FROM judged)
+    SELECT g AS rows_written, b AS rows_rejected, round(b * 100 / (g + b), 1) AS error_rate,
+           CASE WHEN b = 0 THEN 'success' WHEN g = 0 THEN 'error' ELSE 'partial' END AS status,
+           b > g AS failed
+    FROM tally
+    """,
+)
+def load_outcome_query(spark: SparkSession, sf: str) -> DataFrame:
+    target = T.StructType([column("t", "INT", nullable=False)])
+    return load_outcome(contracts.coerce(_quantity_text(spark, sf).select("t"), target))
+
+
+@registered(
+    "coerce_values",
+    """
+    SELECT o_orderkey, substr(o_orderpriority, 1, 4) AS priority,
+           CASE WHEN o_orderstatus = 'F' THEN NULL ELSE strftime(o_orderdate, '%Y-%m-%d') END
+               AS ordered_on,
+           CASE o_orderstatus WHEN 'O' THEN true WHEN 'P' THEN false END AS is_open,
+           CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) AS total
+    FROM orders
+    """,
+)
+def coerce_values(spark: SparkSession, sf: str) -> DataFrame:
+    status = F.col("o_orderstatus")
+    raw = table(spark, sf, "orders").select(
+        "o_orderkey",
+        F.col("o_orderpriority").alias("priority"),
+        F.when(status == "F", "unknown")
+        .when(status == "O", iso_second("o_orderdate"))
+        .otherwise(iso_date("o_orderdate"))
+        .alias("ordered_on"),
+        F.when(status == "O", "Yes").when(status == "P", "0").otherwise("-").alias("is_open"),
+        F.col("o_totalprice").cast("decimal(18,2)").cast("string").alias("total"),
+    )
+    target = T.StructType(
+        [
+            column("o_orderkey", "BIGINT", nullable=False),
+            column("priority", "NVARCHAR(4)"),
+            column("ordered_on", "DATE"),
+            column("is_open", "BIT"),
+            column("total", "DECIMAL(18,2)"),
+        ]
+    )
+    rows = contracts.accepted(contracts.coerce(contracts.conform(raw, target), target))
+    return rows.withColumn("ordered_on", iso_date("ordered_on")).withColumn(
+        "total", as_double("total")
+    )
+
+
+@registered(
+    "typed_values",
+    """
+    SELECT p_partkey, CASE WHEN p_size < 40 THEN p_size > 25 END AS is_large,
+           CAST(p_partkey AS VARCHAR) AS code, '09:' || lpad(CAST(p_size AS VARCHAR), 2, '0') || ':00'
+               AS packed_at
+    FROM part
+    """,
+)
+def typed_values_query(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw database values: BIT as bytes, an identifier, a time with a date in front."""
+    size = F.col("p_size")
+    raw = table(spark, sf, "part").select(
+        "p_partkey",
+        F.when(size < 40, F.when(size > 25, F.unhex(F.lit("0001"))).otherwise(F.unhex(F.lit("0000"))))
+        .alias("is_large"),
+        F.col("p_partkey").alias("code"),
+        F.concat(F.lit("2024-01-01 09:"), F.lpad(size.cast("string"), 2, "0"), F.lit(":00"))
+        .cast("timestamp")
+        .alias("packed_at"),
+    )
+    declared = T.StructType(
+        [column("is_large", "BIT"), column("code", "UNIQUEIDENTIFIER"), column("packed_at", "TIME")]
+    )
+    return typed_values(raw, declared)
+
+
+@registered(
+    "identifier_cleanup",
+    """
+    SELECT s_suppkey AS supplier_id, s_name AS supplier_name, s_acctbal AS account_balance FROM supplier
+    """,
+)
+def identifier_cleanup(spark: SparkSession, sf: str) -> DataFrame:
+    raw = table(spark, sf, "supplier").select(
+        F.col("s_suppkey").alias("Supplier-ID"),
+        F.col("s_name").alias("SupplierName"),
+        F.col("s_acctbal").alias("Account Balance"),
+    )
+    return snake_case_columns(clean_column_names(raw))
+
+
+@registered(
+    "query_scan",
+    """
+    SELECT o_orderstatus, count(*) AS n_orders FROM orders WHERE o_totalprice > 100000 GROUP BY ALL
+    """,
+)
+def query_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return scan_query(
+        spark,
+        "WITH large AS (SELECT o_orderstatus FROM "
+        f"parquet.`{sf}/orders.parquet` WHERE o_totalprice > 100000) "
+        "SELECT o_orderstatus, count(*) AS n_orders FROM large GROUP BY o_orderstatus;",
+    )
+
+
 @registered(
     "row_checksum",
     """

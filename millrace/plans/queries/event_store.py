@@ -131,6 +131,17 @@ def event_hash_lookup(spark: SparkSession, sf: str) -> DataFrame:
     return yes.unionByName(no).select("event_id", "is_stored")
 
 
+@registered(
+    "known_event_hashes",
+    f"WITH {_INCOMING_SQL} SELECT event_hash FROM known",
+)
+def known_event_hashes(spark: SparkSession, sf: str) -> DataFrame:
+    rows = _documents(spark, sf)
+    archived = _stored(rows.where("ts < '2024-01-05'"))
+    store = _stored(rows.where("ts < '2024-01-15'"))
+    return ev.known_hashes(store, archived)
+
+
 # Delivery history by the event's value: small ones were never tried, middle ones
 # failed once, larger ones failed and then succeeded, the largest lack an address.
 _LOGS_SQL = """

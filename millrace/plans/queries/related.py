@@ -276,7 +276,7 @@ def delete_check(spark: SparkSession, sf: str) -> DataFrame:
     return checked.select("o_orderkey", F.col("_permitted").alias("permitted"))
 
 
-def _change_records(spark: SparkSession, sf: str) -> DataFrame:
+def change_records(spark: SparkSession, sf: str) -> DataFrame:
     """Events as build records: the type is the organization, users are pipelines."""
     kind, user = F.col("event_type"), F.col("user_id").cast("string")
     k = F.get_json_object("props", "$.k")
@@ -323,7 +323,7 @@ def _change_records(spark: SparkSession, sf: str) -> DataFrame:
 )
 def entity_fanout(spark: SparkSession, sf: str) -> DataFrame:
     found = entities.fan_out(
-        _change_records(spark, sf),
+        change_records(spark, sf),
         only=["organization", "repository", "pipeline", "build", "artifact"],
     )
 

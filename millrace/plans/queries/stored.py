@@ -14,14 +14,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.sqltypes import column
+from millrace.operators.entities import fan_out
 from millrace.operators.quality import check_unique
 from millrace.operators.snapshot import current_versions
 from millrace.plans.load import copy_table, load_file, refresh_tables
 from millrace.plans.marts import Marts, Seed, SnapshotOf, build_marts, save_snapshot
 from millrace.plans.queries.registry import as_double, iso_date, iso_second, registered, table
+from millrace.plans.queries.related import change_records
 from millrace.plans.reporting import Dimension, build_reporting, money, revenue_by
 from millrace.plans.staging import stage_dimension
-from millrace.plans.sync import sync
+from millrace.plans.sync import sync, sync_all
 from millrace.session import scratch_dir
 from millrace.sources import files, writers
 from millrace.sources.streams import Stream, read_stream
@@ -97,6 +99,53 @@ def sync_result_counts(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@registered(
+    "sync_contract",
+    """
+    SELECT c_custkey, c_name, c_mktsegment FROM customer WHERE c_acctbal >= 0
+    """,
+)
+def sync_contract(spark: SparkSession, sf: str) -> DataFrame:
+    """Sync under a declared contract: rows without the required name are left out."""
+    name = f"{scratch_database(spark)}.people"
+    contract = T.StructType(
+        [
+            column("c_custkey", "BIGINT", nullable=False),
+            column("c_name", "NVARCHAR(100)", nullable=False),
+            column("c_mktsegment", "NVARCHAR(MAX)"),
+        ]
+    )
+    people = table(spark, sf, "customer").select(
+        "c_custkey",
+        F.when(F.col("c_acctbal") >= 0, F.col("c_name")).alias("c_name"),
+        "c_mktsegment",
+    )
+    sync(people, name, keys=["c_custkey"], contract=contract, on_bad="skip")
+    return spark.table(name).select("c_custkey", "c_name", "c_mktsegment")
+
+
+@registered(
+    "entity_upsert",
+    """
+    SELECT 'repository' AS entity, 'forge|' || event_type || '|repo' || (props ->> '$.k') AS id
+    FROM events GROUP BY ALL
+    UNION ALL
+    SELECT 'pipeline', 'runner|' || event_type || '|pipe' || user_id FROM events GROUP BY ALL
+    """,
+)
+def entity_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    """Entities of the first half of the month, then of all of it, into tables."""
+    database = scratch_database(spark)
+    records = change_records(spark, sf)
+    for part in (records.where("run_start_time < '2024-01-15'"), records):
+        sync_all(fan_out(part, only=["repository", "pipeline"]), database, ["id"])
+    return spark.table(f"{database}.repository").select(
+        F.lit("repository").alias("entity"), "id"
+    ).unionByName(
+        spark.table(f"{database}.pipeline").select(F.lit("pipeline").alias("entity"), "id")
+    )
+
+
 @registered(
     "load_file_csv",
     """

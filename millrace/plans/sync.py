@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.functions.hashing import SYNC_CHECKSUM, SYNC_COLUMNS, SYNC_UPDATED_AT
 from millrace.operators import merge, pii, schema
@@ -54,6 +55,7 @@ def sync(
     order_by: Sequence[Column] = (),
     partition_by: Sequence[str] = (),
     strategy: str = "full",
+    contract: T.StructType | None = None,
     run_time: dt.datetime | None = None,
 ) -> SyncResult:
     """Bring a table up to date with a source and say what changed.
@@ -61,7 +63,9 @@ def sync(
     With ``keys`` a row whose checksum differs is updated and an unknown key is
     inserted; without, rows with an unknown checksum are appended. ``mode='auto'``
     creates a missing table with wide nullable columns; ``'existing'`` demands a
-    table that fits. ``on_bad='skip'`` leaves out rows that lack a required value.
+    table that fits. ``contract`` declares columns that file tables cannot keep:
+    bounded types and NOT NULL. ``on_bad='skip'`` leaves out rows that lack a
+    required value.
 
     The prepared source is written once to the scratch folder, so a remote
     source is read once and every count is taken from stored rows, exact even if
@@ -92,13 +96,13 @@ def sync(
                 prepared, scratch, pii_config, source_system or table, pii_context, pii_table
             )
         if created:
-            wide = schema.widen(prepared.schema)
+            wide = contract or schema.widen(prepared.schema)
             writers.create_table(spark, table, wide, partition_by=partition_by)
         else:
             spark.catalog.refreshTable(table)
             writers.add_sync_columns(spark, table)
         target = spark.table(table)
-        tagged, required = _checked(prepared, target)
+        tagged, required = _checked(prepared, contract or target.schema)
         staged = scratch.keep(tagged)
         skipped, errors = _rejects(staged, on_bad) if required else (0, [])
         good = schema.accepted(staged)
@@ -132,6 +136,15 @@ def sync(
     )
 
 
+def sync_all(
+    frames: Mapping[str, DataFrame], database: str, keys: Sequence[str], **options
+) -> dict[str, SyncResult]:
+    """Keyed sync of several frames into tables of the same names, such as entities."""
+    return {
+        name: sync(df, f"{database}.{name}", keys=keys, **options) for name, df in frames.items()
+    }
+
+
 def replace_personal_data(
     rows: DataFrame,
     scratch: Scratch,
@@ -151,16 +164,20 @@ def replace_personal_data(
     return pii.anonymize(rows, config, source_system, context, spark.table(mapping_table))[0]
 
 
-def _checked(prepared: DataFrame, target: DataFrame) -> tuple[DataFrame, list[str]]:
+def _checked(prepared: DataFrame, target: T.StructType) -> tuple[DataFrame, list[str]]:
     """Source rows in the target's columns and types, with checksum and reject reasons."""
-    data = schema.data_fields(target.schema)
-    shaped = schema.conform(prepared, target.schema, on_extra="drop")
-    report = schema.validate_frame(shaped.limit(0), target.schema)
+    data = schema.data_fields(target)
+    shaped = schema.conform(prepared, target, on_extra="drop")
+    report = schema.validate_frame(shaped.limit(0), target)
     if not report.is_valid:
         raise ValueError("source does not fit the table: " + "; ".join(report.issues))
     required = [n for n, f in data.items() if not f.nullable]
     cast = shaped.select(
-        *[F.col(quoted(n)).cast(f.dataType).alias(n) for n, f in data.items() if n in shaped.columns]
+        *[
+            F.col(quoted(n)).cast(f.dataType).alias(n)
+            for n, f in data.items()
+            if n in shaped.columns
+        ]
     )
     lacking = F.array_compact(
         F.array(

@@ -91,6 +91,18 @@ def test_sync_options(spark, database):
         sync(frame(spark, [("x", "a")], "id string, v string"), name, keys=["id"])
 
 
+def test_sync_contract(spark, database):
+    contract = T.StructType([column("k", "INT", nullable=False), column("v", "NVARCHAR(9)", nullable=False)])
+    rows = frame(spark, [(1, "a"), (2, None), (3, "c")])
+    with pytest.raises(ValueError, match="1 rows lack required values"):
+        sync(rows, f"{database}.strict", keys=["k"], contract=contract)
+    done = sync(rows, f"{database}.t", keys=["k"], contract=contract, on_bad="skip")
+    assert counts(done) == (2, 0, 0, 0, 1) and done.status == "partial"
+    assert done.errors[0]["k"] == 2 and done.errors[0]["_reject_reasons"] == ["v is null"]
+    with pytest.raises(ValueError, match="NOT NULL"):
+        sync(rows.select("k"), f"{database}.t", keys=["k"], contract=contract)
+
+
 def test_sync_replaces_personal_data(spark, database):
     name, people = f"{database}.s", f"{database}.pii"
     rows = frame(spark, [(1, "Ann"), (2, "Bob")])
