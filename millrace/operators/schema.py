@@ -13,7 +13,6 @@ from pyspark.sql import types as T
 from millrace.functions import cleanse
 from millrace.functions.hashing import SYNC_CHECKSUM, SYNC_COLUMNS
 from millrace.functions.sqltypes import (
-    WIDEST_DECIMAL,
     column,
     field_sql_type,
     sized_text_type,
@@ -301,10 +300,3 @@ def narrow(df: DataFrame, types: dict[str, str] | None = None) -> DataFrame:
                 value = value.cast(f.dataType)
         values.append(value.alias(name))
     return df.select(*values)
-
-
-__all__ = [
-    "REJECT_REASONS", "REPORTING_TYPES", "SchemaReport", "WIDEST_DECIMAL", "accepted", "coerce",
-    "compare_schema", "conform", "data_fields", "drop_generated", "infer_schema", "narrow",
-    "null_counts", "rejected", "string_lengths", "validate_frame", "widen",
-]

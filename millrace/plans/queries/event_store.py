@@ -33,7 +33,9 @@ def _documents(spark: SparkSession, sf: str) -> DataFrame:
     """Events with a JSON payload whose keys are not in sorted order."""
     k = F.get_json_object("props", "$.k")
     payload = F.concat(F.lit('{"user": '), "user_id", F.lit(', "k": '), k, F.lit("}"))
-    return table(spark, sf, "events").select("event_id", "event_type", "ts", "value", payload.alias("event_data"))
+    return table(spark, sf, "events").select(
+        "event_id", "event_type", "ts", "value", payload.alias("event_data")
+    )
 
 
 def _stored(rows: DataFrame) -> DataFrame:
@@ -80,8 +82,8 @@ def event_ingest(spark: SparkSession, sf: str) -> DataFrame:
     WITH {_INCOMING_SQL},
     tally AS (
         SELECT count(*) AS total, count_if(junk <> '') AS failed,
-               count(DISTINCT CASE WHEN junk = '' AND event_hash NOT IN (SELECT event_hash FROM known)
-                                   THEN event_hash END) AS created
+               count(DISTINCT event_hash) FILTER (
+                   junk = '' AND event_hash NOT IN (SELECT event_hash FROM known)) AS created
         FROM incoming
     )
     SELECT total AS total_events, created AS events_created,
@@ -237,7 +239,8 @@ def event_pending_any_failed(spark: SparkSession, sf: str) -> DataFrame:
     "event_archive",
     f"""
     WITH {_LOGS_SQL}
-    SELECT s.id AS event_id, s.event_type, sha256(s.event_type || ':' || json(e.props)) AS event_hash,
+    SELECT s.id AS event_id, s.event_type,
+           sha256(s.event_type || ':' || json(e.props)) AS event_hash,
            strftime(l.processed_at, '%Y-%m-%d %H:%M:%S') AS completed_at, l.url AS integration_url
     FROM store s JOIN logs l ON l.event_id = s.id JOIN events e ON e.event_id = s.id
     WHERE l.status = 'SUCCESS' AND l.url IS NOT NULL
@@ -330,7 +333,8 @@ def event_delivery_class(spark: SparkSession, sf: str) -> DataFrame:
     "event_log_outcomes",
     f"""
     WITH {_DELIVERY_SQL}
-    SELECT j.event_id, CASE WHEN j.status = 'success' THEN 'SUCCESS' ELSE 'FAILED' END AS processed_status,
+    SELECT j.event_id,
+           CASE WHEN j.status = 'success' THEN 'SUCCESS' ELSE 'FAILED' END AS processed_status,
            CASE WHEN j.status = 'error' THEN j.error END AS processed_result_error,
            CASE WHEN e.value >= 5 THEN 'updated' ELSE 'inserted' END AS action,
            CASE WHEN e.value >= 5 THEN j.event_id * 2 END AS kept_log_id

@@ -91,14 +91,14 @@ def embedded_parent(spark: SparkSession, sf: str) -> DataFrame:
     "where_tree",
     """
     SELECT event_id, event_type, user_id FROM events
-    WHERE event_type IN ('click', 'error') AND (value > 20 OR user_id = 7)
+    WHERE event_type IN ('click', 'error') AND (value > 20 OR value < 1)
     """,
 )
 def where_tree(spark: SparkSession, sf: str) -> DataFrame:
     tree = {
         "_and": [
             {"event_type": {"_in": ["click", "error"]}},
-            {"_or": [{"value": {"_gt": 20}}, {"user_id": {"_eq": 7}}]},
+            {"_or": [{"value": {"_gt": 20}}, {"value": {"_lt": 1}}]},
         ]
     }
     return relations.where(table(spark, sf, "events"), tree).select(
@@ -298,7 +298,8 @@ def change_records(spark: SparkSession, sf: str) -> DataFrame:
 @registered(
     "entity_fanout",
     """
-    SELECT 'artifact' AS entity, 'forge|' || event_type || '|repo' || (props ->> '$.k') || '|' || event_id AS id,
+    SELECT 'artifact' AS entity,
+           'forge|' || event_type || '|repo' || (props ->> '$.k') || '|' || event_id AS id,
            'forge|' || event_type || '|repo' || (props ->> '$.k') AS parent,
            CASE WHEN value >= 5 THEN 'runner|' || event_type || '|pipe' || user_id || '|' || event_id END
                AS detail

@@ -105,7 +105,7 @@ def sync(
         tagged, required = _checked(prepared, contract or target.schema)
         staged = scratch.keep(tagged)
         skipped, errors = _rejects(staged, on_bad) if required else (0, [])
-        good = schema.accepted(staged)
+        good = merge.with_checksum(schema.accepted(staged))
         rows_read = staged.count()
         stamp = F.lit(run_time or dt.datetime.now(dt.timezone.utc)).cast("timestamp")
         if keys:
@@ -165,7 +165,7 @@ def replace_personal_data(
 
 
 def _checked(prepared: DataFrame, target: T.StructType) -> tuple[DataFrame, list[str]]:
-    """Source rows in the target's columns and types, with checksum and reject reasons."""
+    """Source rows in the target's columns and types, with their reject reasons."""
     data = schema.data_fields(target)
     shaped = schema.conform(prepared, target, on_extra="drop")
     report = schema.validate_frame(shaped.limit(0), target)
@@ -185,14 +185,15 @@ def _checked(prepared: DataFrame, target: T.StructType) -> tuple[DataFrame, list
             *[F.when(F.col(quoted(n)).isNull(), F.lit(f"{n} is null")) for n in required],
         )
     )
-    return merge.with_checksum(cast).withColumn(schema.REJECT_REASONS, lacking), required
+    return cast.withColumn(schema.REJECT_REASONS, lacking), required
 
 
 def _rejects(staged: DataFrame, on_bad: str) -> tuple[int, list[dict]]:
     """How many rows are refused, and the first ten of them."""
     bad = schema.rejected(staged)
     skipped = bad.count()
-    errors = [r.asDict(recursive=True) for r in bad.orderBy(SYNC_CHECKSUM).limit(10).collect()]
+    content = F.to_json(F.struct(*bad.columns))
+    errors = [r.asDict(recursive=True) for r in bad.orderBy(content).limit(10).collect()]
     if skipped and on_bad == "fail":
         raise ValueError(f"{skipped} rows lack required values, first: {errors[0]}")
     return skipped, errors

@@ -53,7 +53,9 @@ def stored_rows(df: DataFrame, path: str | None = None) -> DataFrame:
     """
     spark = df.sparkSession
     path = path or scratch_dir(spark, "rows")
-    df.write.mode("errorifexists").parquet(path)
+    # Small row groups: the rows are read once or twice more, and even a single
+    # file, as an unpartitioned source gives, is then read by several tasks.
+    df.write.mode("errorifexists").option("parquet.block.size", 8 << 20).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

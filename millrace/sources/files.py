@@ -6,7 +6,6 @@ from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SheetParser = Callable[[bytes, str, Sequence[str] | None], Iterable[tuple[str, pd.DataFrame]]]
@@ -81,7 +80,3 @@ def scan_sheets(
 def first_rows(df: DataFrame, n: int) -> DataFrame:
     """A preview."""
     return df.limit(n)
-
-
-def with_source_file(df: DataFrame) -> DataFrame:
-    return df.withColumn("source_file", F.input_file_name())

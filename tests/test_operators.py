@@ -145,6 +145,7 @@ def test_conform_and_coerce(spark):
     tagged = schema.coerce(schema.conform(raw, target), target)
     assert as_set(schema.accepted(tagged)) == {(1, "abc", dt.date(2024, 1, 2), True, None)}
     assert schema.rejected(tagged).count() == 2
+    assert [r.note for r in quality.first_errors(tagged, "label").collect()] == [None, None]
     outcome = quality.load_outcome(tagged).first()
     assert (outcome.status, outcome.rows_written, outcome.rows_rejected, outcome.failed) == (
         "partial", 1, 2, True,
