@@ -52,8 +52,7 @@ def _entity(records: DataFrame, key: Column, *fields: Column) -> DataFrame:
     """One row per id: of several records the one with the most fields filled."""
     rows = records.select(key.alias("id"), *fields).where("id IS NOT NULL")
     gaps = sum((F.col(c).isNull().cast("int") for c in rows.columns), F.lit(0))
-    content = F.to_json(F.struct(*rows.columns))
-    return first_per_key(rows, ["id"], [gaps, content])
+    return first_per_key(rows, ["id"], [gaps, F.struct(*rows.columns)])
 
 
 def fan_out(records: DataFrame, only: Sequence[str] | None = None) -> Mapping[str, DataFrame]:

@@ -221,6 +221,13 @@ def coerced(value: Column, f: T.StructField) -> Column:
     return value.try_cast(dtype)
 
 
+def _fits_as_is(dtype: T.DataType, want: T.StructField) -> bool:
+    """Typed values need no reading; only long texts and infinite numbers do."""
+    if isinstance(dtype, T.StringType):
+        return isinstance(want.dataType, T.StringType) and "max_length" not in want.metadata
+    return dtype == want.dataType and not isinstance(dtype, (T.FloatType, T.DoubleType))
+
+
 def coerce(df: DataFrame, target: T.StructType) -> DataFrame:
     """Cast every column to its target type and say per row why it is not acceptable.
 
@@ -235,7 +242,7 @@ def coerce(df: DataFrame, target: T.StructType) -> DataFrame:
             values.append(F.col(quoted(f.name)))
             continue
         raw = F.col(quoted(f.name))
-        value = raw if f.dataType == want.dataType and not want.metadata else coerced(raw, want)
+        value = raw if _fits_as_is(f.dataType, want) else coerced(raw, want)
         values.append(value.alias(f.name))
         if not want.nullable:
             reasons.append(F.when(value.isNull(), F.lit(f"{f.name}: no usable value")))
