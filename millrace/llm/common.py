@@ -5,7 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -85,3 +86,15 @@ def ship(spark: SparkSession) -> None:
                 archive.write(file, os.path.relpath(file, os.path.dirname(top)))
     context.addPyFile(path)
     _SHIPPED.add(context.applicationId)
+
+
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Sends at most so many rows at once to Python workers, for rows that hold whole blocks."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from millrace.llm.common import ship
+from millrace.llm.common import arrow_rows, ship
 from millrace.llm.graph import components
 from millrace.session import stored_rows
 
@@ -267,13 +267,15 @@ def near_vectors(vectors: DataFrame, grid: Grid = Grid(), key: str = "vec_id", v
     ship(vectors.sparkSession)
     rows = vectors.select(F.col(key).cast("long").alias("id"), F.col(vector).alias("vector"))
     sound = rows.where(F.col("id").isNotNull() & valid("vector")).withColumn("length", F.size("vector"))
-    found = None
+    spark, found = vectors.sparkSession, None
     # Lengths are few: a column of embeddings has one, and each is a join of its own.
     for (length,) in sound.select("length").distinct().orderBy("length").collect():
         own = sound.where(F.col("length") == length).select("id", F.col("vector").cast("array<double>").alias("vector"))
         shape = Grid(**{**grid.__dict__, "dims": min(grid.dims, length)})
         blocks = stored_rows(_blocks(_placed(own, rotation(own, shape), shape), shape))
-        part = _linked(block_pairs(blocks, shape), blocks, shape)
+        # A row of a pair holds two blocks, so few rows go to Python at once.
+        with arrow_rows(spark, 8):
+            part = stored_rows(_linked(block_pairs(blocks, shape), blocks, shape))
         found = part if found is None else found.unionByName(part)
     ids = rows.select("id")
     if found is None:
@@ -281,7 +283,6 @@ def near_vectors(vectors: DataFrame, grid: Grid = Grid(), key: str = "vec_id", v
             F.col("id").alias("vec_id"), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"),
             F.col("id").isNotNull().alias("kept"),
         )
-    found = stored_rows(found)
     counts = found.where("other IS NULL").groupBy("id").agg(F.sum("n").alias("n_links"))
     root = components(found.where("other IS NOT NULL").select(F.col("id").alias("a"), F.col("other").alias("b")))
     return (
