@@ -38,7 +38,8 @@ def _lines(docs: DataFrame) -> DataFrame:
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         text_digest().alias("digest"),
-        F.coalesce(F.col("source").cast("string"), F.lit("")).alias("site"),
+        # Sketches pass over empty texts, so no site is one.
+        F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("-")).alias("site"),
         F.transform(F.split(text_or_empty(), "\n"), line_key).alias("hashes"),
     )
 
@@ -126,7 +127,7 @@ def dedup_lines(docs: DataFrame, spread: Spread = Spread()) -> DataFrame:
 #: DuckDB SQL for the columns doc_id and text, at the default threshold.
 ORACLE = r"""
 WITH lines AS (
-    SELECT d.doc_id, d.text, coalesce(d.source, '') AS site,
+    SELECT d.doc_id, d.text, coalesce('=' || d.source, '-') AS site,
            unnest(string_split(d.text, chr(10))) AS raw,
            generate_subscripts(string_split(d.text, chr(10)), 1) AS at
     FROM documents d WHERE d.text IS NOT NULL
