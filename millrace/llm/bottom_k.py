@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from millrace.llm.common import text_or_empty
+from millrace.llm.common import fresh, text_or_empty
 from millrace.session import stored_rows
 
 K = 128
@@ -23,12 +23,22 @@ def words_of(text: Column) -> Column:
 
 
 def sketch_of_words(words: Column, k: int = K, shingle: int = SHINGLE) -> Column:
-    """Ascending distinct hashes, k at most. Up to ``shingle`` words, none included, are one shingle."""
+    """Ascending distinct hashes, k at most. Up to ``shingle`` words, none included, are one shingle.
+
+    ``words`` is looked up for every shingle: pass a column that holds them.
+    """
     last = F.greatest(F.size(words) - F.lit(shingle - 1), F.lit(1))
     hashes = F.transform(F.sequence(F.lit(1), last), lambda i: F.xxhash64(F.slice(words, i, shingle)))
     return F.slice(F.sort_array(F.array_distinct(hashes)), 1, k)
 
 
+def with_sketch(df: DataFrame, text: str, out: str) -> DataFrame:
+    """``df`` with the fingerprint of a text column as one more column."""
+    words = fresh(df, "words_")[0]
+    split = df.withColumn(words, words_of(F.col(text)))
+    return split.withColumn(out, sketch_of_words(F.col(words))).drop(words)
+
+
 def merged(a: Column, b: Column, k: int = K) -> Column:
     """The fingerprint of two parts together."""
     return F.slice(F.sort_array(F.array_union(a, b)), 1, k)
@@ -106,11 +116,11 @@ def with_next(docs: DataFrame, rows: int = 2000, most_parts: int = 2000) -> Data
         F.coalesce(F.lead("part").over(W.orderBy("part")), F.min("part").over(W.partitionBy())).alias("then"),
     )
     after = ring.join(heads, F.col("then") == F.col("part")).select("of", F.col("head").alias("after"))
-    sketched = dealt.repartition("part").withColumn("sketch", sketch_of_words(words_of(F.col("text"))))
+    sketched = with_sketch(dealt.repartition("part"), "text", "sketch")
     followed = sketched.withColumns(
         {"next_text": F.lead("text").over(in_part), "next_sketch": F.lead("sketch").over(in_part)}
     )
-    after = after.withColumn("after_sketch", sketch_of_words(words_of(F.col("after"))))
+    after = with_sketch(after, "after", "after_sketch")
     return followed.join(after, F.col("part") == F.col("of"), "left").select(
         "doc_id",
         "text",
@@ -132,8 +142,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     edited = F.concat(
         F.substring(F.col("text"), F.lit(1), F.col("n_chars") - half), F.substring(F.col("next_text"), F.lit(1), half)
     )
-    rows = rows.withColumn("edited", edited)
-    rows = rows.withColumn("edited_sketch", sketch_of_words(words_of(F.col("edited"))))
+    rows = with_sketch(rows.withColumn("edited", edited), "edited", "edited_sketch")
     return rows.select(
         "doc_id",
         F.col("n_chars").cast("long").alias("n_chars"),
