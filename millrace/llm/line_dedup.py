@@ -129,21 +129,21 @@ ORACLE = r"""
 WITH lines AS (
     SELECT d.doc_id, d.text, coalesce('=' || d.source, '-') AS site,
            unnest(string_split(d.text, chr(10))) AS raw,
-           generate_subscripts(string_split(d.text, chr(10)), 1) AS at
+           generate_subscripts(string_split(d.text, chr(10)), 1) AS place
     FROM documents d WHERE d.text IS NOT NULL
 ), keyed AS (
     SELECT *, trim(raw, ' ' || chr(9) || chr(13)) AS line FROM lines
 ), wide AS (
     SELECT line FROM keyed WHERE line <> '' GROUP BY line HAVING count(DISTINCT site) >= 10
 ), ranked AS (
-    SELECT k.doc_id, k.text, k.at,
-           row_number() OVER (PARTITION BY line ORDER BY doc_id NULLS FIRST, md5(text), at) AS turn
+    SELECT k.doc_id, k.text, k.place,
+           row_number() OVER (PARTITION BY line ORDER BY doc_id NULLS FIRST, md5(text), place) AS turn
     FROM keyed k JOIN wide USING (line)
 ), gone AS (
-    SELECT doc_id, text, at FROM ranked WHERE turn > 1
+    SELECT doc_id, text, place FROM ranked WHERE turn > 1
 ), kept AS (
-    SELECT k.doc_id, k.text, string_agg(k.raw, chr(10) ORDER BY k.at) AS left_over
-    FROM keyed k ANTI JOIN gone g ON k.doc_id = g.doc_id AND k.text = g.text AND k.at = g.at
+    SELECT k.doc_id, k.text, string_agg(k.raw, chr(10) ORDER BY k.place) AS left_over
+    FROM keyed k ANTI JOIN gone g ON k.doc_id = g.doc_id AND k.text = g.text AND k.place = g.place
     GROUP BY k.doc_id, k.text
 )
 SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.left_over, '') END AS text
