@@ -34,16 +34,29 @@ PATTERNS = {
     "ip": r"(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?!\w|\.\d)",
     "card": r"(?<!\w)\d{4}[ -]?\d{4}[ -]?\d{4}[ -]?\d{3,4}(?!\w)",
     "ssn": r"(?<!\w)\d{3}-\d{2}-\d{4}(?!\w)",
-    "phone": r"(?:(?<!\w)\+\d{1,3}[ .-]?)?(?<![\w])\(?\d{3}\)?[ .-]?\d{3}[ .-]\d{4}(?!\w)",
+    "phone": r"(?:\+\d{1,3}[ .-]?)?\(?\d{3}\)?[ .-]?\d{3}[ .-]\d{4}(?!\w)",
     "abroad": r"(?<!\w)\+\d{1,3}(?:[ .-]?\(?\d{2,4}\)?){2,4}(?!\w)",
     "iban": r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?!\w)",
     "key": r"(?<!\w)AKIA[A-Z0-9]{16}(?!\w)",
     "secret": r"(?i:(?<!\w)(?:password|passwd|pwd|token|secret|api_?key)\s{0,2}[=:]\s{0,2}[\"']?)[A-Za-z0-9+/_-]{6,}",
     "name": rf"(?<!\w)(?:{MALE_TITLES}|{FEMALE_TITLES})\.? {_NAME}(?: {_NAME})?",
 }
-PATTERN = "|".join(f"(?:{p})" for p in PATTERNS.values())
-#: Texts without any of these have no entity, and are not looked at further.
-TRIGGER = rf"\d\d|@|\d\.\d|(?i:password|passwd|pwd|token|secret|api_?key)|(?:{MALE_TITLES}|{FEMALE_TITLES})\.? \p{{Lu}}"
+# No entity begins inside a word: most places of a text are passed over at once.
+PATTERN = r"(?<!\w)(?:" + "|".join(f"(?:{p})" for p in PATTERNS.values()) + ")"
+#: Texts without a digit, an at sign or one of these words have no entity.
+WORDS = [
+    form
+    for word in ("password", "passwd", "pwd", "token", "secret", "api_key", "apikey")
+    for form in (word, word.capitalize(), word.upper())
+] + f"{MALE_TITLES}|{FEMALE_TITLES}".split("|")
+
+
+def _may_hold(text: Column) -> Column:
+    """Cheap and never wrongly false but for keywords in odd mixes of cases, which need a digit."""
+    hit = F.regexp_like(text, F.lit("[0-9@]"))
+    for word in WORDS:
+        hit = hit | F.contains(text, F.lit(word))
+    return hit
 
 
 def kind_of(entity: Column) -> Column:
@@ -224,17 +237,25 @@ def _shown(kind: Column, entity: Column, stand_in: Column, key: str) -> Column:
     )
 
 
-def _found(text: Column) -> Column:
-    hit = F.regexp_like(text, F.lit(TRIGGER))
-    return F.when(hit, F.regexp_extract_all(text, F.lit(f"({PATTERN})"), 1)).otherwise(F.array().cast("array<string>"))
+def found_entities(docs: DataFrame) -> DataFrame:
+    """(id, digest, found): the entities of the texts that have any, in their order.
+
+    Rows with equal doc_id and text are one; a null doc_id is an id of its own.
+    """
+    keyed = docs.select(_id(), text_digest().alias("digest"), "text").where(_may_hold(F.col("text")))
+    found = keyed.select("id", "digest", F.regexp_extract_all("text", F.lit(f"({PATTERN})"), 1).alias("found"))
+    return found.where(F.size("found") > 0)
+
+
+def _id() -> Column:
+    return F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id")
 
 
-def entities(docs: DataFrame) -> DataFrame:
-    """(kind, canon) of all distinct entities of the texts."""
-    found = docs.select(F.explode(_found(F.col("text"))).alias("entity")).distinct()
-    kind = kind_of(F.col("entity"))
-    found = found.withColumn("kind", kind)
-    return found.select("kind", canonical(F.col("kind"), F.col("entity")).alias("canon")).distinct()
+def entities(found: DataFrame) -> DataFrame:
+    """(kind, canon) of all distinct entities found."""
+    surface = found.select(F.explode("found").alias("entity")).distinct()
+    kinds = surface.withColumn("kind", kind_of(F.col("entity")))
+    return kinds.select("kind", canonical(F.col("kind"), F.col("entity")).alias("canon")).distinct()
 
 
 def drawn_again(known: DataFrame, key: str) -> DataFrame:
@@ -274,77 +295,60 @@ def replace_entities(docs: DataFrame, key: str) -> DataFrame:
     """
     if not key:
         raise ValueError("a secret key is needed")
-    again = drawn_again(entities(docs), key)
-    at, entity, i, t, n, own_i, own_t, found, kinds, canons, tries = fresh(
-        docs, "at_", "entity_", "id_", "digest_", "tries_n", "own_id", "own_digest", "found_", "kinds_", "canons_", "tries_"
-    )
-    count = fresh(docs, "n_replaced")[0]
-    null_id = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    found = stored_rows(found_entities(docs).dropDuplicates(["id", "digest"]))
+    again = drawn_again(entities(found), key)
     # Which places of which texts hold an entity that was drawn again: few, as a rule none.
     places = (
-        docs.select(null_id.alias("i"), text_digest().alias("t"), F.posexplode(_found(F.col("text"))).alias("at", "entity"))
+        found.select("id", "digest", F.posexplode("found").alias("at", "entity"))
         .withColumn("kind", kind_of(F.col("entity")))
         .withColumn("canon", canonical(F.col("kind"), F.col("entity")))
     )
     redrawn = stored_rows(
         places.join(again, ["kind", "canon"])
-        .groupBy("i", "t")
+        .groupBy("id", "digest")
         .agg(F.map_from_entries(F.collect_set(F.struct("at", "attempt"))).alias("tries"))
     )
-    marked = docs.withColumns({found: _found(F.col("text")), own_i: null_id, own_t: text_digest()})
-    marked = marked.join(
-        redrawn.select(F.col("i").alias(i), F.col("t").alias(t), F.col("tries").alias(tries)),
-        (F.col(own_i) == F.col(i)) & (F.col(own_t) == F.col(t)),
-        "left",
-    )
-
+    marked = found.join(redrawn, ["id", "digest"], "left")
     # One step of the work on each place at a time, so that no expression is repeated.
-    marked = marked.withColumn(
-        kinds, F.transform(found, lambda e: F.struct(e.alias("entity"), kind_of(e).alias("kind")))
-    )
-    marked = marked.withColumn(
-        canons,
-        F.transform(
-            kinds,
-            lambda e, k: F.struct(
-                e["entity"].alias("entity"),
-                e["kind"].alias("kind"),
-                canonical(e["kind"], e["entity"]).alias("canon"),
-                F.coalesce(F.element_at(F.col(tries), k), F.lit(0)).alias("attempt"),
-            ),
+    kinds = F.transform("found", lambda e: F.struct(e.alias("entity"), kind_of(e).alias("kind")))
+    canons = F.transform(
+        "kinds",
+        lambda e, k: F.struct(
+            e["entity"].alias("entity"),
+            e["kind"].alias("kind"),
+            canonical(e["kind"], e["entity"]).alias("canon"),
+            F.coalesce(F.element_at("tries", k), F.lit(0)).alias("attempt"),
         ),
     )
-    marked = marked.withColumn(
-        entity,
-        F.transform(
-            canons,
-            lambda e: F.struct(
-                e["entity"].alias("entity"),
-                e["kind"].alias("kind"),
-                e["canon"].alias("canon"),
-                draw(e["kind"], e["canon"], e["attempt"], key).alias("hexes"),
-            ),
+    drawn = F.transform(
+        "canons",
+        lambda e: F.struct(
+            e["entity"].alias("entity"),
+            e["kind"].alias("kind"),
+            e["canon"].alias("canon"),
+            draw(e["kind"], e["canon"], e["attempt"], key).alias("hexes"),
         ),
     )
-    marked = marked.withColumn(
-        at,
-        F.transform(
-            entity,
-            lambda e: F.struct(
-                e["entity"].alias("entity"),
-                e["kind"].alias("kind"),
-                surrogate(e["kind"], e["canon"], e["hexes"], key).alias("made"),
-            ),
+    made = F.transform(
+        "drawn",
+        lambda e: F.struct(
+            e["entity"].alias("entity"),
+            e["kind"].alias("kind"),
+            surrogate(e["kind"], e["canon"], e["hexes"], key).alias("made"),
         ),
     )
-    put = F.transform(at, lambda e: _shown(e["kind"], e["entity"], e["made"], key))
-    between = F.split("text", PATTERN)
-    joined = F.concat(
-        F.array_join(
-            F.zip_with(F.slice(between, F.lit(1), F.size(found)), put, lambda a, b: F.concat(a, b)), ""
-        ),
-        F.element_at(between, -1),
+    put = F.transform("made", lambda e: _shown(e["kind"], e["entity"], e["made"], key))
+    marked = marked.withColumn("kinds", kinds).withColumn("canons", canons).withColumn("drawn", drawn)
+    i, t, p, own_i, own_t, between = fresh(docs, "of_id", "of_digest", "put_", "own_id", "own_digest", "between_")
+    new = stored_rows(
+        marked.withColumn("made", made).select(F.col("id").alias(i), F.col("digest").alias(t), put.alias(p))
     )
-    out = marked.withColumn(count, F.coalesce(F.size(found), F.lit(0)))
-    out = out.withColumn("text", F.when(F.col(count) > 0, joined).otherwise(F.col("text")))
+    count = fresh(docs, "n_replaced")[0]
+    keyed = docs.withColumns({own_i: _id(), own_t: text_digest()})
+    joined = keyed.join(new, (F.col(own_i) == F.col(i)) & (F.col(own_t) == F.col(t)), "left")
+    joined = joined.withColumn(between, F.when(F.col(p).isNotNull(), F.split("text", PATTERN)))
+    pieces = F.zip_with(F.slice(between, F.lit(1), F.size(p)), F.col(p), lambda a, b: F.concat(a, b))
+    rewritten = F.concat(F.array_join(pieces, ""), F.element_at(between, -1))
+    out = joined.withColumn(count, F.coalesce(F.when(F.col(p).isNotNull(), F.size(p)), F.lit(0)))
+    out = out.withColumn("text", F.when(F.col(p).isNotNull(), rewritten).otherwise(F.col("text")))
     return out.select(*docs.columns, count)
