@@ -61,6 +61,34 @@ def _bits_text(value: Column) -> Column:
     return F.when(value.isNotNull(), F.xxhash64(value)).cast("string")
 
 
+def _holds_map(dtype: T.DataType) -> bool:
+    if isinstance(dtype, T.StructType):
+        return any(_holds_map(f.dataType) for f in dtype)
+    return isinstance(dtype, T.MapType) or (
+        isinstance(dtype, T.ArrayType) and _holds_map(dtype.elementType)
+    )
+
+
+def _in_key_order(value: Column, dtype: T.DataType) -> Column:
+    """Maps, at any depth, as entries sorted by key: their order has no meaning."""
+    if not _holds_map(dtype):
+        return value
+    if isinstance(dtype, T.ArrayType):
+        return F.transform(value, lambda x: _in_key_order(x, dtype.elementType))
+    if isinstance(dtype, T.StructType):
+        inner = F.struct(
+            *[_in_key_order(value.getField(f.name), f.dataType).alias(f.name) for f in dtype]
+        )
+        return F.when(value.isNotNull(), inner)
+    keys = F.array_sort(F.map_keys(value))
+    return F.transform(
+        keys,
+        lambda k: F.struct(
+            k.alias("key"), _in_key_order(F.element_at(value, k), dtype.valueType).alias("value")
+        ),
+    )
+
+
 def canonical_text(value: Column, dtype: T.DataType, *, portable: bool = False) -> Column:
     """One text per value, decided by the declared type; null stays null.
 
@@ -76,7 +104,7 @@ def canonical_text(value: Column, dtype: T.DataType, *, portable: bool = False)
     if isinstance(dtype, T.BinaryType):
         return F.lower(F.hex(value))
     if isinstance(dtype, (T.ArrayType, T.StructType, T.MapType)):
-        return F.to_json(value, {"ignoreNullFields": "false"})
+        return F.to_json(_in_key_order(value, dtype), {"ignoreNullFields": "false"})
     return value.cast("string")
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from millrace.functions.hashing import canonical_json, hash_of_canonical
 from millrace.operators.merge import first_per_key
 from millrace.operators.skew import one_row_per_key
+from millrace.session import stored_rows
 
 EVENT_SCHEMA = (
     "id long, event_type string, event_created_at timestamp, event_data string, event_hash string"
@@ -73,7 +74,10 @@ def batch_numbers(rows: DataFrame, batch_size: int, index: Column | None = None)
 
 
 def checked_events(events: DataFrame) -> DataFrame:
-    """Add ``_problem`` (null for a valid event) and ``event_hash``."""
+    """Add ``_problem`` (null for a valid event) and ``event_hash``.
+
+    Any JSON value is a payload, an object or not, and any text is a type, the empty one too.
+    """
     for name in ("event_type", "event_data"):
         if name not in events.columns:
             events = events.withColumn(name, F.lit(None).cast("string"))
@@ -102,6 +106,12 @@ def known_hashes(store: DataFrame, completed: DataFrame) -> DataFrame:
     return store.select("event_hash").union(completed.select("event_hash")).distinct()
 
 
+def stored_hashes_of(batch: DataFrame, store: DataFrame, completed: DataFrame) -> DataFrame:
+    """Distinct hashes of the history that the batch has too; only the batch may be shuffled."""
+    history = store.select("event_hash").union(completed.select("event_hash"))
+    return history.join(batch, "event_hash", "left_semi").distinct()
+
+
 def stored_hashes(hashes: DataFrame, store: DataFrame, completed: DataFrame) -> DataFrame:
     """Those of the given hashes that are stored already."""
     known = store.select("event_hash").union(completed.select("event_hash"))
@@ -151,7 +161,11 @@ def ingest_events(
         )
         .select("event_hash", "n_rows", "_valid", "first.*")
     )
-    known = known_hashes(store, completed).withColumn("_known", F.lit(True))
+    # The folded batch is stored: it is read twice, and history meets its hashes first, so
+    # that a small batch is broadcast and history is neither shuffled nor made distinct.
+    per_hash = stored_rows(per_hash)
+    met = stored_hashes_of(per_hash.select("event_hash"), store, completed)
+    known = met.withColumn("_known", F.lit(True))
     judged = per_hash.join(known, "event_hash", "left")
     valid = F.col("_valid")
     fresh = valid & F.col("_known").isNull()

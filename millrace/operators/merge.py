@@ -65,13 +65,16 @@ def duplicate_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def _compared(source: DataFrame, target: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
-    left = target.alias("t")
-    right = source.alias("s")
+    # Rows with a null key match nothing but must all come out of an outer join: a number
+    # of their own deals them out, so that they do not meet in the task of null.
+    lonely = F.when(_any_null(keys), F.xxhash64(SYNC_CHECKSUM)).otherwise(F.lit(0))
+    left = target.withColumn("_spread", lonely).alias("t")
+    right = source.withColumn("_spread", lonely).alias("s")
     on = reduce(
         lambda a, b: a & b,
         [F.col(f"t.{quoted(k)}") == F.col(f"s.{quoted(k)}") for k in keys],
     )
-    return left.join(right, on, how)
+    return left.join(right, on & (F.col("t._spread") == F.col("s._spread")), how)
 
 
 def merge_keyed(
@@ -116,9 +119,12 @@ def merge_changes(
 ) -> DataFrame:
     """Only the source rows to insert or update, with ``_action``.
 
-    Reads no more of the target than its keys and checksum.
+    Reads no more of the target than its keys and checksum, and of these joins only those
+    the source names: a small source is broadcast, and the target is not shuffled.
     """
-    slim = target.select(*[quoted(k) for k in keys], SYNC_CHECKSUM).withColumn(
+    wanted = source.select(*[quoted(k) for k in keys])
+    slim = target.join(wanted, list(keys), "left_semi")
+    slim = slim.select(*[quoted(k) for k in keys], SYNC_CHECKSUM).withColumn(
         "_in_t", F.lit(True)
     )
     joined = _compared(source, slim, keys, "right_outer")

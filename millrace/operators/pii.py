@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.hashing import one_way_hash, pii_normal_form
 from millrace.operators.mapping import quoted
+from millrace.session import stored_rows
 
 MAPPING_SCHEMA = (
     "source_system string, field_name string, context string, hash_algorithm string, "
@@ -93,7 +94,6 @@ POOLS = {
 # of the text that stays behind the number.
 _SUFFIX = {"email": (".", "@.*"), "sentence": (" ", r"\."), "postcode": ("-", ""),
            "phone_number": (" x", "")}
-_SUFFIX_ROOM = 10
 
 
 def empty_mapping(spark: SparkSession) -> DataFrame:
@@ -196,8 +196,7 @@ def unique_realistic(
     number_at_end = rf"{separator.replace('.', chr(92) + '.')}(\d+)(?={tail}$)"
     text = realistic_text(F.col("hash_value"), field_type, locale)
     kept_end = F.regexp_extract(text, f"({tail})$", 1) if tail else F.lit("")
-    room = max(max_length - min(_SUFFIX_ROOM, max_length // 2), 1)
-    head = F.substr(text, F.lit(1), F.least(F.lit(room), F.length(text)) - F.length(kept_end))
+    head = F.substr(text, F.lit(1), F.length(text) - F.length(kept_end))
     drawn = hashes.select("hash_value", head.alias("head"), kept_end.alias("tail")).withColumn(
         "drawn", F.concat("head", "tail")
     )
@@ -228,19 +227,93 @@ def unique_realistic(
         grouped.withColumn("place", F.row_number().over(within))
         .join(starts, ["drawn", "lead"])
         .withColumn("number", F.col("start") + F.col("place"))
-        .withColumn(
-            "suffix",
-            F.when(F.col("number") > 1, F.concat(F.lit(separator), F.col("number"))).otherwise(""),
-        )
+        .select("hash_value", "head", "tail", "number")
     )
-    unique = F.concat("head", "suffix", "tail")
-    fallback = prefixed_text(F.col("hash_value"), "PII", "PII_", max_length)
-    return numbered.select(
-        "hash_value",
-        F.when(F.length(unique) <= max_length, unique)
-        .otherwise(fallback)
-        .alias("replacement_value"),
+    return _told_apart(numbered, stored, separator, max_length)
+
+
+def _told_apart(
+    numbered: DataFrame, stored: DataFrame, separator: str, max_length: int
+) -> DataFrame:
+    """``hash_value, replacement_value``, distinct also where texts are cut to their length.
+
+    The number keeps its place and the text before it gives way. Texts that meet once cut,
+    or meet a stored one, are numbered anew, all but the first: behind a beginning that
+    leaves room for any number, after the highest number in use there. A length that
+    cannot hold the numbers is an error.
+    """
+    taken = stored.select("replacement_value").distinct()
+    suffix = F.when(F.col("number") > 1, F.concat(F.lit(separator), F.col("number"))).otherwise("")
+    room = F.lit(max_length) - F.length(suffix) - F.length("tail")
+    fitted = F.concat(F.substr("head", F.lit(1), F.greatest(room, F.lit(0))), suffix, "tail")
+    values = stored_rows(
+        numbered.select(
+            "hash_value", "head", "tail", F.substring(fitted, 1, max_length).alias("replacement_value")
+        )
     )
+    mark = separator.replace(".", r"\.")
+    while True:
+        first = values.groupBy("replacement_value").agg(
+            F.min("hash_value").alias("_first"), F.count("*").alias("_n")
+        )
+        known = taken.withColumn("_stored", F.lit(True))
+        met = stored_rows(
+            first.join(known, "replacement_value", "left").where((F.col("_n") > 1) | F.col("_stored"))
+        )
+        if met.isEmpty():
+            return values.select("hash_value", "replacement_value")
+        digits = len(str(values.count() + taken.count())) + 1
+        judged = values.join(met, "replacement_value", "left")
+        again = F.col("_n").isNotNull() & (
+            F.col("_stored").isNotNull() | (F.col("hash_value") != F.col("_first"))
+        )
+        stays = judged.where(~again).select(*values.columns)
+        space = max_length - len(separator) - digits
+        if space < 0:
+            raise ValueError(f"max_length {max_length} cannot hold distinct values")
+        fits = F.length("tail") <= space
+        moved = judged.where(again).select(
+            "hash_value",
+            "head",
+            F.when(fits, F.col("tail")).otherwise("").alias("tail"),
+            F.substr(
+                "head", F.lit(1), F.lit(space) - F.when(fits, F.length("tail")).otherwise(0)
+            ).alias("_stem"),
+        )
+        in_use = stays.select("replacement_value").union(taken)
+        ends = moved.select("tail").distinct()
+        # A tail is an address's domain or a mark: as few as the pools have.
+        used = (
+            in_use.join(ends, F.endswith("replacement_value", F.col("tail")))
+            .select(
+                "tail",
+                F.substr(
+                    "replacement_value",
+                    F.lit(1),
+                    F.length("replacement_value") - F.length("tail"),
+                ).alias("_body"),
+            )
+            .select(
+                "tail",
+                F.regexp_extract("_body", rf"^(.*){mark}\d+$", 1).alias("_stem"),
+                F.regexp_extract("_body", rf"{mark}(\d+)$", 1).try_cast("long").alias("_number"),
+            )
+            .groupBy("_stem", "tail")
+            .agg(F.max("_number").alias("_used"))
+        )
+        turn = F.row_number().over(Window.partitionBy("_stem", "tail").orderBy("hash_value"))
+        number = F.coalesce(F.col("_used"), F.lit(1)) + F.col("_turn")
+        renumbered = (
+            moved.withColumn("_turn", turn)
+            .join(used, ["_stem", "tail"], "left")
+            .select(
+                "hash_value",
+                "head",
+                "tail",
+                F.concat("_stem", F.lit(separator), number, "tail").alias("replacement_value"),
+            )
+        )
+        values = stored_rows(stays.unionByName(renumbered))
 
 
 def _options(pii: Mapping[str, object] | Sequence[str]) -> dict[str, dict]:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.operators.mapping import quoted
-from millrace.operators.skew import one_row_per_key, with_page
+from millrace.operators.skew import one_row_per_key, with_position
 
 _COMPARE: dict[str, Callable[[Column, object], Column]] = {
     "_eq": lambda c, v: c == v,
@@ -161,43 +161,44 @@ def nest_children(
     order_by: Sequence[Column],
     columns: Sequence[str] | None = None,
     limit: int | None = None,
-    page_size: int = 100_000,
+    page_size: int | None = None,
 ) -> DataFrame:
     """Attach the children of each parent as an ordered array column.
 
-    With ``limit`` the array holds the first rows in order; Spark drops the
-    others before the shuffle. Without it every child is kept. A parent with at
-    most ``page_size`` children is one row, ``<name>_page`` 0, with one fully
-    ordered array. A larger one is spread over several rows, numbered in that
-    column, each with its share of the children in order: one array of all of
-    them would have to fit into one task and one row.
+    Each parent is one row, with all its children, or the first ``limit``; Spark drops
+    the others before the shuffle. One row and one task then hold the children of a
+    parent. With ``page_size`` every parent is laid out in pages instead, numbered from
+    0 in ``<name>_page``: consecutive pieces of the order of that many children, the
+    last one shorter; a parent without children has one empty page. Ties in the order
+    go by the children's content.
     """
+    if page_size is not None and page_size < 1:
+        raise ValueError("page_size must be positive")
     fields = [quoted(c) for c in (columns or child.columns)]
     key = quoted(fk)
-    rows = child.where(F.col(key).isNotNull())
     whole = F.struct(*fields).alias("v")
-    if limit is not None:
-        window = Window.partitionBy(key).orderBy(*order_by)
-        ranked = rows.withColumn("_p", F.row_number().over(window)).where(F.col("_p") <= limit)
-        placed = ranked.select(
-            F.col(key).alias("_fk"), F.struct("_p", whole).alias("_item"), F.lit(0).alias("_page")
-        )
-        group = ["_fk"]
+    rows = child.where(F.col(key).isNotNull()).withColumn("_fk", F.col(key))
+    order = [*order_by, F.xxhash64(*[quoted(c) for c in child.columns])]
+    if page_size is None:
+        turn = F.row_number().over(Window.partitionBy("_fk").orderBy(*order))
+        placed = rows.withColumn("_position", turn)
+        page = F.lit(0)
     else:
-        place = [o.alias(f"_o{i}") for i, o in enumerate(order_by)]
-        items = rows.select(F.col(key).alias("_fk"), F.struct(*place, whole).alias("_item"))
-        placed = with_page(items, ["_fk"], F.col("_item"), page_size)
-        group = ["_fk", "_slot", "_page"]
-    lists = placed.groupBy(*group).agg(
-        F.collect_list("_item").alias("_items"), *([F.lit(0).alias("_page")] if limit else [])
+        placed = with_position(rows, ["_fk"], order)
+        page = F.floor((F.col("_position") - 1) / page_size)
+    if limit is not None:
+        placed = placed.where(F.col("_position") <= limit)
+    lists = (
+        placed.select("_fk", page.cast("int").alias("_page"), F.struct("_position", whole).alias("_item"))
+        .groupBy("_fk", "_page")
+        .agg(F.collect_list("_item").alias("_items"))
     )
-    page = F.coalesce(F.col("_page"), F.lit(0))
     ordered = F.transform(F.array_sort("_items"), lambda x: x["v"])
     empty = F.array().cast(_array_type(child, fields))
     joined = parent.join(lists, parent[quoted(pk)] == F.col("_fk"), "left")
     return joined.select(
         *[parent[quoted(c)] for c in parent.columns],
-        page.cast("int").alias(f"{name}_page"),
+        F.coalesce("_page", F.lit(0)).alias(f"{name}_page"),
         F.coalesce(ordered, empty).alias(name),
     )
 
@@ -242,17 +243,21 @@ def joined_text(
     separator: str,
     out: str,
     *,
-    part_rows: int = 100_000,
+    part_rows: int | None = None,
 ) -> DataFrame:
     """The values of each key in one text, in order (``string_agg``).
 
-    A key with at most ``part_rows`` values is one row, ``part`` 0. A larger one
-    is spread over numbered parts, each an ordered text of its share.
+    Each key is one row, ``part`` 0. With ``part_rows`` every key is laid out in parts
+    instead: consecutive pieces of the order of that many values, to be joined by the
+    separator in the order of ``part``.
     """
     named = df.select(*keys, value.cast("string").alias("_value"), value.alias("_order"))
-    placed = with_page(named, keys, F.col("_order"), part_rows)
-    items = F.array_sort(F.collect_list(F.struct("_order", "_value")))
+    if part_rows is None:
+        turn = F.row_number().over(Window.partitionBy(*keys).orderBy("_order"))
+        placed = named.withColumn("_position", turn).withColumn("part", F.lit(0))
+    else:
+        placed = with_position(named, keys, [F.col("_order")])
+        placed = placed.withColumn("part", F.floor((F.col("_position") - 1) / part_rows).cast("int"))
+    items = F.array_sort(F.collect_list(F.struct("_position", "_value")))
     text = F.array_join(F.transform(items, lambda x: x["_value"]), separator)
-    return placed.groupBy(*keys, "_slot", "_page").agg(text.alias(out)).select(
-        *keys, F.col("_page").alias("part"), out
-    )
+    return placed.groupBy(*keys, "part").agg(text.alias(out)).select(*keys, "part", out)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from functools import reduce
 
@@ -29,9 +30,10 @@ def table_columns(columns: list[str]) -> dict[int, list[str]]:
 
 
 def plain_names(columns: list[str]) -> dict[str, str]:
-    """Names without their ``.1`` suffix, where the base name occurs once."""
-    bases = Counter(c.split(".")[0] for c in columns)
-    return {c: c.split(".")[0] if bases[c.split(".")[0]] == 1 else c for c in columns}
+    """Names without the number that told repeated headings apart, where that leaves them distinct."""
+    plain = {c: re.sub(r"\.\d+$", "", c) for c in columns}
+    times = Counter(plain.values())
+    return {c: p if times[p] == 1 else c for c, p in plain.items()}
 
 
 def split_wide(df: DataFrame, sheet: str = "", *, keep_empty: bool = False) -> dict[str, DataFrame]:

@@ -5,15 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.operators.mapping import quoted
-
-# At most this many keys are treated as hot. A key outside of them holds at most
-# one ten-thousandth of all rows, which one task can take.
-HOT_KEYS = 10_000
-
+from millrace.session import stored_rows
 
 def same_key(left: str, right: str, keys: Sequence[str]) -> Column:
     return reduce(
@@ -23,48 +19,43 @@ def same_key(left: str, right: str, keys: Sequence[str]) -> Column:
 
 
 def with_hot_count(df: DataFrame, keys: Sequence[str], above: int) -> DataFrame:
-    """Add ``_hot_rows``: the rows of the key where it is hot, else null.
+    """Add ``_hot_rows``: the rows of the key where it has more than ``above``, else null.
 
-    Hot are the ``HOT_KEYS`` most frequent keys of more than ``above`` rows. Rows
-    are counted within each input partition first, and the list of hot keys is
-    bounded by its limit, so it may be broadcast whatever the size of the data.
+    Rows are counted within each input partition first. No key is left out, and the
+    join carries no hint: adaptive execution broadcasts the list where it is small.
     """
-    counted = (
-        df.groupBy(*[quoted(k) for k in keys])
-        .agg(F.count("*").alias("_hot_rows"))
-        .where(F.col("_hot_rows") > above)
+    hot = one_row_per_key(df, keys, F.count("*").alias("_hot_rows")).where(
+        F.col("_hot_rows") > above
     )
-    hot = F.broadcast(counted.orderBy(F.desc("_hot_rows")).limit(HOT_KEYS))
     joined = df.alias("d").join(hot.alias("h"), same_key("d", "h", keys), "left")
     return joined.select("d.*", "h._hot_rows")
 
 
-def with_page(df: DataFrame, keys: Sequence[str], spread_by: Column, page_size: int) -> DataFrame:
-    """Add ``_slot`` and ``_page``, to group by together with the keys.
+def with_position(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column]) -> DataFrame:
+    """Add ``_position``: the row's number in the order of its key, from 1.
 
-    A key of at most ``page_size`` rows has page 0 only; the rows of a larger one
-    are dealt to pages of about that size by a hash. Pages of hot keys are known
-    before the shuffle, so their rows go to different tasks; any other large key
-    gets its count from a join, in the same shuffle that the grouping needs.
+    The rows are range-partitioned by key and order and stored, so a key that holds
+    most rows is sorted in many tasks; a row's number is its number in its range plus
+    the rows of the key in the ranges before it.
     """
-    marked = with_hot_count(df, keys, page_size)
-    dealt = F.xxhash64(spread_by)
-    slot = F.when(
-        F.col("_hot_rows").isNotNull(), F.pmod(dealt, F.ceil(F.col("_hot_rows") / page_size)) + 1
-    ).otherwise(F.lit(0))
-    slotted = marked.withColumn("_slot", slot.cast("int"))
-    large = (
-        df.groupBy(*[quoted(k) for k in keys])
-        .agg(F.count("*").alias("_key_rows"))
-        .where(F.col("_key_rows") > page_size)
-        .withColumn("_slot", F.lit(0))
+    names = [quoted(k) for k in keys]
+    ranged = stored_rows(
+        df.repartitionByRange(*names, *order_by).withColumn("_range", F.spark_partition_id())
+    )
+    within = Window.partitionBy(*names, "_range").orderBy(*order_by)
+    before = Window.partitionBy(*names).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (
+        ranged.groupBy(*names, "_range")
+        .agg(F.count("*").alias("_n"))
+        .withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+        .drop("_n")
     )
-    joined = slotted.join(large, [*keys, "_slot"], "left")
-    pages = F.ceil(F.col("_key_rows") / page_size)
-    page = F.when(F.col("_slot") > 0, F.col("_slot") - 1).otherwise(
-        F.coalesce(F.pmod(dealt, pages), F.lit(0))
+    on = same_key("r", "s", [*keys, "_range"])
+    numbered = ranged.withColumn("_turn", F.row_number().over(within)).alias("r")
+    return numbered.join(starts.alias("s"), on).select(
+        *[F.col(f"r.{quoted(c)}") for c in df.columns],
+        (F.col("r._turn") + F.col("s._start")).alias("_position"),
     )
-    return joined.withColumn("_page", page.cast("int")).drop("_hot_rows", "_key_rows")
 
 
 def one_row_per_key(df: DataFrame, keys: Sequence[str], *aggregates: Column) -> DataFrame:

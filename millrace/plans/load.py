@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from millrace.functions.cleanse import drop_sheet_errors
 from millrace.functions.hashing import SYNC_CREATED_AT
-from millrace.operators import quality, schema
+from millrace.operators import pii, quality, schema
 from millrace.operators.mapping import map_columns, quoted, table_name
 from millrace.plans.sync import replace_personal_data
 from millrace.session import Scratch
@@ -65,13 +65,47 @@ def load_file(
     if_exists: str = "append",
     auto_create: bool = True,
     rejects: str | None = None,
+    pii_switch: str | None = None,
+    audit: str | None = None,
+) -> LoadResult:
+    """Load tabular rows into a table, with audit rows where ``audit`` names a table.
+
+    All options but ``audit`` and ``pii_switch`` (as for ``sync``) are those of ``load_rows``.
+    """
+    if not pii.switched_on(pii_switch):
+        pii_config = None
+    database, _, name = table.rpartition(".")
+    with writers.audited(df.sparkSession, audit, source_system or name, database) as outcome:
+        done = load_rows(
+            df, table, mapping=mapping, target=target, pii_config=pii_config,
+            source_system=source_system, pii_context=pii_context, pii_table=pii_table,
+            if_exists=if_exists, auto_create=auto_create, rejects=rejects,
+        )
+        outcome["records"] = done.rows_written
+    return done
+
+
+def load_rows(
+    df: DataFrame,
+    table: str,
+    *,
+    mapping: Mapping[str, str] | None = None,
+    target: T.StructType | None = None,
+    pii_config: Mapping[str, object] | Sequence[str] | None = None,
+    source_system: str | None = None,
+    pii_context: str | None = None,
+    pii_table: str | None = None,
+    if_exists: str = "append",
+    auto_create: bool = True,
+    rejects: str | None = None,
 ) -> LoadResult:
     """Load tabular rows into a table; bad rows are told apart one by one.
 
     A missing table is created, after its database, from ``target`` or from the
     data with sized text columns, and gets a column for the time of loading.
     Columns the target fills itself are left out unless mapped. ``rejects`` names a table for the refused rows
-    and their reasons.
+    and their reasons. ``append`` refuses columns that the table lacks; ``replace`` with
+    other columns or types gives the table that shape.
     """
     spark = df.sparkSession
     exists = spark.catalog.tableExists(table)
@@ -88,6 +122,11 @@ def load_file(
         if target is None:
             known = spark.table(table).schema if exists else None
             target = known or schema.infer_schema(source, sized=True)
+        elif exists and if_exists == "append":
+            stored = spark.table(table).columns
+            unknown = [n for n in schema.data_fields(target) if n not in stored]
+            if unknown:
+                raise ValueError(f"columns not in {table}: {unknown}")
         source = schema.drop_generated(source, target, list((mapping or {}).values()))
         tagged = scratch.keep(schema.coerce(schema.conform(source, target), target))
         outcome = quality.load_outcome(tagged).first()
@@ -103,11 +142,19 @@ def load_file(
                 writers.ensure_database(spark, table.rsplit(".", 1)[0])
             writers.create_table(spark, table, target, sync_columns=[SYNC_CREATED_AT])
         rows = schema.accepted(tagged)
-        for f in spark.table(table).schema:
+        into = table
+        if exists and if_exists == "replace" and _changed(spark.table(table).schema, target):
+            # Other columns or types: the successor is made new and put in the table's place.
+            into = writers.staged_name(table)
+            writers.create_table(spark, into, target, sync_columns=[SYNC_CREATED_AT])
+        for f in spark.table(into).schema:
             if f.name not in rows.columns:
                 filled = F.current_timestamp() if f.name == SYNC_CREATED_AT else F.lit(None)
                 rows = rows.withColumn(f.name, filled.cast(f.dataType))
-        if if_exists == "replace":
+        if into != table:
+            writers.append_rows(rows, into)
+            writers.swap_in(spark, table, into)
+        elif if_exists == "replace":
             writers.reload_table(rows, table)
         else:
             writers.write_table(rows, table, "append")
@@ -117,6 +164,11 @@ def load_file(
     )
 
 
+def _changed(stored: T.StructType, target: T.StructType) -> bool:
+    own = {f.name: f.dataType for f in stored if f.name != SYNC_CREATED_AT}
+    return own != {n: f.dataType for n, f in schema.data_fields(target).items() if n != SYNC_CREATED_AT}
+
+
 def refresh_tables(
     spark: SparkSession,
     wanted: Sequence[str],

@@ -46,7 +46,7 @@ class Marts:
 
     snapshots: Mapping[str, SnapshotOf] = field(default_factory=dict)
     seeds: Mapping[str, Seed] = field(default_factory=dict)
-    staging: Mapping[str, Model] = field(default_factory=dict)
+    staging: Mapping[str, Model | str] = field(default_factory=dict)
     core: Mapping[str, Model] = field(default_factory=dict)
     reporting: Mapping[str, Model] = field(default_factory=dict)
     checks: Mapping[str, Model] = field(default_factory=dict)
@@ -87,9 +87,12 @@ def save_snapshot(
         closing = step.where(F.col(VALID_TO).isNotNull())
         newly = closing.join(known.select(*version), version, "left_anti")
         newly.withColumn(OPEN, F.lit(False)).select(*stored.columns).write.insertInto(table)
-        writers.replace_partitions(
-            step.where(F.col(VALID_TO).isNull()).withColumn(OPEN, F.lit(True)), table
-        )
+        still_open = step.where(F.col(VALID_TO).isNull()).withColumn(OPEN, F.lit(True))
+        if still_open.isEmpty():
+            # Overwriting with no rows touches no partition, so the open one is dropped by name.
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({OPEN} = true)")
+        else:
+            writers.replace_partitions(still_open, table)
 
 
 def build_marts(
@@ -100,7 +103,9 @@ def build_marts(
 ) -> Built:
     """Build all layers in order: snapshots, seeds, staging, core, reporting, checks.
 
-    Staging is made of views, core and reporting of tables. The first failure
+    Staging is made of views: a model given as SQL text, with ``{database}`` for the
+    database, becomes a view stored there; one given as a function lives as long as the
+    session. Core and reporting are tables. The first failure
     stops the build; the layers after it stay as they were. A check is a query
     for offending rows; findings are reported and do not stop anything.
     """
@@ -108,7 +113,7 @@ def build_marts(
     names: list[str] = []
 
     def read(name: str) -> DataFrame:
-        if name in marts.staging:
+        if name in marts.staging and not isinstance(marts.staging[name], str):
             return spark.table(name)
         rows = spark.table(f"{database}.{name}")
         return rows.drop(OPEN) if name in marts.snapshots else rows
@@ -120,7 +125,11 @@ def build_marts(
         load_seed(spark, seed.path, seed.schema, f"{database}.{name}")
         names.append(name)
     for name, make in marts.staging.items():
-        make(read).createOrReplaceTempView(name)
+        if isinstance(make, str):
+            sql = make.format(database=database)
+            spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS {sql}")
+        else:
+            make(read).createOrReplaceTempView(name)
         names.append(name)
     for layer in (marts.core, marts.reporting):
         for name, make in layer.items():

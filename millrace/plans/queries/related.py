@@ -23,14 +23,13 @@ from millrace.plans.queries.registry import iso_second, registered, table
 )
 def nested_orders(spark: SparkSession, sf: str) -> DataFrame:
     """Customers with their orders, newest first; flattened again to be compared."""
-    recent = -F.unix_micros(F.col("o_orderdate").cast("timestamp"))
     nested = relations.nest_children(
         table(spark, sf, "customer").select("c_custkey"),
         table(spark, sf, "orders"),
         "c_custkey",
         "o_custkey",
         "orders",
-        order_by=[recent, F.col("o_orderkey")],
+        order_by=[F.desc("o_orderdate"), F.col("o_orderkey")],
         columns=["o_orderkey", "o_totalprice"],
     )
     return nested.select("c_custkey", F.posexplode_outer("orders").alias("p", "o")).select(

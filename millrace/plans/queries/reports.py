@@ -9,9 +9,13 @@ from millrace.functions.cleanse import month_end, month_of, within_last_days, ye
 from millrace.operators.schema import narrow
 from millrace.plans.queries.registry import as_double, iso_date, registered, table
 from millrace.plans.reporting import (
+    CREDIT,
+    INVOICE,
     Dimension,
     build_reporting,
+    folded,
     money,
+    refolded,
     revenue_by,
     revenue_by_dimension,
     union_records,
@@ -47,6 +51,42 @@ def invoice_lines(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     return invoices, credits
 
 
+def typed_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Both record kinds from one scan, for totals that need no other column."""
+    kind = F.when(F.col("l_returnflag") == "R", F.lit(CREDIT)).otherwise(F.lit(INVOICE))
+    return table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("invoice_number"),
+        kind.alias("record_type"),
+        line_total().alias("line_total"),
+    )
+
+
+@registered(
+    "revenue_by_customer",
+    f"""
+    SELECT c.c_name AS customer_name,
+           CASE WHEN l.l_returnflag = 'R' THEN 'credit' ELSE 'invoice' END AS record_type,
+           count(*) AS n_rows,
+           CAST(sum({_LINE_TOTAL_SQL}) AS DOUBLE) AS revenue
+    FROM lineitem l
+    LEFT JOIN orders o ON o.o_orderkey = l.l_orderkey
+    LEFT JOIN customer c ON c.c_custkey = o.o_custkey
+    GROUP BY ALL
+    """,
+)
+def revenue_by_customer(spark: SparkSession, sf: str) -> DataFrame:
+    orders = Dimension(
+        table(spark, sf, "orders"), "o_orderkey", "invoice_number", {"o_custkey": "customer_code"}
+    )
+    customers = Dimension(
+        table(spark, sf, "customer"), "c_custkey", "customer_code", {"c_name": "customer_name"}
+    )
+    by_order = folded(typed_lines(spark, sf), ["invoice_number", "record_type"])
+    by_customer = refolded(with_dimension(by_order, orders), ["customer_code", "record_type"])
+    totals = refolded(with_dimension(by_customer, customers), ["customer_name", "record_type"])
+    return totals.withColumn("revenue", as_double("revenue"))
+
+
 @registered(
     "revenue_by_month",
     f"""
@@ -72,18 +112,19 @@ def revenue_by_month(spark: SparkSession, sf: str) -> DataFrame:
     customers = Dimension(
         table(spark, sf, "customer"), "c_custkey", "customer_code", {"c_mktsegment": "customer_group"}
     )
-    fact = build_reporting(*invoice_lines(spark, sf), [orders])
-    dated = fact.select(
+    # Folded before each join: the lines to one row an order, these to one a customer and month.
+    by_order = folded(typed_lines(spark, sf), ["invoice_number", "record_type"])
+    dated = with_dimension(by_order, orders).select(
         "customer_code",
         "record_type",
-        "line_total",
+        "n_rows",
+        "revenue",
         year_of(F.col("posted_date")).alias("year"),
         month_end(F.col("posted_date")).alias("end_of_month_bucket"),
     )
     own_keys = ["record_type", "year", "end_of_month_bucket"]
-    totals = revenue_by_dimension(
-        dated, customers, [*own_keys, "customer_group"], fact_keys=own_keys
-    )
+    by_customer = refolded(dated, ["customer_code", *own_keys])
+    totals = refolded(with_dimension(by_customer, customers), [*own_keys, "customer_group"])
     return totals.select(
         "record_type",
         "year",

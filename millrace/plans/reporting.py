@@ -102,11 +102,17 @@ def revenue_by_dimension(
     within each input partition already. So a key that holds a third of all rows
     joins as one row, and the join shuffles totals in place of fact rows.
     """
-    folded = fact.groupBy(dim.fact_key, *fact_keys).agg(
-        F.count("*").alias("_rows"), F.sum(revenue).alias("_revenue")
-    )
-    return (
-        with_dimension(folded, dim)
-        .groupBy(*keys)
-        .agg(F.sum("_rows").alias("n_rows"), F.sum("_revenue").alias("revenue"))
+    totals = folded(fact, [dim.fact_key, *fact_keys], revenue=revenue)
+    return refolded(with_dimension(totals, dim), keys)
+
+
+def folded(fact: DataFrame, keys: Sequence[str], *, revenue: str = "line_total") -> DataFrame:
+    """One row for each value of the keys, with its rows and revenue, to be joined further."""
+    return fact.groupBy(*keys).agg(F.count("*").alias("n_rows"), F.sum(revenue).alias("revenue"))
+
+
+def refolded(totals: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Totals by fewer, or joined, keys."""
+    return totals.groupBy(*keys).agg(
+        F.sum("n_rows").alias("n_rows"), F.sum("revenue").alias("revenue")
     )

@@ -57,6 +57,45 @@ def sync(
     strategy: str = "full",
     contract: T.StructType | None = None,
     run_time: dt.datetime | None = None,
+    pii_switch: str | None = None,
+    audit: str | None = None,
+) -> SyncResult:
+    """Sync a source into a table, with audit rows around it where ``audit`` names a table.
+
+    All options but ``audit`` and ``pii_switch`` (the text of the global switch for
+    personal-data replacement; false, 0 or no turn it off) are those of ``sync_rows``.
+    """
+    if not pii.switched_on(pii_switch):
+        pii_config = None
+    database, _, name = table.rpartition(".")
+    with writers.audited(source.sparkSession, audit, source_system or name, database) as outcome:
+        done = sync_rows(
+            source, table, keys=keys, mapping=mapping, pii_config=pii_config,
+            source_system=source_system, pii_context=pii_context, pii_table=pii_table,
+            mode=mode, on_bad=on_bad, order_by=order_by, partition_by=partition_by,
+            strategy=strategy, contract=contract, run_time=run_time,
+        )
+        outcome["records"] = done.inserted + done.updated
+    return done
+
+
+def sync_rows(
+    source: DataFrame,
+    table: str,
+    *,
+    keys: Sequence[str] = (),
+    mapping: Mapping[str, str] | None = None,
+    pii_config: Mapping[str, object] | Sequence[str] | None = None,
+    source_system: str = "",
+    pii_context: str | None = None,
+    pii_table: str | None = None,
+    mode: str = "auto",
+    on_bad: str = "fail",
+    order_by: Sequence[Column] = (),
+    partition_by: Sequence[str] = (),
+    strategy: str = "full",
+    contract: T.StructType | None = None,
+    run_time: dt.datetime | None = None,
 ) -> SyncResult:
     """Bring a table up to date with a source and say what changed.
 
@@ -64,8 +103,10 @@ def sync(
     inserted; without, rows with an unknown checksum are appended. ``mode='auto'``
     creates a missing table with wide nullable columns; ``'existing'`` demands a
     table that fits. ``contract`` declares columns that file tables cannot keep:
-    bounded types and NOT NULL. ``on_bad='skip'`` leaves out rows that lack a
-    required value.
+    bounded types and NOT NULL. A row is refused, with its reasons, if it lacks a
+    required value or a merge key, or if a value does not fit its column's type or
+    length; ``on_bad='skip'`` leaves such rows out, ``'fail'`` stops before anything is
+    written.
 
     The prepared source is written once to the scratch folder, so a remote
     source is read once and every count is taken from stored rows, exact even if
@@ -102,9 +143,8 @@ def sync(
             spark.catalog.refreshTable(table)
             writers.add_sync_columns(spark, table)
         target = spark.table(table)
-        tagged, required = _checked(prepared, contract or target.schema)
-        staged = scratch.keep(tagged)
-        skipped, errors = _rejects(staged, on_bad) if required else (0, [])
+        staged = scratch.keep(_checked(prepared, contract or target.schema, keys))
+        skipped, errors = _rejects(staged, on_bad)
         good = merge.with_checksum(schema.accepted(staged))
         rows_read = staged.count()
         stamp = F.lit(run_time or dt.datetime.now(dt.timezone.utc)).cast("timestamp")
@@ -155,6 +195,12 @@ def replace_personal_data(
 ) -> DataFrame:
     """Anonymised rows; new replacements are added to the mapping table first."""
     spark = rows.sparkSession
+    made_up = [n for n, c in config.items() if isinstance(c, Mapping) and c.get("field_type")] if isinstance(
+        config, Mapping
+    ) else []
+    if made_up and not mapping_table:
+        # Realistic texts are numbered by who came before, which only the table remembers.
+        raise ValueError(f"realistic replacements of {made_up} need a mapping table")
     if not mapping_table:
         return pii.anonymize(rows, config, source_system, context)[0]
     exists = spark.catalog.tableExists(mapping_table)
@@ -164,28 +210,32 @@ def replace_personal_data(
     return pii.anonymize(rows, config, source_system, context, spark.table(mapping_table))[0]
 
 
-def _checked(prepared: DataFrame, target: T.StructType) -> tuple[DataFrame, list[str]]:
+def _checked(prepared: DataFrame, target: T.StructType, keys: Sequence[str]) -> DataFrame:
     """Source rows in the target's columns and types, with their reject reasons."""
     data = schema.data_fields(target)
     shaped = schema.conform(prepared, target, on_extra="drop")
     report = schema.validate_frame(shaped.limit(0), target)
     if not report.is_valid:
         raise ValueError("source does not fit the table: " + "; ".join(report.issues))
-    required = [n for n, f in data.items() if not f.nullable]
-    cast = shaped.select(
-        *[
-            F.col(quoted(n)).cast(f.dataType).alias(n)
-            for n, f in data.items()
-            if n in shaped.columns
-        ]
-    )
-    lacking = F.array_compact(
-        F.array(
-            F.lit(None).cast("string"),
-            *[F.when(F.col(quoted(n)).isNull(), F.lit(f"{n} is null")) for n in required],
-        )
-    )
-    return cast.withColumn(schema.REJECT_REASONS, lacking), required
+    values, reasons = [], [F.lit(None).cast("string")]
+    for name, f in data.items():
+        if name not in shaped.columns:
+            continue
+        raw, kept = F.col(quoted(name)), shaped.schema[name].dataType == f.dataType
+        value = raw if kept else raw.try_cast(f.dataType)
+        values.append(value.alias(name))
+        if not f.nullable or name in keys:
+            reasons.append(F.when(raw.isNull(), F.lit(f"{name} is null")))
+        if not kept:
+            misfit = raw.isNotNull() & value.isNull()
+            reasons.append(F.when(misfit, F.lit(f"{name} does not fit {f.dataType.simpleString()}")))
+        bound = (f.metadata or {}).get("max_length")
+        if bound and isinstance(f.dataType, T.StringType):
+            reasons.append(
+                F.when(F.length(value) > bound, F.lit(f"{name} is longer than {bound} characters"))
+            )
+    listed = F.array_compact(F.array(*reasons)).alias(schema.REJECT_REASONS)
+    return shaped.select(*values, listed)
 
 
 def _rejects(staged: DataFrame, on_bad: str) -> tuple[int, list[dict]]:
@@ -218,54 +268,75 @@ def _merge_into(
             c.name for c in spark.catalog.listColumns(table) if c.isPartition and c.name in keys
         ]
     scope = target
-    if partition_by and strategy != "merge_into":
-        touched = _touched(good, partition_by)
-        scope = target.where(touched)
+    pruned = bool(partition_by) and strategy != "merge_into"
+    if pruned:
+        scope = _touched(target, good, partition_by)
     before = scope.count()
+    complete = _complete(single, target)
     if strategy == "merge_into":
-        writers.merge_rows(_complete(single, target).withColumn(SYNC_UPDATED_AT, stamp), table, keys)
+        writers.merge_rows(complete.withColumn(SYNC_UPDATED_AT, stamp), table, keys)
         written = spark.table(table).where(F.col(SYNC_UPDATED_AT) == stamp).count()
         inserted = spark.table(table).count() - before
         return inserted, written - inserted
+    counted = None
     if strategy == "delta":
-        changes = scratch.keep(merge.merge_changes(scope, _complete(single, target), keys, stamp))
+        changes = scratch.keep(merge.merge_changes(scope, complete, keys, stamp))
+        counted = changes
         merged = merge.merge_delta(scope, changes, keys)
     else:
-        merged = merge.merge_keyed(scope, _complete(single, target), keys, stamp).drop(merge.ACTION)
+        if not scope.where(F.col(SYNC_UPDATED_AT) == stamp).isEmpty():
+            # An earlier run had this run time, so the time does not tell what this one wrote.
+            slim = [quoted(k) for k in keys]
+            counted = merge.merge_keyed(
+                scope.select(*slim, SYNC_CHECKSUM, SYNC_UPDATED_AT),
+                single.select(*slim, SYNC_CHECKSUM),
+                keys,
+                stamp,
+            )
+        merged = merge.merge_keyed(scope, complete, keys, stamp).drop(merge.ACTION)
+    actions = dict(merge.action_counts(counted).collect()) if counted is not None else None
     merged = merged.select(*[quoted(c) for c in target.columns])
-    if partition_by:
+    if pruned:
         writers.replace_partitions(merged, table)
-        after = spark.table(table).where(touched)
+        after = _touched(spark.table(table), good, partition_by)
+    elif any(c.isPartition for c in spark.catalog.listColumns(table)):
+        # Renaming does not carry the places of all partitions along, so the successor is
+        # stored first and then written over the table.
+        writers.reload_table(scratch.keep(merged), table)
+        after = spark.table(table)
     else:
         staged = writers.stage(merged, table)
         writers.swap_in(spark, table, staged)
         after = spark.table(table)
+    if actions is not None:
+        return actions.get(merge.INSERTED, 0), actions.get(merge.UPDATED, 0)
     written = after.where(F.col(SYNC_UPDATED_AT) == stamp).count()
     inserted = after.count() - before
     return inserted, written - inserted
 
 
-# Up to this many values of a partition column are listed in a predicate.
+# Up to this many values of a partition column are listed in a predicate; beyond, its
+# range is, and the join below leaves only the partitions that are touched.
 LISTED_PARTITIONS = 5_000
 
 
-def _touched(source: DataFrame, partition_by: Sequence[str]) -> Column:
-    """Predicate for the partitions the source has rows in.
+def _touched(target: DataFrame, source: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """The rows of the partitions the source has rows in.
 
-    Listed values prune the file listing, so untouched partitions are not read.
-    A column with more values than may be listed does not prune at all: more is
-    then read and rewritten than needed, with the same result.
+    Listed values, or their range, prune the file listing. Partition columns are merge
+    keys, so none of the source's values is null.
     """
-    predicate = F.lit(True)
-    for name in partition_by:
-        column = F.col(quoted(name))
+    names = [quoted(n) for n in partition_by]
+    wanted = source.select(*names).distinct()
+    for name in names:
+        column = F.col(name)
         found = source.select(column).distinct().limit(LISTED_PARTITIONS + 1).collect()
         if len(found) <= LISTED_PARTITIONS:
-            values = [r[0] for r in found if r[0] is not None]
-            listed = column.isin(*values) if values else F.lit(False)
-            with_null = any(r[0] is None for r in found)
-            predicate = predicate & (listed | column.isNull() if with_null else listed)
-    return predicate
+            target = target.where(column.isin(*[r[0] for r in found]) if found else F.lit(False))
+        else:
+            low, high = source.agg(F.min(column), F.max(column)).first()
+            target = target.where(column.between(F.lit(low), F.lit(high)))
+    return target.join(wanted, list(partition_by), "left_semi").select(*[quoted(c) for c in target.columns])
 
 
 def _complete(rows: DataFrame, target: DataFrame) -> DataFrame:

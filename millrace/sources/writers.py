@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
@@ -14,6 +15,7 @@ from pyspark.sql import types as T
 from millrace.functions.hashing import SYNC_CHECKSUM, SYNC_CREATED_AT, SYNC_UPDATED_AT
 from millrace.operators import merge
 from millrace.operators.mapping import clean_column_names, quoted
+from millrace.session import stored_rows
 
 _MODES = {"append": "append", "replace": "overwrite", "fail": "errorifexists"}
 
@@ -44,11 +46,21 @@ def write_table(df: DataFrame, table: str, if_exists: str = "append") -> None:
         raise ValueError(f"if_exists must be one of {sorted(_MODES)}")
     require_database(df.sparkSession, table)
     if if_exists == "append" and df.sparkSession.catalog.tableExists(table):
-        columns = df.sparkSession.table(table).columns
-        df = df.select(*[quoted(c) for c in columns])
+        append_rows(df, table)
+        return
     df.write.mode(_MODES[if_exists]).format("parquet").saveAsTable(table)
 
 
+def append_rows(df: DataFrame, table: str) -> None:
+    """Add rows to a table, partitioned or not, by column name; unknown columns are an error."""
+    columns = df.sparkSession.table(table).columns
+    unknown = [c for c in df.columns if c not in columns]
+    if unknown:
+        raise ValueError(f"columns not in {table}: {unknown}")
+    with _setting(df.sparkSession, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+        df.select(*[quoted(c) for c in columns]).write.insertInto(table)
+
+
 def refresh_table(df: DataFrame, table: str) -> None:
     """Full refresh: new schema, new rows, cleaned column names."""
     require_database(df.sparkSession, table)
@@ -94,13 +106,32 @@ def add_sync_columns(spark: SparkSession, table: str) -> list[str]:
     return lacking
 
 
+def staged_name(table: str) -> str:
+    return f"{table}__staged_{uuid.uuid4().hex[:12]}"
+
+
 def stage(df: DataFrame, table: str) -> str:
     """Write next to ``table`` under a name of its own; returns that name."""
-    staged = f"{table}__staged_{uuid.uuid4().hex[:12]}"
-    df.write.mode("errorifexists").format("parquet").saveAsTable(staged)
+    spark = df.sparkSession
+    staged = staged_name(table)
+    if spark.catalog.tableExists(table) and df.columns == spark.table(table).columns:
+        # The successor keeps the table's format, partitioning and properties.
+        spark.sql(f"CREATE TABLE {staged} LIKE {table}{_properties_of(spark, table)}")
+        append_rows(df, staged)
+    else:
+        df.write.mode("errorifexists").format("parquet").saveAsTable(staged)
     return staged
 
 
+def _properties_of(spark: SparkSession, table: str) -> str:
+    """A TBLPROPERTIES clause with the user's properties of the table."""
+    rows = spark.sql(f"SHOW TBLPROPERTIES {table}").collect()
+    own = {r["key"]: r["value"] for r in rows if "." not in r["key"] and r["key"] != "transient_lastDdlTime"}
+    quote = lambda text: "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    listed = ", ".join(f"{quote(k)} = {quote(v)}" for k, v in sorted(own.items()))
+    return f" TBLPROPERTIES ({listed})" if listed else ""
+
+
 def swap_in(spark: SparkSession, table: str, staged: str) -> None:
     """Put a staged table in the place of ``table``.
 
@@ -222,6 +253,41 @@ def record_sync(
     row.write.mode("append").format("parquet").saveAsTable(table)
 
 
+@contextmanager
+def audited(
+    spark: SparkSession, table: str | None, connector: str, schema: str
+) -> Iterator[dict[str, int]]:
+    """Audit rows around a job: running, then success with its ``records``, or error.
+
+    Without a table nothing is written.
+    """
+    started = dt.datetime.now(dt.timezone.utc)
+    outcome: dict[str, int] = {"records": 0}
+    if not table:
+        yield outcome
+        return
+    record_sync(spark, table, connector, schema, started)
+
+    def ended(status: str, error: str | None = None) -> None:
+        record_sync(
+            spark, table, connector, schema, started,
+            completed_at=dt.datetime.now(dt.timezone.utc), status=status,
+            records=outcome["records"], error=error,
+        )
+
+    try:
+        yield outcome
+    except Exception as error:
+        ended("error", str(error).splitlines()[0][:500])
+        raise
+    ended("success")
+
+
+def stored_result(df: DataFrame) -> DataFrame:
+    """Rows that outlive what they were computed from, such as a table about to be replaced."""
+    return stored_rows(df)
+
+
 def latest_syncs(audit: DataFrame) -> DataFrame:
     """The newest audit row of each connector and schema."""
     return merge.first_per_key(

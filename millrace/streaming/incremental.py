@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from millrace.operators.events import checked_events, ingest_events
+from millrace.operators.events import ingest_events
 from millrace.plans.sync import sync
 
 BATCH = "batch_id"
@@ -37,25 +37,18 @@ def ingest_stream(
     *,
     completed: Callable[[SparkSession], DataFrame] | None = None,
     order_by: Column | None = None,
-    watermark: tuple[str, str] | None = None,
     continuous: str | None = None,
 ) -> StreamingQuery:
     """Ingest a stream of events into the store, each event once.
 
     Every micro-batch is compared with what earlier batches stored and written
     to a partition of its own, which a repeated batch overwrites: the result is
-    the same however often a batch is tried. Nothing is kept in streaming state
-    unless ``watermark`` (column, delay) asks for dropping near repeats early;
-    later ones are still caught by the comparison.
+    the same however often a batch is tried. Nothing is kept in streaming state,
+    so an event counts as new however late it comes.
 
     By default it takes what is there and stops (for a run from outside, say
     hourly); ``continuous`` is a trigger interval for a standing query.
     """
-    if watermark:
-        column, delay = watermark
-        tagged = checked_events(events).withWatermark(column, delay)
-        events = tagged.where("_problem IS NULL").dropDuplicatesWithinWatermark(["event_hash"])
-
     def take(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         earlier = read_store(spark, store).where(F.col(BATCH) < batch_id)

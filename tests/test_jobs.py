@@ -344,15 +344,15 @@ def test_event_stream_takes_each_event_once(spark):
     assert run() == 3
 
 
-def test_event_stream_with_watermark(spark):
+def test_events_count_as_new_however_late(spark):
     landed, store, progress = (scratch_dir(spark, n) for n in ("in", "store", "progress"))
     ddl = "event_type string, event_data string, at timestamp"
-    spark.createDataFrame(
-        [("t", "{}", DAY), ("t", "{ }", DAY), ("u", "{}", DAY)], ddl
-    ).write.parquet(landed)
-    rows = spark.readStream.schema(ddl).parquet(landed)
-    ingest_stream(rows, store, progress, watermark=("at", "1 hour")).awaitTermination()
-    assert read_store(spark, store).count() == 2
+    rows = spark.readStream.schema(ddl).parquet
+    day = dt.timedelta(days=1)
+    for batch in ([("t", "1", DAY + 31 * day)], [("t", "2", DAY + 32 * day)], [("t", "3", DAY), ("t", "4", DAY + 33 * day)]):
+        spark.createDataFrame(batch, ddl).coalesce(1).write.mode("append").parquet(landed)
+        ingest_stream(rows(landed), store, progress).awaitTermination()
+    assert as_set(read_store(spark, store), "event_data") == {("1",), ("2",), ("3",), ("4",)}
 
 
 def test_row_stream_sync(spark, database):
@@ -367,3 +367,116 @@ def test_row_stream_sync(spark, database):
 
     assert run([(1, "a"), (2, "b")]) == {(1, "a"), (2, "b")}
     assert run([(2, "B"), (3, "c")]) == {(1, "a"), (2, "B"), (3, "c")}
+
+
+# ---- what a sync refuses, keeps and counts ----------------------------------
+
+def test_sync_refuses_rows_with_reasons(spark, database):
+    contract = T.StructType([column("k", "INT"), column("v", "NVARCHAR(3)")])
+    rows = frame(spark, [(1, "abc"), (3_000_000_000, "a"), (2, "abcdefgh"), (None, "x")], "k long, v string")
+    done = sync(rows, f"{database}.r", keys=["k"], contract=contract, on_bad="skip")
+    assert counts(done) == (1, 0, 0, 0, 3)
+    reasons = sorted(r for e in done.errors for r in e["_reject_reasons"])
+    assert reasons == ["k does not fit int", "k is null", "v is longer than 3 characters"]
+    assert as_set(spark.table(f"{database}.r"), "k", "v") == {(1, "abc")}
+    with pytest.raises(ValueError, match="3 rows"):
+        sync(rows, f"{database}.r", keys=["k"], contract=contract)
+
+
+def test_sync_repeated_with_its_run_time(spark, database):
+    rows = frame(spark, [(k, "a") for k in range(10)])
+    for want in ((10, 0, 0, 0, 0), (0, 0, 10, 0, 0)):
+        assert counts(sync(rows, f"{database}.t", keys=["k"], run_time=DAY)) == want
+    changed = frame(spark, [(k, "b" if k < 3 else "a") for k in range(11)])
+    assert counts(sync(changed, f"{database}.t", keys=["k"], run_time=DAY)) == (1, 3, 7, 0, 0)
+    assert counts(sync(changed, f"{database}.t", keys=["k"], run_time=DAY, strategy="delta")) == (0, 0, 11, 0, 0)
+
+
+def test_sync_keeps_the_shape_of_the_table(spark, database):
+    name = f"{database}.p"
+    spark.sql(f"CREATE TABLE {name} (k INT, v STRING) USING parquet PARTITIONED BY (v) TBLPROPERTIES ('owner_team' = 'x')")
+    sync(frame(spark, [(1, "a"), (2, "b")]), name, keys=["k"])
+    sync(frame(spark, [(2, "c")]), name, keys=["k"])
+    assert [c.name for c in spark.catalog.listColumns(name) if c.isPartition] == ["v"]
+    assert as_set(spark.table(name), "k", "v") == {(1, "a"), (2, "c")}
+    assert as_set(spark.sql(f"SHOW TBLPROPERTIES {name} ('owner_team')")) == {("owner_team", "x")}
+    appended = f"{database}.q"
+    spark.sql(f"CREATE TABLE {appended} (k INT, v STRING) USING parquet PARTITIONED BY (v)")
+    sync(frame(spark, [(1, "a")]), appended)
+    assert counts(sync(frame(spark, [(1, "a"), (2, "b")]), appended))[0] == 1
+    assert as_set(spark.table(appended), "k", "v") == {(1, "a"), (2, "b")}
+
+
+def test_realistic_replacements_need_a_mapping_table(spark, database):
+    rows = frame(spark, [(1, "Ann")])
+    config = {"v": {"field_type": "name"}}
+    with pytest.raises(ValueError, match="mapping table"):
+        sync(rows, f"{database}.s", keys=["k"], pii_config=config)
+    people = f"{database}.people"
+    for n in (200, 400):
+        before = as_set(spark.table(f"{database}.s"), "k", "v") if n > 200 else set()
+        sync(frame(spark, [(k, f"p{k}") for k in range(n)]), f"{database}.s", keys=["k"], pii_config=config, pii_table=people)
+        assert before <= as_set(spark.table(f"{database}.s"), "k", "v")
+
+
+def test_load_of_new_columns(spark, database):
+    name = f"{database}.l"
+    ddl = "id int, v string"
+    load_file(spark.createDataFrame([(1, "a")], ddl), name)
+    wide = T.StructType([column("id", "INT"), column("v", "NVARCHAR(9)"), column("w", "INT")])
+    more = spark.createDataFrame([(2, "b", 3)], "id int, v string, w int")
+    with pytest.raises(ValueError, match="'w'"):
+        load_file(more, name, target=wide)
+    assert load_file(more, name, target=wide, if_exists="replace").rows_written == 1
+    assert as_set(spark.table(name), "id", "v", "w") == {(2, "b", 3)}
+
+
+def test_snapshot_of_an_emptied_source(spark, database):
+    name = f"{database}.h"
+    rows = frame(spark, [(1, "a"), (2, "b")])
+    save_snapshot(spark, name, SnapshotOf(rows, ["k"]), DAY)
+    for _ in range(2):
+        save_snapshot(spark, name, SnapshotOf(rows.limit(0), ["k"]), DAY + dt.timedelta(days=1))
+    stored = spark.table(name)
+    assert stored.count() == 2 and stored.where("valid_to IS NULL OR is_open").count() == 0
+
+
+# ---- event jobs ---------------------------------------------------------------
+
+def test_a_move_that_stops_between_its_writes(spark, database, monkeypatch):
+    from millrace.plans import events as jobs
+
+    tables = jobs.EventTables(database)
+    rows = spark.createDataFrame([("t", '{"n":1}'), ("t", '{"n":2}'), ("t", "junk"), ("t", '{"n":1}')], "event_type string, event_data string")
+    done = jobs.ingest(rows, tables)
+    assert (done.total, done.created, done.duplicate, done.failed, done.status) == (4, 2, 1, 1, "partial")
+    assert done.created_ids.count() == 2 and done.failures.count() == 1
+    assert jobs.ingest(rows, tables).created == 0
+    ids = [r.id for r in spark.table(tables.store).orderBy("event_data").collect()]
+    result = (ids[0], "success", 200, "{}", None, None, "u", "POST", "{}")
+    ddl = "event_id long, status string, status_code int, data string, error string, response_headers string, integration_url string, integration_request_method string, integration_payload string"
+    for want in ("inserted", "updated"):
+        assert as_set(jobs.log_results(spark.createDataFrame([result], ddl), tables), "action") == {(want,)}
+    swap, calls = writers.swap_in, []
+
+    def stops(*args):
+        calls.append(args)
+        raise RuntimeError("stopped")
+
+    monkeypatch.setattr(writers, "swap_in", stops)
+    with pytest.raises(RuntimeError):
+        jobs.archive(spark, tables)
+    monkeypatch.setattr(writers, "swap_in", swap)
+    assert spark.table(tables.completed).count() == 1 and spark.table(tables.store).count() == 2
+    assert jobs.archive(spark, tables) == 0
+    assert (spark.table(tables.completed).count(), spark.table(tables.store).count(), spark.table(tables.logs).count()) == (1, 1, 0)
+    assert jobs.ingest(rows, tables).created == 0
+
+
+def test_switch_and_audit(spark, database):
+    rows = frame(spark, [(1, "Ann")])
+    sync(rows, f"{database}.off", keys=["k"], pii_config=["v"], pii_switch="false", audit=f"{database}.audit")
+    assert spark.table(f"{database}.off").first().v == "Ann"
+    load_file(rows, f"{database}.on", pii_config=["v"], pii_switch="yes", audit=f"{database}.audit")
+    assert spark.table(f"{database}.on").first().v.startswith("V_")
+    assert sorted(r.sync_status for r in spark.table(f"{database}.audit").collect()) == ["running", "running", "success", "success"]
