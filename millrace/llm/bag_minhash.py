@@ -209,8 +209,12 @@ def links(docs: DataFrame, near: Near = Near()) -> DataFrame:
     banded = signature_bands(texts, near)
     buckets = banded.groupBy("v").agg(F.min("bands").alias("bands")).select("v", F.explode("bands").alias("bucket"))
     buckets = stored_rows(buckets)
-    shared = buckets.groupBy("bucket").count().where("count > 1").select("bucket")
-    members = stored_rows(buckets.join(shared, "bucket"))
+    shared = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    sized = stored_rows(buckets.join(shared, "bucket"))
+    # A text that others are copies of meets more of them than they meet each other, so it
+    # leads its buckets and takes them all; led by a copy, a group would fall to pieces.
+    met = sized.groupBy("v").agg(F.sum("n").alias("met"))
+    members = stored_rows(sized.join(met, "v").select("bucket", "v", "met"))
     needed = stored_rows(
         texts.join(members.select("v").distinct(), "v", "left_semi").groupBy("v").agg(F.min("text").alias("text"))
     )
@@ -218,16 +222,16 @@ def links(docs: DataFrame, near: Near = Near()) -> DataFrame:
     leaders = near.leaders
     while has_rows(members):
         # Each task keeps as many rows of a bucket as there are leaders, before the shuffle.
-        turn = F.row_number().over(W.partitionBy("bucket").orderBy(F.xxhash64("v", "bucket"), "v"))
+        turn = F.row_number().over(W.partitionBy("bucket").orderBy(F.desc("met"), F.xxhash64("v", "bucket"), "v"))
         heads = members.withColumn("turn", turn).where(F.col("turn") <= leaders)
         heads = stored_rows(heads.select("bucket", F.col("v").alias("a")))
-        met = stored_rows(members.join(heads, "bucket").where("v != a"))
-        pairs = met.select(F.least("a", "v").alias("a"), F.greatest("a", "v").alias("b")).distinct()
+        faced = stored_rows(members.select("bucket", "v").join(heads, "bucket").where("v != a"))
+        pairs = faced.select(F.least("a", "v").alias("a"), F.greatest("a", "v").alias("b")).distinct()
         news = verified(pairs.join(done.select("a", "b"), ["a", "b"], "left_anti"), needed, near)
         done = stored_rows(done.unionByName(news))
         close = done.where(F.col("similarity") >= near.similarity)
         either = close.select("a", F.col("b").alias("v")).union(close.select("b", "a"))
-        gone = met.join(either, ["a", "v"], "left_semi").select("bucket", "v")
+        gone = faced.join(either, ["a", "v"], "left_semi").select("bucket", "v")
         gone = gone.union(heads.select("bucket", F.col("a").alias("v"))).distinct()
         rest = stored_rows(members.join(gone, ["bucket", "v"], "left_anti"))
         members = stored_rows(
