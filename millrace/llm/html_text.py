@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections import defaultdict
 from collections.abc import Iterator
 from html import unescape
 
@@ -54,9 +55,14 @@ IMPLIED = {
     "rt": ({"rt", "rp"}, {"ruby"}),
     "rp": ({"rt", "rp"}, {"ruby"}),
 }
+#: A start tag of a table part ends what lies open in the part named second, as browsers do.
+PARTS_IN = dict.fromkeys(("td", "th"), {"tr", "tbody", "thead", "tfoot", "table"}) | {
+    "tr": {"tbody", "thead", "tfoot", "table"}
+} | dict.fromkeys(("tbody", "thead", "tfoot", "caption", "colgroup"), {"table"})
+ROWS = frozenset("table tbody thead tfoot tr".split())
 #: End tags do not reach beyond these.
 SCOPES = frozenset("table td th caption html template".split())
-DEPTH = 200  # deeper elements are read as children of the one at this depth
+DEPTH = 200  # what is in deeper elements is read as content of the one at this depth
 
 _PART = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 _ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
@@ -98,20 +104,39 @@ def parse(html: str) -> Node:
     """The element tree. Every text has one; end tags without a start are passed over."""
     root = Node("html")
     stack = [root]
+    #: Where the stack holds elements of a name, but for the root.
+    places: defaultdict[str, list[int]] = defaultdict(list)
+
+    def nearest(names: set[str] | frozenset[str]) -> int:
+        return max((places[n][-1] for n in names if places[n]), default=0)
+
+    def push(node: Node) -> None:
+        stack[-1].children.append(node)
+        if len(stack) >= DEPTH:
+            # The element itself stays empty; its content goes on where it stands, or nowhere.
+            content = stack[-1].children if _seen(node) else []
+            if node.name in ("td", "th"):
+                content.append(" ")
+            node = Node(node.name)
+            node.children = content
+        places[node.name].append(len(stack))
+        stack.append(node)
+
+    def cut(size: int) -> None:
+        while len(stack) > size:
+            node = stack.pop()
+            places[node.name].pop()
+            if len(stack) >= DEPTH and (node.name in BLOCK or node.name in ("td", "th")):
+                node.children.append(Node("div") if node.name in BLOCK else " ")
 
     def close(names: set[str] | frozenset[str], stops: set[str] | frozenset[str]) -> None:
-        for k in range(len(stack) - 1, 0, -1):
-            if stack[k].name in names:
-                del stack[k:]
-                return close(names, stops)
-            if stack[k].name in stops:
-                return None
-        return None
+        while (k := nearest(names)) and k >= nearest(stops):
+            cut(k)
 
     def text(part: str) -> None:
         if part:
             if stack[-1].name == "head" and not part.isspace():
-                stack.pop()
+                cut(len(stack) - 1)
             stack[-1].children.append(unescape(part) if "&" in part else part)
 
     at, end = 0, len(html)
@@ -132,39 +157,38 @@ def parse(html: str) -> Node:
             continue
         name = name.lower()
         if found.group(1):
-            if name == "p" and not any(n.name == "p" for n in stack):
+            if name == "p" and not places["p"]:
                 stack[-1].children.append(Node("p"))
                 continue
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].name == name:
-                    del stack[k:]
-                    break
-                if stack[k].name in SCOPES and name not in ("table", "html", "body", "tr", "tbody", "thead", "tfoot"):
-                    break
+            k = nearest({name})
+            if k and (name in ("table", "html", "body", "tr", "tbody", "thead", "tfoot") or k >= nearest(SCOPES)):
+                cut(k)
             continue
-        if name in ("html", "body") and any(n.name == name for n in stack):
+        if name == "html" or (name == "body" and places["body"]):
             continue
         if stack[-1].name == "head" and name not in HEADS:
-            stack.pop()
+            cut(len(stack) - 1)
         if name in CLOSES_P:
             close({"p"}, SCOPES | {"button"})
         if name[0] == "h" and name[1:] in "123456" and len(name) == 2 and stack[-1].name in BLOCK and stack[-1].name[0] == "h" and stack[-1].name[1:].isdigit():
-            stack.pop()
+            cut(len(stack) - 1)
         if name in IMPLIED:
             close(*IMPLIED[name])
+            if name in PARTS_IN and (k := nearest(PARTS_IN[name])):
+                cut(k + 1)
             if name in ("td", "th") and stack[-1].name in ("table", "tbody", "thead", "tfoot"):
-                row = Node("tr")
-                stack[-1].children.append(row)
-                stack.append(row)
+                push(Node("tr"))
         node = _made(name, found.group(3).rstrip("/"))
-        stack[-1].children.append(node)
+        if name in VOID or name in RAW or (name == "form" and stack[-1].name in ROWS):
+            # A form that begins between cells holds nothing; what follows is the table's.
+            stack[-1].children.append(node)
+        else:
+            push(node)
         if name in RAW:
             stop = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>?", re.I).search(html, at)
             body = html[at : stop.start()] if stop else html[at:]
             at = stop.end() if stop else end
             node.children.append(unescape(body) if name in ("title", "textarea") else body)
-        elif name not in VOID and len(stack) < DEPTH:
-            stack.append(node)
     return root
 
 
@@ -240,14 +264,31 @@ def _seen(node: Node) -> bool:
 
 
 def _table(page: _Page, table: Node) -> None:
-    """Rows with cells of a column beginning at one place, two spaces apart."""
+    """Rows with cells of a column beginning at one place, two spaces apart.
+
+    What has no place in a table, in its sections or rows comes before it, as browsers put
+    it, a line for each row; in a hidden row it is hidden.
+    """
     rows: list[list[tuple[str, int]]] = []
 
-    def gather(node: Node) -> None:
+    def strays(node: Node) -> None:
         for child in node.children:
             if isinstance(child, str):
-                continue
-            if not _seen(child):
+                if not child.isspace():
+                    page.words(child, False)
+            elif child.name in ("tr", "thead", "tbody", "tfoot", "colgroup"):
+                page.end()
+                if _seen(child):
+                    strays(child)
+                page.end()
+            elif child.name in ("caption", "col", "td", "th"):
+                page.end()
+            else:
+                _walk(page, child, False)
+
+    def gather(node: Node) -> None:
+        for child in node.children:
+            if isinstance(child, str) or not _seen(child):
                 continue
             if child.name == "tr":
                 rows.append([(_inner(c), c.span) for c in child.children if isinstance(c, Node) and c.name in ("td", "th") and _seen(c)])
@@ -257,14 +298,8 @@ def _table(page: _Page, table: Node) -> None:
                 page.end()
                 page.words(_inner(child), True)
                 page.end()
-            elif child.name not in ("colgroup", "col"):
-                # What has no place in a table comes before it, as browsers put it.
-                _walk(page, child, False)
-                page.end()
 
-    for child in table.children:
-        if isinstance(child, str) and not child.isspace():
-            page.words(child, False)
+    strays(table)
     page.end()
     gather(table)
     widths: dict[int, int] = {}
@@ -378,7 +413,8 @@ def extract_text(pages: DataFrame) -> DataFrame:
 
     Null and empty pages have an empty text. Null ids and repeated rows stay; an empty
     table gives no rows. Only page_id and html are read. Rendering needs memory in
-    proportion to one page; elements deeper than ``DEPTH`` are laid side by side.
+    proportion to one page; elements deeper than ``DEPTH`` are laid side by side, and
+    hidden ones among them stay hidden.
     """
     ship(pages.sparkSession)
 

@@ -123,6 +123,33 @@ def test_render(html, text):
     assert render(html) == text
 
 
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        ("<table><tr><form><td>a</td><td>b</td></form></tr></table>", "a  b"),
+        ("<table><form hidden><tr><td>a<td>b</form></table>", "a  b"),
+        ("<table><tr><a><td>a</td></a><td>b</table>", "a  b"),
+        ("<table><tr>see <a>here</a><td>a</td> and</table>", "see here\nand\na"),
+        ("<table><tbody>s<tr>r<td>a</td></tr><tr>q<td>b</table>", "s\nr\nq\na\nb"),
+        ("<table>t<colgroup>c<tr><td>a<caption>n</caption></table>z", "t\nc\nn\na\n\nz"),
+        ("<table><tr><div>d<div>e</div></div><td>a<tr hidden>x<td>y</table>", "d\ne\na"),
+        ("<table><tr><script>x</script><i hidden>y<td>a</table>", "a"),
+    ],
+)
+def test_what_lies_between_cells_stays(html, text):
+    assert render(html) == text
+
+
+@pytest.mark.parametrize("depth", [197, 198, 199, 200, 201, 300])
+def test_hidden_and_closed_elements_at_any_depth(depth):
+    html = "<i>" * depth + "<b hidden>x<b>y</b>z</b><noscript>n</noscript>a</u><u>b</u>" + "</i>" * depth + "c"
+    assert render(html) == "abc"
+    rows = "<i>" * depth + "<table><tr>s<td>a<td>b</table>"
+    assert render(rows).split() == ["s", "a", "b"]
+    assert render("<i>" * depth + "<div>a</div>b").split() == ["a", "b"]
+    assert render("<p hidden>" + "<i>" * depth + "x" + "</i>" * depth + "</p>y") == "y"
+
+
 def test_deep_pages_end():
     assert render("<div>" * 5000 + "y") == "y" and render("<b>" * 20000 + "z") == "z"
 
