@@ -5,8 +5,10 @@ kind and its canonical form, so one person's address is replaced alike in all te
 spellings. A surrogate keeps what the form tells: letters stay letters of their case,
 digits digits, separators stay; cards keep their issuer and check digit, names their
 gender and script. Different entities that would get one surrogate, or a surrogate that is
-itself an entity of the corpus, are drawn again until none is left. All of it is built
-from Spark's own functions.
+itself an entity of the corpus, are drawn again until none is left. Each draw has more to
+choose from than the one before: letters, syllables or, where the form is fixed and draws
+within it have failed, digits behind a hyphen are added. All of it is built from Spark's own
+functions.
 """
 
 from __future__ import annotations
@@ -92,8 +94,12 @@ def _stream(*parts: Column) -> Column:
     return F.concat(F.sha2(joined, 256), F.sha2(F.concat(joined, F.lit("|more")), 256))
 
 
+LETTERS = 86  # base64 characters of 64 bytes
+
+
 def _letters(hexes: Column) -> Column:
-    return F.translate(hexes, "0123456789abcdef", "bcdfghjklmnprstv")
+    """``LETTERS`` letters, each of the whole alphabet."""
+    return F.translate(F.lower(F.base64(F.unhex(hexes))), "0123456789+/=\r\n", "abcdefghijkl")
 
 
 def _digits(hexes: Column) -> Column:
@@ -103,21 +109,24 @@ def _digits(hexes: Column) -> Column:
 def _fill(surface: Column, hexes: Column, keep: Column | int = 0) -> Column:
     """The surface with its letters and digits drawn anew from ``hexes``, but for the first ``keep``."""
     keep = keep if isinstance(keep, Column) else F.lit(keep)
-    letters, digits = _letters(hexes), _digits(hexes)
-    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("n"))
+    start = F.struct(
+        F.lit("").alias("out"), F.lit(0).alias("n"), _letters(hexes).alias("letters"), _digits(hexes).alias("digits")
+    )
 
     def step(at: Column, c: Column) -> Column:
         digit, letter = F.regexp_like(c, F.lit("^[0-9]$")), F.regexp_like(c, F.lit("^\\p{L}$"))
-        place = F.pmod(at["n"] - keep, F.lit(128)) + 1
+        drawn_letter = F.substring(at["letters"], F.pmod(at["n"] - keep, F.lit(LETTERS)) + 1, F.lit(1))
         drawn = (
             F.when(at["n"] < keep, c)
-            .when(digit, F.substring(digits, place, F.lit(1)))
-            .when(F.upper(c) == c, F.upper(F.substring(letters, place, F.lit(1))))
-            .otherwise(F.substring(letters, place, F.lit(1)))
+            .when(digit, F.substring(at["digits"], F.pmod(at["n"] - keep, F.lit(128)) + 1, F.lit(1)))
+            .when(F.upper(c) == c, F.upper(drawn_letter))
+            .otherwise(drawn_letter)
         )
         return F.struct(
             F.concat(at["out"], F.when(digit | letter, drawn).otherwise(c)).alias("out"),
             (at["n"] + (digit | letter).cast("int")).alias("n"),
+            at["letters"].alias("letters"),
+            at["digits"].alias("digits"),
         )
 
     return F.aggregate(F.split(surface, ""), start, step)["out"]
@@ -154,13 +163,15 @@ def _cyrillic(text: Column) -> Column:
     return F.regexp_like(text, F.lit("\\p{IsCyrillic}"))
 
 
-def _spoken(hexes: Column, like: Column) -> Column:
-    """A surname of three syllables in the script of ``like``."""
+def _spoken(hexes: Column, like: Column, attempt: Column) -> Column:
+    """A surname of three syllables, and one more each attempt, in the script of ``like``."""
     consonants = F.translate(hexes, "0123456789abcdef", "bdfghklmnprstvzk")
     vowels = F.translate(hexes, "0123456789abcdef", "aeiouaeiouaeioua")
-    latin = F.initcap(
-        F.concat(*[F.substring(x, i, 1) for i in (1, 3, 5) for x in (consonants, F.substring(vowels, 2, 9))])
+    syllables = F.transform(
+        F.sequence(F.lit(0), attempt + 2),
+        lambda i: F.concat(F.substring(consonants, 2 * i + 1, F.lit(1)), F.substring(vowels, 2 * i + 2, F.lit(1))),
     )
+    latin = F.initcap(F.array_join(syllables, ""))
     return F.when(
         _cyrillic(like), F.translate(latin, "bdfghklmnprstvzaeiouBDFGHKLMNPRSTVZ", "бдфгхклмнпрствзаеиоуБДФГХКЛМНПРСТВЗ")
     ).otherwise(latin)
@@ -171,12 +182,19 @@ def draw(kind: Column, canon: Column, attempt: Column, key: str) -> Column:
     return _stream(F.lit(key), kind, canon, attempt.cast("string"))
 
 
-def surrogate(kind: Column, canon: Column, hexes: Column, key: str) -> Column:
+IN_FORM = 5  # draws within a fixed form, before it is given digits more
+
+
+def surrogate(kind: Column, canon: Column, hexes: Column, key: str, attempt: Column | int = 0) -> Column:
     """What stands for an entity in canonical form, from its drawn digits.
 
-    The arguments are used many times over: pass columns or fields, not expressions.
+    The arguments are used many times over: pass columns or fields, not expressions. What is
+    added to a fixed form stands behind a ``#``.
     """
+    attempt = attempt if isinstance(attempt, Column) else F.lit(attempt)
     digits = _digits(hexes)
+    more = F.when(attempt > 0, F.substring(F.reverse(_letters(hexes)), F.lit(1), attempt)).otherwise(F.lit(""))
+    free = kind.isin("email", "name", "secret")
     octets = [
         F.pmod(F.conv(F.substring(hexes, 2 * i + 1, 2), 16, 10).cast("int"), F.lit(m)) + a
         for i, (m, a) in enumerate(((115, 11), (256, 0), (256, 0), (254, 1)))
@@ -185,11 +203,12 @@ def surrogate(kind: Column, canon: Column, hexes: Column, key: str) -> Column:
     host = _fill(F.substring_index(domain, ".", 1), _stream(F.lit(key), F.lit("domain"), domain))
     top = F.substring_index(domain, ".", -1)
     area = F.translate(digits, "01", "23")
-    return (
+    made = (
         F.when(
             kind == "email",
             F.concat(
                 _fill(F.substring_index(canon, "@", 1), hexes),
+                more,
                 F.lit("@"),
                 host,
                 F.lit(".example."),
@@ -206,10 +225,15 @@ def surrogate(kind: Column, canon: Column, hexes: Column, key: str) -> Column:
         .when(kind == "abroad", _fill(canon, hexes, 2))
         .when(kind == "iban", _fill(canon, hexes, 2))
         .when(kind == "key", _fill(canon, hexes, 4))
-        .when(kind == "name", _spoken(hexes, canon))
-        .when(F.regexp_like(canon, F.lit("^[0-9a-f]+$")), F.substring(hexes, F.lit(1), F.length(canon)))
-        .otherwise(_fill(canon, hexes))
+        .when(kind == "name", _spoken(hexes, canon, attempt))
+        .when(
+            F.regexp_like(canon, F.lit("^[0-9a-f]+$")),
+            F.concat(F.substring(hexes, F.lit(1), F.length(canon)), F.substring(F.reverse(hexes), F.lit(1), attempt)),
+        )
+        .otherwise(F.concat(_fill(canon, hexes), more))
     )
+    added = F.substring(F.reverse(digits), F.lit(1), attempt - IN_FORM)
+    return F.when(free | (attempt <= IN_FORM), made).otherwise(F.concat(made, F.lit("#"), added))
 
 
 def _shown(kind: Column, entity: Column, stand_in: Column, key: str) -> Column:
@@ -228,12 +252,16 @@ def _shown(kind: Column, entity: Column, stand_in: Column, key: str) -> Column:
         F.endswith(given, F.lit(".")), F.concat(F.substring(drawn, 1, 1), F.lit(". "))
     ).otherwise(F.concat(drawn, F.lit(" ")))
     upper = (F.upper(entity) == entity) & (F.lower(entity) != entity)
+    # Digits that were added to a fixed form come last.
+    added = F.when(stand_in.contains("#"), F.concat(F.lit("-"), F.substring_index(stand_in, "#", -1))).otherwise(F.lit(""))
+    in_form = F.substring_index(stand_in, "#", 1)
     return (
         F.when(kind == "name", F.concat(title, named, stand_in))
         .when(kind == "secret", F.concat(F.regexp_extract(entity, r"^(\w+\s*[=:]\s*[\"']?)", 1), stand_in))
         .when((kind == "email") & upper, F.upper(stand_in))
-        .when(kind.isin("email", "ip", "key"), stand_in)
-        .otherwise(_into(entity, stand_in))
+        .when(kind == "email", stand_in)
+        .when(kind.isin("ip", "key"), F.concat(in_form, added))
+        .otherwise(F.concat(_into(entity, in_form), added))
     )
 
 
@@ -262,12 +290,13 @@ def drawn_again(known: DataFrame, key: str) -> DataFrame:
     """(kind, canon, attempt) of the entities whose first surrogates won't do.
 
     In each round, of the entities of a kind with one surrogate the least keeps it, unless
-    the surrogate is an entity itself; the others are drawn again. Only they are moved.
+    the surrogate is an entity itself; the others are drawn again, from more surrogates than
+    before, so that the rounds end however many entities there are.
     """
     now = stored_rows(known.withColumn("attempt", F.lit(0)))
     while True:
         made = now.withColumn("hexes", draw(F.col("kind"), F.col("canon"), F.col("attempt"), key))
-        made = made.withColumn("made", surrogate(F.col("kind"), F.col("canon"), F.col("hexes"), key))
+        made = made.withColumn("made", surrogate(F.col("kind"), F.col("canon"), F.col("hexes"), key, F.col("attempt")))
         first = made.groupBy("kind", "made").agg(F.min("canon").alias("first"), F.count(F.lit(1)).alias("n"))
         real = known.select(F.col("kind").alias("k"), F.col("canon").alias("c"))
         wrong = (
@@ -326,6 +355,7 @@ def replace_entities(docs: DataFrame, key: str) -> DataFrame:
             e["entity"].alias("entity"),
             e["kind"].alias("kind"),
             e["canon"].alias("canon"),
+            e["attempt"].alias("attempt"),
             draw(e["kind"], e["canon"], e["attempt"], key).alias("hexes"),
         ),
     )
@@ -334,7 +364,7 @@ def replace_entities(docs: DataFrame, key: str) -> DataFrame:
         lambda e: F.struct(
             e["entity"].alias("entity"),
             e["kind"].alias("kind"),
-            surrogate(e["kind"], e["canon"], e["hexes"], key).alias("made"),
+            surrogate(e["kind"], e["canon"], e["hexes"], key, e["attempt"]).alias("made"),
         ),
     )
     put = F.transform("made", lambda e: _shown(e["kind"], e["entity"], e["made"], key))

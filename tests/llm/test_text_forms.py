@@ -77,6 +77,15 @@ def test_collisions_are_drawn_again(spark, monkeypatch):
     assert again and len(set(made)) == 40 and not set(made) & {f"11.0.{k}.1" for k in range(40)}
 
 
+def test_small_spaces_of_surrogates_widen(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz0123"
+    texts = [f"{c}@x.com" for c in letters] + ["password=------"] + [f"+1 2{k % 10} {k // 10:02}" for k in range(1000)]
+    got = replaced(spark, texts)
+    assert len(set(got)) == len(texts) and not set(got) & set(texts)
+    assert all(re.fullmatch(r"[a-z0-9]+@[a-z]\.example\.com", t) for t in got[:30])
+    assert all(re.fullmatch(r"\+1 2\d \d\d(-\d+)?", t) for t in got[31:])
+
+
 def test_surrogates_of_odd_rows(odd_docs, no_docs):
     got = surrogates.replace_entities(odd_docs, "key")
     assert got.columns == [*odd_docs.columns, "n_replaced"]
