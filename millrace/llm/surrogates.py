@@ -4,7 +4,8 @@ Entities are found by pattern. What stands for an entity follows from a secret k
 kind and its canonical form, so one person's address is replaced alike in all texts and
 spellings. A surrogate keeps what the form tells: letters stay letters of their case,
 digits digits, separators stay; cards keep their issuer and check digit, names their
-gender and script. Different entities that would get one surrogate, or a surrogate that is
+gender and script. A surname is an entity, and so is a given name with its surname and
+gender, so that two full names never show one surrogate. Different entities that would get one surrogate, or a surrogate that is
 itself an entity of the corpus, are drawn again until none is left. Each draw has more to
 choose from than the one before: letters, syllables or, where the form is fixed and draws
 within it have failed, digits behind a hyphen are added. All of it is built from Spark's own
@@ -88,6 +89,18 @@ def canonical(kind: Column, entity: Column) -> Column:
     )
 
 
+_TITLE = rf"^(?:{MALE_TITLES}|{FEMALE_TITLES})\.? "
+
+
+def given_canonical(entity: Column) -> Column:
+    """Of a name: gender, surname and given name; null where no given name is."""
+    given = F.regexp_extract(entity, rf"{_TITLE}(\S+) ", 1)
+    gender = F.when(F.regexp_like(entity, F.lit(rf"^(?:{MALE_TITLES})\b")), F.lit("m")).otherwise(F.lit("f"))
+    return F.when(
+        given != "", F.concat(gender, F.lit("|"), F.regexp_extract(entity, r"(\S+)$", 1), F.lit("|"), given)
+    )
+
+
 def _stream(*parts: Column) -> Column:
     """128 hexadecimal digits from the parts."""
     joined = F.concat_ws("|", *parts)
@@ -177,6 +190,28 @@ def _spoken(hexes: Column, like: Column, attempt: Column) -> Column:
     ).otherwise(latin)
 
 
+def _given(canon: Column, hexes: Column, attempt: Column) -> Column:
+    """Given names or initials of the gender and script, one more each attempt, with hyphens."""
+    given = F.substring_index(canon, "|", -1)
+    male, cyrillic, initial = F.startswith(canon, F.lit("m|")), _cyrillic(given), F.endswith(given, F.lit("."))
+
+    def pool(gender: str, script: str) -> Column:
+        return F.array(*map(F.lit, GIVEN[gender, script]))
+
+    names = (
+        F.when(male & cyrillic, pool("m", "cyrillic"))
+        .when(male, pool("m", "latin"))
+        .when(cyrillic, pool("f", "cyrillic"))
+        .otherwise(pool("f", "latin"))
+    )
+
+    def one(i: Column) -> Column:
+        name = F.element_at(names, F.instr(F.lit("0123456789abcdef"), F.substring(hexes, i + 1, F.lit(1))))
+        return F.when(initial, F.concat(F.substring(name, 1, 1), F.lit("."))).otherwise(name)
+
+    return F.array_join(F.transform(F.sequence(F.lit(0), attempt), one), "-")
+
+
 def draw(kind: Column, canon: Column, attempt: Column, key: str) -> Column:
     """The hexadecimal digits a surrogate is made of."""
     return _stream(F.lit(key), kind, canon, attempt.cast("string"))
@@ -194,7 +229,7 @@ def surrogate(kind: Column, canon: Column, hexes: Column, key: str, attempt: Col
     attempt = attempt if isinstance(attempt, Column) else F.lit(attempt)
     digits = _digits(hexes)
     more = F.when(attempt > 0, F.substring(F.reverse(_letters(hexes)), F.lit(1), attempt)).otherwise(F.lit(""))
-    free = kind.isin("email", "name", "secret")
+    free = kind.isin("email", "name", "given", "secret")
     octets = [
         F.pmod(F.conv(F.substring(hexes, 2 * i + 1, 2), 16, 10).cast("int"), F.lit(m)) + a
         for i, (m, a) in enumerate(((115, 11), (256, 0), (256, 0), (254, 1)))
@@ -226,6 +261,11 @@ def surrogate(kind: Column, canon: Column, hexes: Column, key: str, attempt: Col
         .when(kind == "iban", _fill(canon, hexes, 2))
         .when(kind == "key", _fill(canon, hexes, 4))
         .when(kind == "name", _spoken(hexes, canon, attempt))
+        # Told apart within a gender and surname; a given name may well be one of the corpus.
+        .when(
+            kind == "given",
+            F.concat(F.substring_index(canon, "|", 2), F.lit(">"), _given(canon, hexes, attempt)),
+        )
         .when(
             F.regexp_like(canon, F.lit("^[0-9a-f]+$")),
             F.concat(F.substring(hexes, F.lit(1), F.length(canon)), F.substring(F.reverse(hexes), F.lit(1), attempt)),
@@ -236,21 +276,10 @@ def surrogate(kind: Column, canon: Column, hexes: Column, key: str, attempt: Col
     return F.when(free | (attempt <= IN_FORM), made).otherwise(F.concat(made, F.lit("#"), added))
 
 
-def _shown(kind: Column, entity: Column, stand_in: Column, key: str) -> Column:
-    """The surrogate in the format of the spelling it replaces."""
-    title = F.regexp_extract(entity, rf"^((?:{MALE_TITLES}|{FEMALE_TITLES})\.? )", 1)
-    given = F.regexp_extract(entity, rf"^(?:{MALE_TITLES}|{FEMALE_TITLES})\.? (\S+) ", 1)
-    male = F.regexp_like(title, F.lit(rf"^(?:{MALE_TITLES})\b"))
-    turn = F.pmod(F.xxhash64(F.lit(key), given), F.lit(16)).cast("int")
-
-    def pool(gender: str) -> Column:
-        by_script = [F.element_at(F.array(*map(F.lit, GIVEN[gender, s])), turn + 1) for s in ("cyrillic", "latin")]
-        return F.when(_cyrillic(given), by_script[0]).otherwise(by_script[1])
-
-    drawn = F.when(male, pool("m")).otherwise(pool("f"))
-    named = F.when(given == "", F.lit("")).when(
-        F.endswith(given, F.lit(".")), F.concat(F.substring(drawn, 1, 1), F.lit(". "))
-    ).otherwise(F.concat(drawn, F.lit(" ")))
+def _shown(kind: Column, entity: Column, stand_in: Column, given: Column) -> Column:
+    """The surrogate in the format of the spelling it replaces; ``given`` is a name's other one."""
+    title = F.regexp_extract(entity, f"({_TITLE})", 1)
+    named = F.coalesce(F.concat(F.substring_index(given, ">", -1), F.lit(" ")), F.lit(""))
     upper = (F.upper(entity) == entity) & (F.lower(entity) != entity)
     # Digits that were added to a fixed form come last.
     added = F.when(stand_in.contains("#"), F.concat(F.lit("-"), F.substring_index(stand_in, "#", -1))).otherwise(F.lit(""))
@@ -283,7 +312,17 @@ def entities(found: DataFrame) -> DataFrame:
     """(kind, canon) of all distinct entities found."""
     surface = found.select(F.explode("found").alias("entity")).distinct()
     kinds = surface.withColumn("kind", kind_of(F.col("entity")))
-    return kinds.select("kind", canonical(F.col("kind"), F.col("entity")).alias("canon")).distinct()
+    return _named(kinds).select("kind", "canon").distinct()
+
+
+def _named(kinds: DataFrame) -> DataFrame:
+    """The rows with ``canon``, and once more with kind "given" for names that have one."""
+    parts = F.array(
+        F.struct(F.col("kind"), canonical(F.col("kind"), F.col("entity")).alias("canon")),
+        F.struct(F.lit("given").alias("kind"), F.when(F.col("kind") == "name", given_canonical(F.col("entity"))).alias("canon")),
+    )
+    others = [c for c in kinds.columns if c != "kind"]
+    return kinds.select(*others, F.explode(parts).alias("part")).select(*others, "part.*").where("canon IS NOT NULL")
 
 
 def drawn_again(known: DataFrame, key: str) -> DataFrame:
@@ -327,15 +366,17 @@ def replace_entities(docs: DataFrame, key: str) -> DataFrame:
     found = stored_rows(found_entities(docs).dropDuplicates(["id", "digest"]))
     again = drawn_again(entities(found), key)
     # Which places of which texts hold an entity that was drawn again: few, as a rule none.
-    places = (
-        found.select("id", "digest", F.posexplode("found").alias("at", "entity"))
-        .withColumn("kind", kind_of(F.col("entity")))
-        .withColumn("canon", canonical(F.col("kind"), F.col("entity")))
+    places = _named(
+        found.select("id", "digest", F.posexplode("found").alias("at", "entity")).withColumn(
+            "kind", kind_of(F.col("entity"))
+        )
     )
+    # Given names are under -1 - at.
+    place = F.when(F.col("kind") == "given", -1 - F.col("at")).otherwise(F.col("at")).alias("at")
     redrawn = stored_rows(
         places.join(again, ["kind", "canon"])
         .groupBy("id", "digest")
-        .agg(F.map_from_entries(F.collect_set(F.struct("at", "attempt"))).alias("tries"))
+        .agg(F.map_from_entries(F.collect_set(F.struct(place, "attempt"))).alias("tries"))
     )
     marked = found.join(redrawn, ["id", "digest"], "left")
     # One step of the work on each place at a time, so that no expression is repeated.
@@ -347,6 +388,8 @@ def replace_entities(docs: DataFrame, key: str) -> DataFrame:
             e["kind"].alias("kind"),
             canonical(e["kind"], e["entity"]).alias("canon"),
             F.coalesce(F.element_at("tries", k), F.lit(0)).alias("attempt"),
+            F.when(e["kind"] == "name", given_canonical(e["entity"])).alias("given"),
+            F.coalesce(F.element_at("tries", -1 - k), F.lit(0)).alias("given_attempt"),
         ),
     )
     drawn = F.transform(
@@ -357,6 +400,11 @@ def replace_entities(docs: DataFrame, key: str) -> DataFrame:
             e["canon"].alias("canon"),
             e["attempt"].alias("attempt"),
             draw(e["kind"], e["canon"], e["attempt"], key).alias("hexes"),
+            e["given"].alias("given"),
+            e["given_attempt"].alias("given_attempt"),
+            F.when(
+                e["given"].isNotNull(), draw(F.lit("given"), e["given"], e["given_attempt"], key)
+            ).alias("given_hexes"),
         ),
     )
     made = F.transform(
@@ -365,9 +413,10 @@ def replace_entities(docs: DataFrame, key: str) -> DataFrame:
             e["entity"].alias("entity"),
             e["kind"].alias("kind"),
             surrogate(e["kind"], e["canon"], e["hexes"], key, e["attempt"]).alias("made"),
+            F.when(e["given"].isNotNull(), _given(e["given"], e["given_hexes"], e["given_attempt"])).alias("given"),
         ),
     )
-    put = F.transform("made", lambda e: _shown(e["kind"], e["entity"], e["made"], key))
+    put = F.transform("made", lambda e: _shown(e["kind"], e["entity"], e["made"], e["given"]))
     marked = marked.withColumn("kinds", kinds).withColumn("canons", canons).withColumn("drawn", drawn)
     i, t, p, own_i, own_t, between = fresh(docs, "of_id", "of_digest", "put_", "own_id", "own_digest", "between_")
     new = stored_rows(

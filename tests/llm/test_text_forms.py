@@ -86,6 +86,18 @@ def test_small_spaces_of_surrogates_widen(spark):
     assert all(re.fullmatch(r"\+1 2\d \d\d(-\d+)?", t) for t in got[31:])
 
 
+def test_full_names_stay_apart(spark):
+    names = [f"G{'abcdefghij'[k // 10]}{'abcdefghij'[k % 10]}" for k in range(60)]
+    texts = [f"{t} {n} Smith" for t in ("Mr.", "Ms") for n in names] + [f"Mr. {c}. Smith" for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"]
+    got = replaced(spark, [*texts, "Herr Gaa Smith met Mr. Smith", "г-н Иван Петров", "г-н Петр Петров"])
+    assert len(set(got)) == len(texts) + 3
+    assert len({t.split(" ")[-1] for t in got[: len(texts)]}) == 1
+    first = got[0].split(" ")
+    assert got[len(texts)] == f"Herr {first[1]} {first[2]} met Mr. {first[2]}"
+    parts = {p for t in got[:60] for p in t.split(" ")[1].split("-")}
+    assert parts <= set(surrogates.GIVEN["m", "latin"])
+
+
 def test_surrogates_of_odd_rows(odd_docs, no_docs):
     got = surrogates.replace_entities(odd_docs, "key")
     assert got.columns == [*odd_docs.columns, "n_replaced"]
