@@ -41,24 +41,28 @@ PATTERNS = {
     "abroad": r"(?<!\w)\+\d{1,3}(?:[ .-]?\(?\d{2,4}\)?){2,4}(?!\w)",
     "iban": r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?!\w)",
     "key": r"(?<!\w)AKIA[A-Z0-9]{16}(?!\w)",
-    "secret": r"(?i:(?<!\w)(?:password|passwd|pwd|token|secret|api_?key)\s{0,2}[=:]\s{0,2}[\"']?)[A-Za-z0-9+/_-]{6,}",
+    "secret": r"(?i:(?<![^\W_])(?:password|passwd|pwd|token|secret|api[_-]?key)[\"']?\s{0,2}[=:]\s{0,2}[\"']?)[A-Za-z0-9+/_-]{6,}",
     "name": rf"(?<!\w)(?:{MALE_TITLES}|{FEMALE_TITLES})\.? {_NAME}(?: {_NAME})?",
 }
-# No entity begins inside a word: most places of a text are passed over at once.
-PATTERN = r"(?<!\w)(?:" + "|".join(f"(?:{p})" for p in PATTERNS.values()) + ")"
-#: Texts without a digit, an at sign or one of these words have no entity.
-WORDS = [
-    form
-    for word in ("password", "passwd", "pwd", "token", "secret", "api_key", "apikey")
-    for form in (word, word.capitalize(), word.upper())
-] + f"{MALE_TITLES}|{FEMALE_TITLES}".split("|")
+# No entity begins inside a word: most places of a text are passed over at once. The keyword
+# of a secret may follow an underscore.
+PATTERN = (
+    r"(?<![^\W_])(?:"
+    + "|".join(f"(?:{p})" if kind == "secret" else rf"(?<!\w)(?:{p})" for kind, p in PATTERNS.items())
+    + ")"
+)
+#: Texts without a digit, an at sign or one of these words, the first in any case, have no entity.
+KEYWORDS = ("password", "passwd", "pwd", "token", "secret", "apikey", "api_key", "api-key")
+TITLES = f"{MALE_TITLES}|{FEMALE_TITLES}".split("|")
 
 
 def _may_hold(text: Column) -> Column:
-    """Cheap and never wrongly false but for keywords in odd mixes of cases, which need a digit."""
+    """Cheap and never wrongly false."""
     hit = F.regexp_like(text, F.lit("[0-9@]"))
-    for word in WORDS:
+    for word in TITLES:
         hit = hit | F.contains(text, F.lit(word))
+    for word in KEYWORDS:
+        hit = hit | F.contains(F.lower(text), F.lit(word))
     return hit
 
 
@@ -73,8 +77,11 @@ def _alnum(text: Column) -> Column:
     return F.regexp_replace(text, r"[^\p{L}\p{N}]", "")
 
 
+_BEFORE_VALUE = r"[\w-]+[\"']?\s*[=:]\s*[\"']?"
+
+
 def _value(secret: Column) -> Column:
-    return F.regexp_replace(secret, r"^\w+\s*[=:]\s*[\"']?", "")
+    return F.regexp_replace(secret, f"^{_BEFORE_VALUE}", "")
 
 
 def canonical(kind: Column, entity: Column) -> Column:
@@ -286,7 +293,7 @@ def _shown(kind: Column, entity: Column, stand_in: Column, given: Column) -> Col
     in_form = F.substring_index(stand_in, "#", 1)
     return (
         F.when(kind == "name", F.concat(title, named, stand_in))
-        .when(kind == "secret", F.concat(F.regexp_extract(entity, r"^(\w+\s*[=:]\s*[\"']?)", 1), stand_in))
+        .when(kind == "secret", F.concat(F.regexp_extract(entity, f"^({_BEFORE_VALUE})", 1), stand_in))
         .when((kind == "email") & upper, F.upper(stand_in))
         .when(kind == "email", stand_in)
         .when(kind.isin("ip", "key"), F.concat(in_form, added))

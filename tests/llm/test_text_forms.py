@@ -98,6 +98,15 @@ def test_full_names_stay_apart(spark):
     assert parts <= set(surrogates.GIVEN["m", "latin"])
 
 
+def test_secrets_in_any_spelling(spark):
+    before = ["apiKey: ", "Api_Key=", "API_key = ", "PassWord=", "access_token=", "db_password=", "client-secret='"]
+    before += ['{"password": "', '"x-api-key":"', "my_own_TOKEN:", "?pwd="]
+    got = replaced(spark, [f"{b}abcdefgh" for b in before] + ["mytoken=abcdefgh", "tokens: abcdefgh"])
+    assert got[-2:] == ["mytoken=abcdefgh", "tokens: abcdefgh"]
+    values = {t.removeprefix(b) for t, b in zip(got, before)}
+    assert len(values) == 1 and re.fullmatch("[a-z]{8}", values.pop()) and "abcdefgh" not in got[0]
+
+
 def test_surrogates_of_odd_rows(odd_docs, no_docs):
     got = surrogates.replace_entities(odd_docs, "key")
     assert got.columns == [*odd_docs.columns, "n_replaced"]
