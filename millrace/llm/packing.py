@@ -9,6 +9,7 @@ a task holds at most one window of remainders, whatever the length of a document
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -74,7 +75,9 @@ class _Tokens:
 
     Words that begin at a single space never merge with what is before them in a
     byte-level vocabulary with this split pattern, so their ids are looked up once and
-    kept. Texts with runs of spaces, where the pattern looks further, are encoded whole.
+    kept. Texts with runs of spaces, where the pattern looks further, are encoded whole, and
+    those with very long runs of white space, on which tiktoken breaks off, by tokenizers.
+    Special tokens that stand in a text are read as ordinary characters.
     """
 
     def __init__(self, path: str) -> None:
@@ -106,6 +109,8 @@ class _Tokens:
     def __call__(self, text: str) -> bytes:
         if not text:
             return b""
+        if len(text) >= LONG_SPACE and any(m.end() - m.start() >= LONG_SPACE for m in _SPACES.finditer(text)):
+            return np.array(self.plain.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
         if "  " in text:
             return self._ids(text)
         words = text.split(" ")
@@ -116,6 +121,9 @@ class _Tokens:
 # The published split pattern of the byte-level vocabulary.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+LONG_SPACE = 100_000  # characters of white space in a row that tiktoken is not given
+_SPACES = re.compile(r"\s{2,}")
+
 
 def _byte_of_char() -> dict[str, int]:
     """The byte-level alphabet: printable bytes stand for themselves, the rest follow at 256."""

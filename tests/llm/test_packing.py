@@ -89,6 +89,15 @@ def test_words_and_spaces(spark):
     whole(docs, packing.pack_documents(docs, tokenizer_path()).collect(), Limits())
 
 
+@pytest.mark.parametrize("space", [" ", "\n", "\t", " \u2003", "\x85"])
+@pytest.mark.parametrize("times", [packing.LONG_SPACE - 1, packing.LONG_SPACE, 1_000_000])
+def test_long_runs_of_white_space(space, times):
+    text = f"some words{space * times}and the end"
+    want = Tokenizer.from_file(tokenizer_path()).encode(text, add_special_tokens=False).ids
+    got = np.frombuffer(packing.tokens_of(tokenizer_path())(text), dtype="<u4")
+    assert np.array_equal(got, want)
+
+
 def test_odd_rows(odd_docs, no_docs):
     rows = packing.pack_documents(odd_docs, tokenizer_path()).collect()
     whole(odd_docs, rows, Limits())
