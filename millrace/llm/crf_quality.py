@@ -11,6 +11,7 @@ a batch of documents at a time, all lines of all texts.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from operator import eq
@@ -26,8 +27,9 @@ from millrace.llm.labelled import held_out, sample
 
 @dataclass(frozen=True)
 class Fit:
-    """``per_class``: documents of either label learned from; those with more than
-    ``most_lines`` lines or ``most_chars`` characters are not learned from (all are scored)."""
+    """``per_class``: documents of either label learned from; of those with more than
+    ``most_lines`` lines or ``most_chars`` characters, a run of lines within both (all lines
+    of all documents are scored)."""
 
     per_class: int = 1500
     most_lines: int = 200
@@ -227,12 +229,35 @@ def score_texts(field: Field, texts: list[str]) -> np.ndarray:
     return 1 / (1 + np.exp(-(field.curve[0] * level + field.curve[1])))
 
 
+def run_of_lines(doc_id: int, text: str, fit: Fit) -> str:
+    """The text, or of a long one the consecutive whole lines within the bounds of ``fit``
+    around a line chosen by the id; of a line that alone is too long, what fits."""
+    lines = text.split("\n")
+    if len(text) <= fit.most_chars and len(lines) <= fit.most_lines:
+        return text
+    low = zlib.crc32(str(doc_id).encode()) % len(lines)
+    high, room = low + 1, fit.most_chars - len(lines[low])
+    while high < len(lines) and high - low < fit.most_lines and len(lines[high]) < room:
+        room -= len(lines[high]) + 1
+        high += 1
+    while low and high - low < fit.most_lines and len(lines[low - 1]) < room:
+        low -= 1
+        room -= len(lines[low]) + 1
+    return "\n".join(lines[low:high])[: fit.most_chars]
+
+
 def train(docs: DataFrame, labels: DataFrame, fit: Fit = Fit()) -> Field:
     """The field of the sampled labelled documents; the sample is bounded by ``fit``."""
+    ship(docs.sparkSession)
+
+    def bounded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            texts = [run_of_lines(i, t, fit) for i, t in zip(batch["doc_id"], batch["text"], strict=True)]
+            yield batch.assign(text=texts)
+
     rows = (
         sample(docs, labels, "quality", fit.per_class)
-        .where(F.length("text") <= fit.most_chars)
-        .where(F.length("text") - F.length(F.translate("text", "\n", "")) < fit.most_lines)
+        .mapInPandas(bounded, "doc_id long, label int, text string")
         .orderBy("doc_id", "text")
         .select("label", "text")
         .toPandas()

@@ -92,3 +92,25 @@ def test_keep_good(documents, labels, odd_docs):
     good = crf_quality.classify(documents, labels).where("predicted = 1")
     assert kept.count() == good.count() < documents.count()
     assert crf_quality.keep_good(odd_docs, labels).columns == odd_docs.columns
+
+
+def test_quality_learns_from_long_documents(spark):
+    def text(k):
+        if k % 2:
+            return f"This is the plain text of page {k}, which a person wrote.\nIt has a second line as well."
+        junk = f"$$ {k} || ## 0{k} %% BUY!!! || BUY!!! <<>> 77 88 99"
+        return "\n".join([junk] * 300) if k % 4 else junk * 600
+
+    docs = spark.createDataFrame([(k, text(k)) for k in range(80)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(80)], "doc_id long, quality int")
+    got = {r.doc_id: r.predicted for r in crf_quality.classify(docs, labels).collect()}
+    assert got == {k: k % 2 for k in range(80)}
+
+
+def test_runs_of_lines():
+    fit = crf_quality.Fit(most_lines=3, most_chars=10)
+    assert crf_quality.run_of_lines(1, "ab\ncd", fit) == "ab\ncd"
+    assert crf_quality.run_of_lines(1, "x" * 30, fit) == "x" * 10
+    for k in range(20):
+        part = crf_quality.run_of_lines(k, "a\nb\nc\nd\ne\nf", fit)
+        assert len(part.split("\n")) == 3 and part in "a\nb\nc\nd\ne\nf"
