@@ -39,8 +39,3 @@ def database(spark):
     spark.sql(f"CREATE DATABASE {name}")
     yield name
     spark.sql(f"DROP DATABASE {name} CASCADE")
-
-
-def as_set(df, *columns):
-    rows = df.select(*columns) if columns else df
-    return {tuple(r) for r in rows.collect()}

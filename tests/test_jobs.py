@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from conftest import as_set
+from row_sets import as_set
 from millrace.functions.sqltypes import column
 from millrace.operators.events import checked_events
 from millrace.operators.quality import check_unique

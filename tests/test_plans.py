@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_module
-from conftest import as_set
+from row_sets import as_set
 from millrace.operators import events, merge, relations
 from millrace.plans.queries import stored
 
