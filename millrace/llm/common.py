@@ -89,12 +89,17 @@ def ship(spark: SparkSession) -> None:
 
 
 @contextmanager
-def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
-    """Sends at most so many rows at once to Python workers, for rows that hold whole blocks."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(rows))
+def arrow_rows(spark: SparkSession, rows: int, bytes_: int = 32 << 20) -> Iterator[None]:
+    """Sends at most so many rows at once to Python workers, and about so many bytes."""
+    keys = {
+        "spark.sql.execution.arrow.maxRecordsPerBatch": str(rows),
+        "spark.sql.execution.arrow.maxBytesPerBatch": str(bytes_),
+    }
+    before = {key: spark.conf.get(key) for key in keys}
+    for key, value in keys.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)

@@ -16,8 +16,11 @@ from millrace.llm import (
     line_dedup,
     mixing,
     packing,
+    phrases,
     surrogates,
     toxicity,
+    warc,
+    whitening,
 )
 from millrace.session import tune
 
@@ -69,6 +72,18 @@ def op10_grid_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grid_join.near_vectors(_table(spark, sf_dir, "embeddings"))
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_pages(_table(spark, sf_dir, "pages"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(_table(spark, sf_dir, "documents")).drop("doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q
     for q in (
@@ -82,9 +97,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_bag_minhash,
         op9_html_text,
         op10_grid_join,
+        op11_warc,
+        op12_whitening,
+        op13_phrases,
     )
 } | {"pipeline": corpus_pipeline.run}
 
-SQL: dict[str, str] = {"op1_line_dedup": line_dedup.ORACLE.strip()}
+SQL: dict[str, str] = {
+    "op1_line_dedup": line_dedup.ORACLE.strip(),
+    "op11_warc": warc.ORACLE.strip(),
+    "op13_phrases": phrases.ORACLE.strip(),
+}
 if corpus_pipeline.ORACLE_SQL:
     SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
