@@ -44,10 +44,11 @@ class Mining:
     bits: int = 27
 
 
-# Two primes below 2^31, and bases below them for bytes and for words.
-PRIMES = (2_147_483_647, 2_147_483_629)
-BYTE_BASES = (911_382_323, 972_663_749)
-WORD_BASES = (1_284_865_837, 1_500_450_271)
+# Odd bases for bytes and for words, and an odd factor that mixes bits.
+# All arithmetic is modulo 2^64, where odd numbers have inverses and numpy wraps by itself.
+BYTE_BASE = 0x9E3779B97F4A7C15
+WORD_BASE = 0xC2B2AE3D27D4EB4F
+MIX = 0xFF51AFD7ED558CCD
 
 DELIMITERS = b".,;:!?\x0a\x0b\x0c\x0d"
 SPACES = b" \t"
@@ -60,88 +61,88 @@ _LOWER[65:91] += 32
 
 
 class Powers:
-    """Powers of a base and of its inverse modulo a prime, as many as were asked for."""
+    """Powers of a base and of its inverse modulo 2^64, as many as were asked for."""
 
-    def __init__(self, base: int, prime: int) -> None:
-        self.steps, self.prime = (base, pow(base, -1, prime)), prime
-        self.tables = [np.ones(1, dtype=np.int64) for _ in self.steps]
+    def __init__(self, base: int) -> None:
+        self.steps = (base, pow(base, -1, 1 << 64))
+        self.tables = [np.ones(1, dtype=np.uint64) for _ in self.steps]
 
     def first(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         for k, step in enumerate(self.steps):
             table = self.tables[k]
             while len(table) < n:
-                table = np.concatenate([table, table * pow(step, len(table), self.prime) % self.prime])
+                table = np.concatenate([table, table * np.uint64(pow(step, len(table), 1 << 64))])
             self.tables[k] = table
         return self.tables[0][:n], self.tables[1][:n]
 
 
 def prefix_sums(digits: np.ndarray, powers: Powers) -> np.ndarray:
-    """S[i]: the polynomial of the first i digits, not reduced."""
+    """S[i]: the polynomial of the first i digits."""
     up, _ = powers.first(len(digits))
-    sums = np.zeros(len(digits) + 1, dtype=np.int64)
-    np.cumsum(digits * up % powers.prime, out=sums[1:])
+    sums = np.zeros(len(digits) + 1, dtype=np.uint64)
+    np.cumsum(digits * up, out=sums[1:])
     return sums
 
 
 def span_hashes(sums: np.ndarray, start: np.ndarray, end: np.ndarray, powers: Powers) -> np.ndarray:
     """Hashes of the spans [start, end), the same wherever a span lies."""
     _, down = powers.first(len(sums))
-    return (sums[end] - sums[start]) % powers.prime * down[start] % powers.prime
+    return mixed((sums[end] - sums[start]) * down[start])
 
 
-_BYTES = [Powers(b, p) for b, p in zip(BYTE_BASES, PRIMES, strict=True)]
-_WORDS = [Powers(b, p) for b, p in zip(WORD_BASES, PRIMES, strict=True)]
+def mixed(hashes: np.ndarray) -> np.ndarray:
+    """One to one; low bits of a polynomial modulo 2^64 know only the low bits of its digits."""
+    hashes = (hashes ^ hashes >> np.uint64(32)) * np.uint64(MIX)
+    return hashes ^ hashes >> np.uint64(29)
+
+
+_BYTES, _WORDS = Powers(BYTE_BASE), Powers(WORD_BASE)
+# Case folding and the digit of a byte in one table.
+_DIGIT = _LOWER.astype(np.uint64) + np.uint64(1)
 
 
 class Window:
-    """The words of a stretch of lower-cased bytes and the fingerprints of their n-grams.
+    """The words of a stretch of bytes, in lower case, and the fingerprints of their n-grams.
 
     ``doc_at`` is where documents begin, the first at 0; ``doc_code`` a number for the
     language of each. Words of one piece of one document have equal ``piece``.
     """
 
     def __init__(self, data: np.ndarray, doc_at: np.ndarray, doc_code: np.ndarray) -> None:
-        self.data = data = _LOWER[data]
+        self.data = _LOWER[data]
         kind = _KIND[data]
-        inner = np.zeros(len(data) + 1, dtype=bool)
-        inner[:-1] = kind == 0
-        begins = inner.copy()
-        begins[1:] &= ~inner[:-1]
-        fresh = doc_at[doc_at < len(data)]
-        begins[fresh] = inner[fresh]
-        self.start = np.flatnonzero(begins)
-        # A word ends before the next byte that is no part of it or begins a document.
-        stops = ~inner
-        stops[doc_at] = True
-        at = np.flatnonzero(stops)
-        self.end = at[np.searchsorted(at, self.start, side="right")] if len(self.start) else self.start
-        self.doc = np.searchsorted(doc_at, self.start, side="right") - 1
-        self.code = doc_code[self.doc] if len(self.start) else self.start
-        self.piece = np.cumsum(kind == 2)[self.start] + self.doc if len(self.start) else self.start
-        self.sums = []
-        for powers, words in zip(_BYTES, _WORDS, strict=True):
-            sums = prefix_sums(data.astype(np.int64) + 1, powers)
-            self.sums.append(prefix_sums(span_hashes(sums, self.start, self.end, powers) + 1, words))
+        # Whether a word goes on over the place before a byte; it never does where documents meet.
+        inner = np.zeros(len(data) + 2, dtype=bool)
+        inner[1:-1] = kind == 0
+        over = inner[:-1] & inner[1:]
+        over[doc_at] = False
+        self.start = np.flatnonzero(inner[1:] & ~over)
+        self.end = np.flatnonzero(inner[:-1] & ~over)
+        bounds = np.searchsorted(self.start, np.append(doc_at, len(data)))
+        self.doc = np.repeat(np.arange(len(doc_at)), np.diff(bounds))
+        self.code = doc_code[self.doc].astype(np.uint64)
+        self.piece = np.cumsum(kind == 2, dtype=np.int32)[self.start] + self.doc if len(data) else self.doc
+        words = span_hashes(prefix_sums(_DIGIT[data], _BYTES), self.start, self.end, _BYTES)
+        self.sums = prefix_sums(words | np.uint64(1), _WORDS)
 
     def grams(self, n: int) -> np.ndarray:
         """First words of the n-grams that lie in one piece."""
         last = len(self.start) - n + 1
         if last <= 0:
             return np.zeros(0, dtype=np.int64)
-        first = np.arange(last)
-        return first[self.piece[:last] == self.piece[n - 1 : n - 1 + last]]
+        return np.flatnonzero(self.piece[:last] == self.piece[n - 1 : n - 1 + last])
 
     def fingerprints(self, first: np.ndarray, n: int) -> np.ndarray:
-        """62-bit fingerprints of n words from each of ``first`` on, by language."""
-        code = self.code[first]
-        high, low = (
-            (span_hashes(s, first, first + n, w) + code % w.prime) % w.prime
-            for s, w in zip(self.sums, _WORDS, strict=True)
-        )
-        return high << 31 | low
+        """64-bit fingerprints of n words from each of ``first`` on, by language."""
+        return mixed(span_hashes(self.sums, first, first + n, _WORDS) + self.code[first])
 
-    def phrase(self, first: int, n: int) -> bytes:
-        return b" ".join(self.data[self.start[i] : self.end[i]].tobytes() for i in range(first, first + n))
+    def phrases(self, first: np.ndarray, n: int) -> list[str]:
+        raw = self.data.tobytes()
+        spans = [
+            [raw[a:b] for a, b in zip(self.start[first + i].tolist(), self.end[first + i].tolist(), strict=True)]
+            for i in range(n)
+        ]
+        return [b" ".join(words).decode("utf-8", "replace") for words in zip(*spans, strict=True)]
 
     def same_text(self, a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
         """Whether the n words from ``a`` and from ``b`` on are equal, byte by byte."""
@@ -150,13 +151,14 @@ class Window:
             sa, sb = self.start[a + i], self.start[b + i]
             size = self.end[a + i] - sa
             same &= size == self.end[b + i] - sb
-            todo = np.flatnonzero(same)
             # All bytes of the words still equal, laid end to end.
+            todo = np.flatnonzero(same & (sa != sb))
             spans = size[todo]
-            which = np.repeat(np.arange(len(todo)), spans)
-            step = np.arange(len(which)) - np.repeat(np.cumsum(spans) - spans, spans)
-            differ = self.data[sa[todo][which] + step] != self.data[sb[todo][which] + step]
-            same[todo[which[differ]]] = False
+            ends = np.cumsum(spans)
+            step = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - spans, spans)
+            left, right = np.repeat(sa[todo], spans) + step, np.repeat(sb[todo], spans) + step
+            differ = np.flatnonzero(self.data[left] != self.data[right])
+            same[todo[np.searchsorted(ends, differ, side="right")]] = False
         return same
 
 
@@ -196,15 +198,13 @@ def language_code(lang: str) -> int:
     return value
 
 
-def _frequent(bitmap: np.ndarray | None, prints: np.ndarray, bits: int) -> np.ndarray:
-    if bitmap is None:
-        return np.ones(len(prints), dtype=bool)
+def _frequent(bitmap: np.ndarray, prints: np.ndarray, bits: int) -> np.ndarray:
     at = bit_place(prints, bits)
-    return bitmap[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1) != 0
+    return bitmap[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1) != 0
 
 
 def bit_place(prints: np.ndarray, bits: int) -> np.ndarray:
-    return (prints ^ prints >> 31) & ((1 << bits) - 1)
+    return prints & np.uint64((1 << bits) - 1)
 
 
 # lang and phrase are set in rows of texts; words 0 counts all words of a language.
@@ -212,15 +212,14 @@ ROWS = "lang string, words int, print long, phrase string, n long, doc_id long"
 
 
 def _read_back(w: Window, n: int, first: np.ndarray, prints: np.ndarray):
-    """(first word, fingerprint, count) of each different text among the n-grams."""
+    """(first words, fingerprints, counts) of the different texts among the n-grams."""
     order = np.argsort(prints, kind="stable")
     first, prints = first[order], prints[order]
     while len(first):
-        heads = np.flatnonzero(np.r_[True, prints[1:] != prints[:-1]])
-        group = np.cumsum(np.r_[False, prints[1:] != prints[:-1]])
+        new = np.r_[True, prints[1:] != prints[:-1]]
+        heads, group = np.flatnonzero(new), np.cumsum(new) - 1
         same = w.same_text(first[heads][group], first, n)
-        counts = np.bincount(group[same], minlength=len(heads))
-        yield from zip(first[heads].tolist(), prints[heads].tolist(), counts.tolist(), strict=True)
+        yield first[heads], prints[heads], np.bincount(group[same], minlength=len(heads))
         # Other texts under the same fingerprint take another turn.
         first, prints = first[~same], prints[~same]
 
@@ -228,39 +227,46 @@ def _read_back(w: Window, n: int, first: np.ndarray, prints: np.ndarray):
 def _scan(docs: DataFrame, length: int, bitmap, mining: Mining) -> DataFrame:
     """Counts of fingerprints of ``length`` words, and of texts of ``length - 1`` words."""
 
+    def batch_of(lang, words: int, prints, phrase, n, doc_id) -> pa.RecordBatch:
+        size = len(n)
+        columns = [
+            pa.nulls(size, pa.string()) if lang is None else pa.array(lang, pa.string()),
+            pa.array(np.full(size, words, np.int32)),
+            pa.array(np.asarray(prints).view(np.int64)),
+            pa.nulls(size, pa.string()) if phrase is None else pa.array(phrase, pa.string()),
+            pa.array(np.asarray(n).astype(np.int64)),
+            pa.nulls(size, pa.int64()) if doc_id is None else pa.array(doc_id, pa.int64()),
+        ]
+        return pa.record_batch(columns, names=names)
+
     def rows(data: np.ndarray, starts: np.ndarray, langs: list[str], ids: list) -> Iterator[pa.RecordBatch]:
-        codes = np.array([language_code(x) for x in langs], dtype=np.int64)
-        w = Window(data, starts, codes)
-        known = None if bitmap is None else bitmap.value
-        out: list[tuple] = []
+        w = Window(data, starts, np.array([language_code(x) for x in langs], dtype=np.int64))
         if length == 1:
-            for lang in sorted(set(langs)):
-                out.append((lang, 0, 0, None, int((w.code == language_code(lang)).sum()), None))
-        if length > 1:
-            first = w.grams(length - 1)
-            prints = w.fingerprints(first, length - 1)
-            wanted = _frequent(known, prints, mining.bits)
-            for at, found, n in _read_back(w, length - 1, first[wanted], prints[wanted]):
-                doc = w.doc[at]
-                phrase = w.phrase(at, length - 1).decode("utf-8", "replace")
-                out.append((langs[doc], length - 1, found, phrase, n, ids[doc]))
-        columns = list(zip(*out, strict=True)) if out else [[] for _ in range(6)]
-        yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
-        if length <= mining.longest:
+            kinds = sorted(set(langs))
+            totals = [int((w.code == np.uint64(language_code(x))).sum()) for x in kinds]
+            yield batch_of(kinds, 0, np.zeros(len(kinds), np.int64), None, totals, None)
+            first = w.grams(1)
+        else:
+            shorter = w.grams(length - 1)
+            prints = w.fingerprints(shorter, length - 1)
+            wanted = _frequent(bitmap.value, prints, mining.bits)
+            shorter, prints = shorter[wanted], prints[wanted]
+            for heads, found, n in _read_back(w, length - 1, shorter, prints):
+                docs_of = w.doc[heads].tolist()
+                yield batch_of(
+                    [langs[d] for d in docs_of], length - 1, found, w.phrases(heads, length - 1), n,
+                    [ids[d] for d in docs_of],
+                )
+            if length > mining.longest:
+                return
+            known = np.zeros(len(w.start) + 1, dtype=bool)
+            known[shorter] = True
             first = w.grams(length)
-            if length > 1:
-                for shift in (0, 1):
-                    first = first[_frequent(known, w.fingerprints(first + shift, length - 1), mining.bits)]
-            prints, n = np.unique(w.fingerprints(first, length), return_counts=True)
-            blank = [pa.nulls(len(prints), types[0]), pa.nulls(len(prints), types[3]), pa.nulls(len(prints), types[5])]
-            yield pa.record_batch(
-                [blank[0], pa.array(np.full(len(prints), length, np.int32)), pa.array(prints), blank[1],
-                 pa.array(n.astype(np.int64)), blank[2]],
-                names=names,
-            )
+            first = first[known[first] & known[first + 1]]
+        prints, n = np.unique(w.fingerprints(first, length), return_counts=True)
+        yield batch_of(None, length, prints, None, n, None)
 
     names = ["lang", "words", "print", "phrase", "n", "doc_id"]
-    types = [pa.string(), pa.int32(), pa.int64(), pa.string(), pa.int64(), pa.int64()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -282,8 +288,7 @@ def _scan(docs: DataFrame, length: int, bitmap, mining: Mining) -> DataFrame:
 
 def bitmap_of(prints: DataFrame, bits: int) -> np.ndarray:
     """A bit for each place that a fingerprint falls on; at most 2^bits / 64 numbers reach the driver."""
-    mixed = F.col("print").bitwiseXOR(F.shiftright("print", 31))
-    place = mixed.bitwiseAND(F.lit((1 << bits) - 1))
+    place = F.col("print").bitwiseAND(F.lit((1 << bits) - 1))
     rows = (
         prints.select(place.alias("place"))
         .groupBy(F.shiftright("place", 6).alias("word"))
