@@ -143,8 +143,8 @@ def sync_rows(
             spark.catalog.refreshTable(table)
             writers.add_sync_columns(spark, table)
         target = spark.table(table)
-        staged = scratch.keep(_checked(prepared, contract or target.schema, keys))
-        skipped, errors = _rejects(staged, on_bad)
+        staged = scratch.keep(checked_rows(prepared, contract or target.schema, keys))
+        skipped, errors = count_rejects(staged, on_bad)
         good = merge.with_checksum(schema.accepted(staged))
         rows_read = staged.count()
         stamp = F.lit(run_time or dt.datetime.now(dt.timezone.utc)).cast("timestamp")
@@ -158,7 +158,7 @@ def sync_rows(
         else:
             before = target.count()
             fresh = merge.merge_checksum_only(target, good).withColumn(SYNC_UPDATED_AT, stamp)
-            writers.write_table(_complete(fresh, target), table, "append")
+            writers.write_table(complete_rows(fresh, target), table, "append")
             inserted, updated = spark.table(table).count() - before, 0
             distinct = inserted
             if distinct < rows_read - skipped:
@@ -210,7 +210,7 @@ def replace_personal_data(
     return pii.anonymize(rows, config, source_system, context, spark.table(mapping_table))[0]
 
 
-def _checked(prepared: DataFrame, target: T.StructType, keys: Sequence[str]) -> DataFrame:
+def checked_rows(prepared: DataFrame, target: T.StructType, keys: Sequence[str]) -> DataFrame:
     """Source rows in the target's columns and types, with their reject reasons."""
     data = schema.data_fields(target)
     shaped = schema.conform(prepared, target, on_extra="drop")
@@ -238,7 +238,7 @@ def _checked(prepared: DataFrame, target: T.StructType, keys: Sequence[str]) ->
     return shaped.select(*values, listed)
 
 
-def _rejects(staged: DataFrame, on_bad: str) -> tuple[int, list[dict]]:
+def count_rejects(staged: DataFrame, on_bad: str) -> tuple[int, list[dict]]:
     """How many rows are refused, and the first ten of them."""
     bad = schema.rejected(staged)
     skipped = bad.count()
@@ -272,7 +272,7 @@ def _merge_into(
     if pruned:
         scope = _touched(target, good, partition_by)
     before = scope.count()
-    complete = _complete(single, target)
+    complete = complete_rows(single, target)
     if strategy == "merge_into":
         writers.merge_rows(complete.withColumn(SYNC_UPDATED_AT, stamp), table, keys)
         written = spark.table(table).where(F.col(SYNC_UPDATED_AT) == stamp).count()
@@ -339,7 +339,7 @@ def _touched(target: DataFrame, source: DataFrame, partition_by: Sequence[str])
     return target.join(wanted, list(partition_by), "left_semi").select(*[quoted(c) for c in target.columns])
 
 
-def _complete(rows: DataFrame, target: DataFrame) -> DataFrame:
+def complete_rows(rows: DataFrame, target: DataFrame) -> DataFrame:
     """Add target columns that the source does not deliver, as nulls."""
     for f in target.schema:
         if f.name not in rows.columns and f.name not in SYNC_COLUMNS:
