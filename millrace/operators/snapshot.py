@@ -29,6 +29,14 @@ def empty_history(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], T.StructType(fields))
 
 
+def without_key(current: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows that lack a key, with ``_problem``. No version can be told to be theirs."""
+    lacking = F.array_compact(
+        F.array(*[F.when(F.col(quoted(k)).isNull(), F.lit(f"{k} is null")) for k in keys])
+    )
+    return current.where(F.size(lacking) > 0).withColumn("_problem", F.array_join(lacking, "; "))
+
+
 def snapshot_step(
     current: DataFrame,
     history: DataFrame,
@@ -44,13 +52,16 @@ def snapshot_step(
     current data, not of the history. A changed row yields its closed old version
     and its new one; a row that is gone is closed; one that comes back opens anew.
     ``check`` compares checksums; ``timestamp`` trusts the column ``updated_at``.
+    Rows that lack a key get no version (see ``without_key``); open versions without a key,
+    as earlier releases wrote them, are closed once.
     """
     if strategy not in ("check", "timestamp"):
         raise ValueError(f"unknown snapshot strategy: {strategy}")
     if strategy == "timestamp" and not updated_at:
         raise ValueError("the timestamp strategy needs updated_at")
     data = current.columns
-    stamped = current.withColumn(VERSION_CHECKSUM, row_checksum(current.schema))
+    keyed = reduce(lambda a, b: a & b, [F.col(quoted(k)).isNotNull() for k in keys])
+    stamped = current.where(keyed).withColumn(VERSION_CHECKSUM, row_checksum(current.schema))
     opened = history.where(F.col(VALID_TO).isNull())
     on = reduce(
         lambda a, b: a & b, [F.col(f"o.{quoted(k)}") == F.col(f"c.{quoted(k)}") for k in keys]

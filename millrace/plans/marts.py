@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.operators.snapshot import VALID_FROM, VALID_TO, empty_history, snapshot_step
+from millrace.operators.snapshot import VALID_FROM, VALID_TO, empty_history, snapshot_step, without_key
 from millrace.session import Scratch
 from millrace.sources import writers
 from millrace.sources.files import load_seed
@@ -26,6 +26,8 @@ class SnapshotOf:
     keys: Sequence[str]
     strategy: str = "check"
     updated_at: str | None = None
+    #: Rows that lack a key: ``fail`` stops before anything is written, ``skip`` leaves them out.
+    on_bad: str = "fail"
 
 
 @dataclass(frozen=True)
@@ -70,6 +72,12 @@ def save_snapshot(
     gets. A run repeated with its run time after a crash adds no version twice.
     """
     stamp = F.lit(run_time).cast("timestamp")
+    if spec.on_bad not in ("fail", "skip"):
+        raise ValueError("on_bad is fail or skip")
+    if spec.on_bad == "fail":
+        lacking = without_key(spec.source, spec.keys).select("_problem").limit(1).collect()
+        if lacking:
+            raise ValueError(f"rows of {table} cannot be kept: {lacking[0][0]}")
     if not spark.catalog.tableExists(table):
         blank = empty_history(spark, spec.source.schema).withColumn(OPEN, F.lit(True))
         blank.write.partitionBy(OPEN).format("parquet").saveAsTable(table)

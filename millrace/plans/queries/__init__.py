@@ -14,5 +14,6 @@ from millrace.plans.queries import privacy  # noqa: F401
 from millrace.plans.queries import related  # noqa: F401
 from millrace.plans.queries import reports  # noqa: F401
 from millrace.plans.queries import stored  # noqa: F401
+from millrace.plans.queries import versions  # noqa: F401
 
 __all__ = ["QUERIES", "SQL"]

@@ -300,9 +300,7 @@ def _merge_into(
         writers.replace_partitions(merged, table)
         after = _touched(spark.table(table), good, partition_by)
     elif any(c.isPartition for c in spark.catalog.listColumns(table)):
-        # Renaming does not carry the places of all partitions along, so the successor is
-        # stored first and then written over the table.
-        writers.reload_table(scratch.keep(merged), table)
+        writers.replace_partitioned(merged, table)
         after = spark.table(table)
     else:
         staged = writers.stage(merged, table)

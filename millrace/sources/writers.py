@@ -148,14 +148,49 @@ def swap_in(spark: SparkSession, table: str, staged: str) -> None:
 
 
 def recover(spark: SparkSession, table: str) -> bool:
-    """Undo a swap that was cut short; true if there was one."""
+    """Undo a swap, or finish a replacement, that was cut short; true if there was one."""
     old = f"{table}__old"
+    if finish_replacement(spark, table):
+        return True
     if spark.catalog.tableExists(table) or not spark.catalog.tableExists(old):
         return False
     spark.sql(f"ALTER TABLE {old} RENAME TO {table}")
     return True
 
 
+_COMPLETE = "successor_is_complete"
+
+
+def replace_partitioned(df: DataFrame, table: str) -> None:
+    """Replace all rows of a table whose partitions a rename would leave behind.
+
+    The successor is a table of its own, marked when it is complete, and only then written
+    over the table. A stop before the mark leaves the old rows; after it the successor stays
+    until ``recover``, which every job calls first, has written it in full. Between the two
+    the table may be read half written: a table that is read meanwhile is better kept in
+    buckets (``plans.bucketed``).
+    """
+    spark = df.sparkSession
+    successor = f"{table}__next"
+    spark.sql(f"DROP TABLE IF EXISTS {successor}")
+    df.write.mode("errorifexists").format("parquet").saveAsTable(successor)
+    spark.sql(f"ALTER TABLE {successor} SET TBLPROPERTIES ('{_COMPLETE}' = 'true')")
+    finish_replacement(spark, table)
+
+
+def finish_replacement(spark: SparkSession, table: str) -> bool:
+    """Write a complete successor over the table, drop any other; true if rows were replaced."""
+    successor = f"{table}__next"
+    if not spark.catalog.tableExists(successor):
+        return False
+    properties = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {successor}").collect()}
+    whole = properties.get(_COMPLETE) == "true" and spark.catalog.tableExists(table)
+    if whole:
+        reload_table(spark.table(successor), table)
+    spark.sql(f"DROP TABLE {successor}")
+    return whole
+
+
 @contextmanager
 def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
     before = spark.conf.get(key, None)

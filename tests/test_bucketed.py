@@ -9,9 +9,12 @@ import pytest
 from pyspark.sql import functions as F
 from row_sets import as_set
 
+from millrace.operators.snapshot import empty_history, snapshot, without_key
 from millrace.plans import bucketed
 from millrace.plans.bucketed import merge_buckets, replace_rows
+from millrace.plans.marts import SnapshotOf, save_snapshot
 from millrace.plans.sync import sync
+from millrace.sources import writers
 from millrace.sources.versions import BucketStore, Conflict, bucket_of, compact
 
 DAY = dt.datetime(2030, 5, 1, tzinfo=dt.timezone.utc)
@@ -196,3 +199,51 @@ def test_one_key_group_of_most_rows_is_split_into_files(spark, tmp_path):
     done = merge_buckets(source, root, ["id", "grp"], bucket_on=["grp"], buckets=16)
     assert len(done.rewritten) == 1 and BucketStore(spark, root).read().count() == 5_000
     assert bucketed.merge_buckets(source, root, ["id", "grp"]).result.unchanged == 5_000
+
+
+@pytest.mark.parametrize("stop_at", ["reload_table", "finish_replacement", "after"])
+def test_a_partitioned_table_survives_a_stop(spark, database, monkeypatch, stop_at):
+    table = f"{database}.t"
+    rows(spark, range(20)).write.partitionBy("grp").format("parquet").saveAsTable(table)
+    sync(rows(spark, range(20)), table, keys=["id"], run_time=DAY)
+    real = writers.reload_table
+
+    def stop(*args, **_):
+        if stop_at == "reload_table":
+            # The worst moment: the old rows are gone, the new ones not there yet.
+            real(spark.createDataFrame([], spark.table(table).schema), table)
+        if stop_at == "after":
+            real(*args)
+        raise RuntimeError("stopped")
+
+    monkeypatch.setattr(writers, "reload_table" if stop_at == "after" else stop_at, stop)
+    with pytest.raises(RuntimeError, match="stopped"):
+        sync(rows(spark, range(10, 30), 2.0), table, keys=["id"], run_time=DAY + dt.timedelta(days=1))
+    monkeypatch.undo()
+    assert writers.recover(spark, table) and not writers.recover(spark, table)
+    assert as_set(spark.table(table), "id", "v") == {(i, 1.0 if i < 10 else 2.0) for i in range(30)}
+    assert not spark.catalog.tableExists(f"{table}__next")
+
+
+def test_an_incomplete_successor_is_dropped(spark, database):
+    table = f"{database}.t"
+    rows(spark, range(5)).write.partitionBy("grp").format("parquet").saveAsTable(table)
+    rows(spark, range(2)).write.format("parquet").saveAsTable(f"{table}__next")
+    assert not writers.recover(spark, table)
+    assert spark.table(table).count() == 5 and not spark.catalog.tableExists(f"{table}__next")
+
+
+def test_rows_without_a_key_get_no_version(spark, database):
+    people = spark.createDataFrame([(1, "a"), (None, "b")], "id long, name string")
+    with pytest.raises(ValueError, match="id is null"):
+        save_snapshot(spark, f"{database}.h", SnapshotOf(people, ["id"]), DAY)
+    for day in range(3):
+        save_snapshot(spark, f"{database}.h", SnapshotOf(people, ["id"], on_bad="skip"), DAY + dt.timedelta(days=day))
+    assert as_set(spark.table(f"{database}.h"), "id", "is_open") == {(1, True)}
+    assert [tuple(r) for r in without_key(people, ["id", "name"]).collect()] == [(None, "b", "id is null")]
+    # Versions without a key that an earlier release left open are closed once.
+    old = snapshot(people.where("id = 1"), empty_history(spark, people.schema), ["id"], F.lit(DAY))
+    stale = old.withColumn("id", F.lit(None).cast("long"))
+    for day in (1, 2):
+        stale = snapshot(people, stale, ["id"], F.lit(DAY + dt.timedelta(days=day)))
+    assert stale.where("id IS NULL").count() == 1 and stale.where("valid_to IS NULL").count() == 1
