@@ -229,6 +229,23 @@ def score_texts(field: Field, texts: list[str]) -> np.ndarray:
     return 1 / (1 + np.exp(-(field.curve[0] * level + field.curve[1])))
 
 
+# Characters whose features are held at once, about 64 bytes for each; a longer text is a part of its own.
+CHARACTERS_AT_ONCE = 1 << 20
+
+
+def score_in_parts(field: Field, texts: list[str], most: int = CHARACTERS_AT_ONCE) -> np.ndarray:
+    """``score_texts``, part after part of at most so many characters."""
+    scores, start, size = [], 0, 0
+    for i, text in enumerate(texts):
+        if i > start and size + len(text) > most:
+            scores.append(score_texts(field, texts[start:i]))
+            start, size = i, 0
+        size += len(text) + 1
+    if start < len(texts):
+        scores.append(score_texts(field, texts[start:]))
+    return np.concatenate(scores) if scores else np.zeros(0)
+
+
 def run_of_lines(doc_id: int, text: str, fit: Fit) -> str:
     """The text, or of a long one the consecutive whole lines within the bounds of ``fit``
     around a line chosen by the id; of a line that alone is too long, what fits."""
@@ -274,13 +291,10 @@ def score(docs: DataFrame, field: Field, keep: list[str] | None = None) -> DataF
     ship(docs.sparkSession)
     keep = keep or ["doc_id"]
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep) + ", score double"
-    chunk = 500
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for k in range(0, len(batch), chunk):
-                part = batch.iloc[k : k + chunk]
-                yield part[keep].assign(score=score_texts(field, part["text"].fillna("").tolist()))
+            yield batch[keep].assign(score=score_in_parts(field, batch["text"].fillna("").tolist()))
 
     return docs.select(*keep, text_or_empty().alias("text")).mapInPandas(run, schema)
 
@@ -303,6 +317,6 @@ def keep_good(docs: DataFrame, labels: DataFrame, fit: Fit = Fit()) -> DataFrame
 
     @F.pandas_udf("double")
     def chance(text: pd.Series) -> pd.Series:
-        return pd.Series(score_texts(field, text.fillna("").tolist()))
+        return pd.Series(score_in_parts(field, text.fillna("").tolist()))
 
     return docs.where(chance(text_or_empty()) >= 0.5)

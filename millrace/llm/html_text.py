@@ -64,7 +64,10 @@ ROWS = frozenset("table tbody thead tfoot tr".split())
 SCOPES = frozenset("table td th caption html template".split())
 DEPTH = 200  # what is in deeper elements is read as content of the one at this depth
 
-_PART = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+_PART = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>", re.S)
+#: A tag with a quote that nothing closes ends at the next bracket.
+_OPEN_QUOTE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>")
+_BEGIN = re.compile(r"<[a-zA-Z!?]|</[a-zA-Z]")
 _ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 _HIDING = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)|content-visibility\s*:\s*hidden)", re.I)
 _SPACE = re.compile(r"[ \t\n\r\f]+")
@@ -90,14 +93,17 @@ def _made(name: str, attributes: str) -> Node:
         or (name == "input" and found.get("type", "").lower() == "hidden")
         or (name in ("dialog",) and "open" not in found)
     )
-    span = found.get("colspan", "1")
-    start = found.get("start", "1")
-    return Node(
-        name,
-        hidden,
-        min(int(span), 100) if span.isdecimal() and int(span) > 0 else 1,
-        int(start) if start.lstrip("-").isdecimal() else 1,
-    )
+    return Node(name, hidden, min(max(_number(found.get("colspan")), 1), MOST_COLUMNS), _number(found.get("start")))
+
+
+MOST_COLUMNS = 1_000  # that one cell may span (fixed by the standard)
+_NUMBER = re.compile(r"\s*([+-]?[0-9]{1,9})(?![0-9])")
+
+
+def _number(value: str | None) -> int:
+    """The whole number a value begins with, as browsers read it; 1 for none or one beyond all use."""
+    found = _NUMBER.match(value or "")
+    return int(found.group(1)) if found else 1
 
 
 def parse(html: str) -> Node:
@@ -141,14 +147,14 @@ def parse(html: str) -> Node:
 
     at, end = 0, len(html)
     while at < end:
-        found = _PART.search(html, at)
+        begin = _BEGIN.search(html, at)
+        place = begin.start() if begin else end
+        text(html[at:place])
+        # An unfinished tag at the end is dropped, as browsers do. Only a bracket can end one, so
+        # where none is left no further beginning is looked at.
+        found = begin and (_PART.match(html, place) or (html.find(">", place) >= 0 and _OPEN_QUOTE.match(html, place)))
         if not found:
-            # An unfinished tag at the end is dropped, as browsers do.
-            tail = html[at:]
-            cut = re.search(r"<[a-zA-Z/!?]", tail)
-            text(tail[: cut.start()] if cut else tail)
             break
-        text(html[at : found.start()])
         at = found.end()
         name = found.group(2)
         if not name:
