@@ -6,6 +6,7 @@ from millrace.plans.queries.registry import QUERIES, SQL
 
 # Importing the modules fills the registry.
 from millrace.plans.queries import cleansing  # noqa: F401
+from millrace.plans.queries import contracts  # noqa: F401
 from millrace.plans.queries import edges  # noqa: F401
 from millrace.plans.queries import event_store  # noqa: F401
 from millrace.plans.queries import integrity  # noqa: F401
