@@ -385,22 +385,30 @@ def replace_entities(docs: DataFrame, key: str) -> DataFrame:
         .groupBy("id", "digest")
         .agg(F.map_from_entries(F.collect_set(F.struct(place, "attempt"))).alias("tries"))
     )
-    marked = found.join(redrawn, ["id", "digest"], "left")
+    # A surrogate follows from the key, the entity and the attempt, so each text is rewritten where
+    # it stands; only the few redrawn places are looked up, and no text is joined with its own entities.
+    names = ("own_id", "own_digest", "tries", "found", "kinds", "canons", "drawn", "made", "put", "between", "n_replaced")
+    own_i, own_t, tries, found_, kinds_, canons_, drawn_, made_, put_, between, count = fresh(docs, *names)
+    redrawn = redrawn.select(F.col("id").alias(own_i), F.col("digest").alias(own_t), F.col("tries").alias(tries))
+    marked = docs.withColumns({own_i: _id(), own_t: text_digest()}).join(redrawn, [own_i, own_t], "left")
+    marked = marked.withColumn(
+        found_, F.when(_may_hold(F.col("text")), F.regexp_extract_all("text", F.lit(f"({PATTERN})"), 1))
+    )
     # One step of the work on each place at a time, so that no expression is repeated.
-    kinds = F.transform("found", lambda e: F.struct(e.alias("entity"), kind_of(e).alias("kind")))
+    kinds = F.transform(found_, lambda e: F.struct(e.alias("entity"), kind_of(e).alias("kind")))
     canons = F.transform(
-        "kinds",
+        kinds_,
         lambda e, k: F.struct(
             e["entity"].alias("entity"),
             e["kind"].alias("kind"),
             canonical(e["kind"], e["entity"]).alias("canon"),
-            F.coalesce(F.element_at("tries", k), F.lit(0)).alias("attempt"),
+            F.coalesce(F.element_at(tries, k), F.lit(0)).alias("attempt"),
             F.when(e["kind"] == "name", given_canonical(e["entity"])).alias("given"),
-            F.coalesce(F.element_at("tries", -1 - k), F.lit(0)).alias("given_attempt"),
+            F.coalesce(F.element_at(tries, -1 - k), F.lit(0)).alias("given_attempt"),
         ),
     )
     drawn = F.transform(
-        "canons",
+        canons_,
         lambda e: F.struct(
             e["entity"].alias("entity"),
             e["kind"].alias("kind"),
@@ -415,7 +423,7 @@ def replace_entities(docs: DataFrame, key: str) -> DataFrame:
         ),
     )
     made = F.transform(
-        "drawn",
+        drawn_,
         lambda e: F.struct(
             e["entity"].alias("entity"),
             e["kind"].alias("kind"),
@@ -423,18 +431,14 @@ def replace_entities(docs: DataFrame, key: str) -> DataFrame:
             F.when(e["given"].isNotNull(), _given(e["given"], e["given_hexes"], e["given_attempt"])).alias("given"),
         ),
     )
-    put = F.transform("made", lambda e: _shown(e["kind"], e["entity"], e["made"], e["given"]))
-    marked = marked.withColumn("kinds", kinds).withColumn("canons", canons).withColumn("drawn", drawn)
-    i, t, p, own_i, own_t, between = fresh(docs, "of_id", "of_digest", "put_", "own_id", "own_digest", "between_")
-    new = stored_rows(
-        marked.withColumn("made", made).select(F.col("id").alias(i), F.col("digest").alias(t), put.alias(p))
-    )
-    count = fresh(docs, "n_replaced")[0]
-    keyed = docs.withColumns({own_i: _id(), own_t: text_digest()})
-    joined = keyed.join(new, (F.col(own_i) == F.col(i)) & (F.col(own_t) == F.col(t)), "left")
-    joined = joined.withColumn(between, F.when(F.col(p).isNotNull(), F.split("text", PATTERN)))
-    pieces = F.zip_with(F.slice(between, F.lit(1), F.size(p)), F.col(p), lambda a, b: F.concat(a, b))
+    put = F.transform(made_, lambda e: _shown(e["kind"], e["entity"], e["made"], e["given"]))
+    steps = ((kinds_, kinds), (canons_, canons), (drawn_, drawn), (made_, made), (put_, put))
+    for name, step in steps:
+        marked = marked.withColumn(name, step)
+    some = F.size(put_) > 0
+    marked = marked.withColumn(between, F.when(some, F.split("text", PATTERN)))
+    pieces = F.zip_with(F.slice(between, F.lit(1), F.size(put_)), F.col(put_), lambda a, b: F.concat(a, b))
     rewritten = F.concat(F.array_join(pieces, ""), F.element_at(between, -1))
-    out = joined.withColumn(count, F.coalesce(F.when(F.col(p).isNotNull(), F.size(p)), F.lit(0)))
-    out = out.withColumn("text", F.when(F.col(p).isNotNull(), rewritten).otherwise(F.col("text")))
+    out = marked.withColumn(count, F.when(some, F.size(put_)).otherwise(F.lit(0)))
+    out = out.withColumn("text", F.when(some, rewritten).otherwise(F.col("text")))
     return out.select(*docs.columns, count)
