@@ -195,6 +195,42 @@ def verified(pairs: DataFrame, texts: DataFrame, near: Near) -> DataFrame:
     return both.mapInPandas(run, "a binary, b binary, similarity double")
 
 
+def solitary(texts: DataFrame, near: Near) -> DataFrame:
+    """(v) of the texts too much of which no other of ``texts`` has for any pair to reach the similarity.
+
+    Shingles found in one text alone are no overlap with any other, so the similarity of a text
+    to all others is at most the rest of its weight over its weight. Hashes that collide only
+    make a shingle look shared. Counts are folded in each task before the shuffle.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        memo = Memo(word_hash)
+        for batch in batches:
+            for v, text in zip(batch["v"], batch["text"], strict=True):
+                items, weights = bag_of(text, memo, near.shingle)
+                for k in range(0, len(items), 100_000):
+                    part = slice(k, k + 100_000)
+                    yield pd.DataFrame(
+                        {"item": items[part].view(np.int64), "v": [v] * len(items[part]), "weight": weights[part]}
+                    )
+
+    def weigh(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            total = [max(len(text.split()) - near.shingle + 1, 1) for text in batch["text"]]
+            yield pd.DataFrame({"v": batch["v"], "total": total})
+
+    shingles = texts.mapInPandas(run, "item long, v binary, weight long")
+    own = (
+        shingles.groupBy("item")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("v"), F.min("weight").alias("weight"))
+        .where("n = 1")
+        .groupBy("v")
+        .agg(F.sum("weight").alias("own"))
+    )
+    total = texts.mapInPandas(weigh, "v binary, total long")
+    return own.join(total, "v").where(1 - F.col("own") / F.col("total") < near.similarity - 1e-9).select("v")
+
+
 def links(docs: DataFrame, near: Near = Near()) -> DataFrame:
     """Verified links (a, b) that join all vertices of a class; vertices are text digests.
 
@@ -203,6 +239,8 @@ def links(docs: DataFrame, near: Near = Near()) -> DataFrame:
     leaders, until no bucket has two members. A member that left can still be the only
     link of one that stayed: that one lies within twice the distance of the leader, since
     the distance is a metric, and such pairs of different classes are compared at the end.
+    Pairs that other links have joined already are not compared, and a bucket whose members
+    are all of one class is done with. Texts that can have no link are set aside beforehand.
     """
     ship(docs.sparkSession)
     texts = docs.select(text_digest().alias("v"), text_or_empty().alias("text"))
@@ -218,37 +256,53 @@ def links(docs: DataFrame, near: Near = Near()) -> DataFrame:
     needed = stored_rows(
         texts.join(members.select("v").distinct(), "v", "left_semi").groupBy("v").agg(F.min("text").alias("text"))
     )
-    done = stored_rows(docs.sparkSession.createDataFrame([], "a binary, b binary, similarity double"))
+    alone = stored_rows(solitary(needed, near))
+    members = members.join(alone, "v", "left_anti").withColumn("root", F.col("v"))
+    members = stored_rows(_of_several_classes(members.select("bucket", "v", "met", "root")))
+    done = docs.sparkSession.createDataFrame([], "a binary, b binary, similarity double")
+    root = None
     leaders = near.leaders
     while has_rows(members):
         # Each task keeps as many rows of a bucket as there are leaders, before the shuffle.
         turn = F.row_number().over(W.partitionBy("bucket").orderBy(F.desc("met"), F.xxhash64("v", "bucket"), "v"))
         heads = members.withColumn("turn", turn).where(F.col("turn") <= leaders)
-        heads = stored_rows(heads.select("bucket", F.col("v").alias("a")))
-        faced = stored_rows(members.select("bucket", "v").join(heads, "bucket").where("v != a"))
+        heads = stored_rows(heads.select("bucket", F.col("v").alias("a"), F.col("root").alias("a_root")))
+        # A text and itself are of one class too.
+        faced = stored_rows(
+            members.select("bucket", "v", "root").join(heads, "bucket").where("root != a_root").select("bucket", "v", "a")
+        )
         pairs = faced.select(F.least("a", "v").alias("a"), F.greatest("a", "v").alias("b")).distinct()
         news = verified(pairs.join(done.select("a", "b"), ["a", "b"], "left_anti"), needed, near)
-        done = stored_rows(done.unionByName(news))
+        done = done.unionByName(stored_rows(news))
         close = done.where(F.col("similarity") >= near.similarity)
         either = close.select("a", F.col("b").alias("v")).union(close.select("b", "a"))
         gone = faced.join(either, ["a", "v"], "left_semi").select("bucket", "v")
         gone = gone.union(heads.select("bucket", F.col("a").alias("v"))).distinct()
-        rest = stored_rows(members.join(gone, ["bucket", "v"], "left_anti"))
-        members = stored_rows(
-            rest.join(rest.groupBy("bucket").count().where("count > 1").select("bucket"), "bucket", "left_semi")
+        root = components(close)
+        rest = members.select("bucket", "v", "met").join(gone, ["bucket", "v"], "left_anti")
+        rest = rest.join(root, F.col("v") == F.col("node"), "left").select(
+            "bucket", "v", "met", F.coalesce("component", "v").alias("root")
         )
+        members = stored_rows(_of_several_classes(rest))
         leaders *= 4
     close = done.where(F.col("similarity") >= near.similarity).select("a", "b")
-    return stored_rows(close.unionByName(_bridges(done, needed, near)))
+    if root is None:
+        return stored_rows(close)
+    return stored_rows(close.unionByName(_bridges(done, root, needed, near)))
+
+
+def _of_several_classes(members: DataFrame) -> DataFrame:
+    """The members of the buckets that do not lie in one class as a whole."""
+    mixed = members.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high")
+    return members.join(mixed.select("bucket"), "bucket", "left_semi")
 
 
-def _bridges(done: DataFrame, texts: DataFrame, near: Near) -> DataFrame:
+def _bridges(done: DataFrame, root: DataFrame, texts: DataFrame, near: Near) -> DataFrame:
     """Links between a vertex near a leader and vertices linked to that leader, of another class."""
     reach = 1 - near.similarity
     both = done.union(done.select("b", "a", "similarity")).select(
         F.col("a").alias("leader"), F.col("b").alias("v"), (1 - F.col("similarity")).alias("far")
     )
-    root = components(done.where(F.col("similarity") >= near.similarity))
     rooted = both.where(F.col("far") <= 2 * reach + 1e-9).join(root, F.col("v") == F.col("node"), "left").select(
         "leader", "v", "far", F.coalesce("component", "v").alias("root")
     )

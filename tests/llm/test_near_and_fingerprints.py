@@ -153,6 +153,27 @@ def test_near_duplicates_brute_force(spark):
     assert all(kept == (d == want[d]) for d, (_, kept) in got.items())
 
 
+def test_near_copies_on_both_sides_of_the_threshold(spark):
+    """A large group of copies of one text: some linked to it, some to each other only, some to none."""
+    rng = random.Random(11)
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for doc in range(150):
+        words = list(base)
+        for at in rng.sample(range(120), rng.choice([1, 2, 3, 4, 5, 6, 9])):
+            words[at] = f"n{rng.random()}" if doc % 3 else f"m{at}"
+        rows.append((doc, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.class_id for r in bag_minhash.near_duplicates(docs).collect()}
+    assert got == brute_classes(rows)
+    near = bag_minhash.Near()
+    texts = docs.selectExpr("unhex(md5(text)) AS v", "text")
+    alone = {bytes(r.v) for r in bag_minhash.solitary(texts, near).collect()}
+    own = {hashlib.md5(t.encode()).digest(): bag_minhash._shingles(t, near.shingle) for _, t in rows}
+    shared = {v: max(bag_minhash.overlap(bag, own[w]) for w in own if w != v) for v, bag in own.items()}
+    assert alone and all(shared[v] < near.similarity for v in alone)
+
+
 def test_near_duplicates_of_documents(documents):
     rows = [(r.doc_id, r.text) for r in documents.collect()]
     got = {r.doc_id: r.class_id for r in bag_minhash.near_duplicates(documents).collect()}
