@@ -77,7 +77,7 @@ class _Tokens:
     byte-level vocabulary with this split pattern, so their ids are looked up once and
     kept. Texts with runs of spaces, where the pattern looks further, are encoded whole, and
     those with very long runs of white space, on which tiktoken breaks off, by tokenizers.
-    Special tokens that stand in a text are read as ordinary characters.
+    So are texts that spell out an added token, which is that token's id, as tokenizers has it.
     """
 
     def __init__(self, path: str) -> None:
@@ -96,7 +96,7 @@ class _Tokens:
             if token not in special
         }
         self.plain = Tokenizer.from_file(path)
-        self.plain.encode_special_tokens = True
+        self.added = re.compile("|".join(map(re.escape, sorted(special)))) if special else None
         self.encoding = tiktoken.Encoding(
             "vocabulary", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={}
         )
@@ -109,6 +109,8 @@ class _Tokens:
     def __call__(self, text: str) -> bytes:
         if not text:
             return b""
+        if self.added and self.added.search(text):
+            return np.array(self.plain.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
         if len(text) >= LONG_SPACE and any(m.end() - m.start() >= LONG_SPACE for m in _SPACES.finditer(text)):
             return np.array(self.plain.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
         if "  " in text:

@@ -41,7 +41,6 @@ def test_dot_product_rule_against_brute_force():
 def whole(docs, rows, limits):
     """Checks an exact round trip; returns the sequences' sizes."""
     plain = Tokenizer.from_file(tokenizer_path())
-    plain.encode_special_tokens = True
     want = {}
     for r in docs.collect():
         ids = plain.encode(r.text or "", add_special_tokens=False).ids + [0]
@@ -84,11 +83,16 @@ def test_limits(spark, documents, limits):
 
 
 def test_words_and_spaces(spark):
-    texts = ["", None, " ", "  ", " a", "a ", "a  b", "a \n b", "a\n\n b", "x's I'm", "a\tb \t c", "é 日本 🙂", "<|endoftext|> x", "a \xa0 b"]
+    texts = ["", None, " ", "  ", " a", "a ", "a  b", "a \n b", "a\n\n b", "x's I'm", "a\tb \t c", "é 日本 🙂", "<|endoftext|> x", "<|endoftext|", "a \xa0 b"]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     whole(docs, packing.pack_documents(docs, tokenizer_path()).collect(), Limits())
 
 
+def test_added_token_in_a_text():
+    encode = packing.tokens_of(tokenizer_path())
+    assert np.frombuffer(encode("a <|endoftext|> b"), dtype="<u4").tolist() == [64, 220, 50256, 275]
+
+
 @pytest.mark.parametrize("space", [" ", "\n", "\t", " \u2003", "\x85"])
 @pytest.mark.parametrize("times", [packing.LONG_SPACE - 1, packing.LONG_SPACE, 1_000_000])
 def test_long_runs_of_white_space(space, times):
