@@ -17,7 +17,7 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int) -> Da
 
     Documents are chosen by the hash of their id, so the choice neither depends on order
     nor changes between runs. Null ids and null labels are left out; of an id with two
-    labels the greater counts.
+    labels the greater counts, of an id with several texts the least one.
     """
     known = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
@@ -30,4 +30,5 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int) -> Da
     # Two numbers for each of at most 2 * per_class rows: small enough to send to every task.
     few = F.broadcast(chosen[0].union(chosen[1]))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return texts.join(few, "doc_id").select("doc_id", "label", "text")
+    # An id may be on any number of rows: they are folded in each task, so one row of an id is left.
+    return texts.join(few, "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))

@@ -55,6 +55,15 @@ def test_disguised_words_and_person():
     assert plain[1] > 0 and plain[9] == 0 and near[9] > 0 and hidden[3] > 0 and hidden[1] == 0
 
 
+def test_sample_holds_one_row_of_a_repeated_id(spark):
+    docs = spark.range(600).selectExpr("id % 3 AS doc_id", "concat('text ', id) AS text")
+    docs = docs.union(spark.createDataFrame([(5, None)], "doc_id long, text string"))
+    labels = spark.createDataFrame([(0, 1), (1, 0), (2, 1), (5, 0), (5, 0)], "doc_id long, quality int")
+    rows = sample(docs, labels, "quality", 10).collect()
+    assert len(rows) == len({r.doc_id for r in rows}) and rows
+    assert all(r.text == ("" if r.doc_id == 5 else min(f"text {i}" for i in range(r.doc_id, 600, 3))) for r in rows)
+
+
 def test_sample_keeps_to_training_rows(documents, labels):
     import zlib
 
