@@ -5,6 +5,8 @@ by the highest quotients target / (2k - 1), then each source's blocks to its sha
 same way. A shard is a bounded part of one source, so a hot source is many tasks. In a
 shard the documents lie in seeded order on a ring, and its blocks are taken from a seeded
 start on: only the two documents at the ends are cut, and no word comes more than twice.
+A block is at most a 64th of the least target, down to one word, so that rounding to whole
+blocks leaves a small source near its target too; all blocks of a mix are equal.
 """
 
 from __future__ import annotations
@@ -26,7 +28,8 @@ class Mix:
     weights: tuple[int, ...] = (3, 1, 2)
     share: float = 1.5  # of all sizes
     most: float = 2.0  # times a source's size
-    block: int = 32  # words
+    block: int = 32  # words; fewer if it is more than the least target's ``parts``-th part
+    parts: int = 64
     shard: int = 1_000_000  # words
     shards: int = 4096  # of one source at most
     seed: int = 7
@@ -127,8 +130,12 @@ def plan(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
         )
     )
     targets = source_targets(sizes, mix)
-    block = F.lit(mix.block)
-    seats = F.round(F.sum("target").over(W.partitionBy()) / block).cast("long")
+    everything = W.partitionBy()
+    least = F.min(F.when(F.col("target") > 0, F.col("target"))).over(everything)
+    fitting = F.least(F.floor(F.coalesce(least, F.lit(0.0)) / mix.parts), F.lit(mix.block).cast("long"))
+    targets = targets.withColumn("block", F.greatest(fitting, F.lit(1).cast("long")))
+    block = F.col("block")
+    seats = F.round(F.sum("target").over(everything) / block).cast("long")
     by_source = apportion(
         targets.withColumn("seats", seats).withColumn(
             "most", F.floor(F.lit(mix.most) * F.col("source_size") / block)
@@ -145,6 +152,7 @@ def plan(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
             "source_size",
             "target",
             "blocks",
+            "block",
             F.least(F.greatest(F.ceil(F.col("source_size") / mix.shard), F.lit(1)), F.lit(mix.shards))
             .cast("long")
             .alias("shards"),
@@ -154,7 +162,7 @@ def plan(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
         "shard",
         F.pmod(F.xxhash64(F.lit(mix.seed), "doc_id", "digest"), F.col("shards")),
     )
-    shards = dealt.groupBy("of_source", "blocks", "shard").agg(F.sum("size").alias("shard_size"))
+    shards = dealt.groupBy("of_source", "blocks", "block", "shard").agg(F.sum("size").alias("shard_size"))
     quotas = apportion(
         shards.withColumn("most", F.floor(F.lit(mix.most) * F.col("shard_size") / block)),
         ["of_source"],
@@ -163,13 +171,13 @@ def plan(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
         "most",
         ["shard"],
     ).select(
-        F.col("of_source").alias("s"), F.col("shard").alias("h"), "shard_size", "quota"
+        F.col("of_source").alias("s"), F.col("shard").alias("h"), "shard_size", "quota", F.col("block").alias("words")
     )
     # The seeded start and the length of the run of blocks on the shard's ring.
-    quotas = quotas.withColumn("length", F.col("quota") * block).withColumn(
+    quotas = quotas.withColumn("length", F.col("quota") * F.col("words")).withColumn(
         "start",
-        F.floor(unit_hash(F.lit(mix.seed), "s", "h") * F.greatest(F.ceil(F.col("shard_size") / block), F.lit(1)))
-        * block,
+        F.floor(unit_hash(F.lit(mix.seed), "s", "h") * F.greatest(F.ceil(F.col("shard_size") / F.col("words")), F.lit(1)))
+        * F.col("words"),
     )
     order = W.partitionBy("source", "shard").orderBy(
         F.xxhash64("doc_id", "digest", F.lit(mix.seed + 1)), "doc_id", "digest"

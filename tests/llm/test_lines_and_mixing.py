@@ -107,6 +107,20 @@ def test_mixing(spark, documents):
     assert sorted(map(str, rows)) == sorted(map(str, again))
 
 
+@pytest.mark.parametrize("large", [0, 40_000])
+def test_small_sources_come_near_their_targets(spark, large):
+    words = {f"s{k:02d}": 12 + k % 3 for k in range(50)} | ({"zz": large} if large else {})
+    rows = [(k, " ".join(["w"] * n), s) for k, (s, n) in enumerate(words.items())] + [(99, "", "empty"), (100, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.plan(docs).collect()
+    want = brute_targets(words | {"empty": 0, None: 0}, Mix())
+    assert len(got) == len(rows)
+    for r in got:
+        assert abs(r.target - want[r.source]) < 1e-6 * max(r.target, 1)
+        # Rounding to whole words, and never above twice the size.
+        assert abs(r.taken - r.target) <= 1.0 + 1e-6 and r.taken <= 2 * r.size
+
+
 def test_mixed_documents_hold_the_taken_words(documents):
     mix = Mix(block=8, shard=2000)
     planned = mixing.plan(documents, mix).agg(F.sum("taken")).first()[0]
