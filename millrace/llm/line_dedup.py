@@ -1,9 +1,13 @@
 """Removal of lines that repeat across sites.
 
 A HyperLogLog sketch per line hash holds the sites a line was seen on; sketches merge by
-aggregation, in each task before the shuffle. A line whose estimate lies near the
-threshold is counted exactly. Lines on ``min_sites`` sites or more are cross-site
-boilerplate: one holder keeps the line, all others lose it.
+aggregation, in each task before the shuffle. A line whose estimate lies near its
+threshold is counted exactly. Lines on as many sites or more are cross-site boilerplate:
+one holder keeps the line, all others lose it.
+
+Short lines come up on several sites by chance (a heading, a bracket, a greeting), so they
+need more sites. A line of ``long_line`` characters does not: three sites that hold it
+have copied it.
 """
 
 from __future__ import annotations
@@ -20,48 +24,57 @@ from millrace.session import stored_rows
 @dataclass(frozen=True)
 class Spread:
     """``log_k``: 2**log_k registers, a relative error of 1.04 / sqrt(2**log_k).
-    ``margin``: estimates within this part of the threshold are counted exactly."""
+    ``margin``: estimates within this part of the threshold are counted exactly.
+    Lines of ``long_line`` characters or more count from ``long_sites`` sites, if that is fewer."""
 
     min_sites: int = 10
+    long_sites: int = 3
+    long_line: int = 100
     log_k: int = 8
     margin: float = 0.25
 
 
-def line_key(line: Column) -> Column:
-    """Lines are compared trimmed; 0 stands for an empty line, which is never counted."""
+def line_key(line: Column, long_line: int = Spread.long_line) -> Column:
+    """Lines are compared trimmed; 0 stands for an empty line, which is never counted.
+
+    The lowest bit tells long lines, so that the threshold follows from the key.
+    """
     trimmed = F.btrim(line, F.lit(" \t\r"))
-    return F.when(F.length(trimmed) == 0, F.lit(0).cast("long")).otherwise(F.xxhash64(trimmed))
+    is_long = (F.length(trimmed) >= long_line).cast("long")
+    marked = F.shiftleft(F.shiftright(F.xxhash64(trimmed), 1), 1).bitwiseOR(is_long)
+    return F.when(F.length(trimmed) == 0, F.lit(0).cast("long")).otherwise(marked)
 
 
-def _lines(docs: DataFrame) -> DataFrame:
+def _lines(docs: DataFrame, spread: Spread = Spread()) -> DataFrame:
     """(doc_id, digest, site, hashes): the hashes of a document's lines, in order."""
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         text_digest().alias("digest"),
         # Sketches pass over empty texts, so no site is one.
         F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("-")).alias("site"),
-        F.transform(F.split(text_or_empty(), "\n"), line_key).alias("hashes"),
+        F.transform(F.split(text_or_empty(), "\n"), lambda x: line_key(x, spread.long_line)).alias("hashes"),
     )
 
 
 def site_spread(lines: DataFrame, spread: Spread = Spread()) -> DataFrame:
-    """(line, sites) of the lines on ``min_sites`` sites or more; sites is exact near the threshold."""
+    """(line, sites) of the lines on enough sites; sites is exact near the threshold."""
     seen = lines.select(F.explode(F.array_distinct("hashes")).alias("line"), "site").where("line != 0")
-    # A line of one site is no candidate; equal (line, site) rows fold before the shuffle.
-    once = seen.distinct()
-    sketched = once.groupBy("line").agg(F.hll_sketch_agg("site", F.lit(spread.log_k)).alias("sketch"))
+    # A sketch a line is built in each task, whatever number of rows holds the line there.
+    sketched = seen.groupBy("line").agg(F.hll_sketch_agg("site", F.lit(spread.log_k)).alias("sketch"))
+    long_sites = min(spread.long_sites, spread.min_sites)
+    needed = F.when(F.col("line").bitwiseAND(F.lit(1)) == 1, long_sites).otherwise(spread.min_sites)
     guess = sketched.select("line", F.hll_sketch_estimate("sketch").alias("sites")).where(
-        F.col("sites") >= spread.min_sites * (1 - spread.margin)
+        F.col("sites") >= needed * (1 - spread.margin)
     )
     guess = stored_rows(guess)
-    sure = guess.where(F.col("sites") > spread.min_sites * (1 + spread.margin))
-    near = guess.where(F.col("sites") <= spread.min_sites * (1 + spread.margin)).select("line")
+    sure = guess.where(F.col("sites") > needed * (1 + spread.margin))
+    near = guess.where(F.col("sites") <= needed * (1 + spread.margin)).select("line")
     exact = (
         seen.join(near, "line", "left_semi")
         .distinct()
         .groupBy("line")
         .agg(F.count(F.lit(1)).alias("sites"))
-        .where(F.col("sites") >= spread.min_sites)
+        .where(F.col("sites") >= needed)
     )
     return sure.unionByName(exact)
 
@@ -72,7 +85,7 @@ def boilerplate(docs: DataFrame, spread: Spread = Spread()) -> DataFrame:
     The one that keeps a line is its first place in the document with the lowest
     (doc_id, digest). Rows with equal doc_id and text are one document.
     """
-    lines = stored_rows(_lines(docs))
+    lines = stored_rows(_lines(docs, spread))
     spread_lines = stored_rows(site_spread(lines, spread).select("line"))
     places = lines.select(
         F.coalesce("doc_id", F.lit(-(1 << 63))).alias("doc_id"), "digest", F.posexplode("hashes").alias("at", "line")
@@ -124,7 +137,7 @@ def dedup_lines(docs: DataFrame, spread: Spread = Spread()) -> DataFrame:
     return out.select(*docs.columns)
 
 
-#: DuckDB SQL for the columns doc_id and text, at the default threshold.
+#: DuckDB SQL for the columns doc_id and text, at the default thresholds.
 ORACLE = r"""
 WITH lines AS (
     SELECT d.doc_id, d.text, coalesce('=' || d.source, '-') AS site,
@@ -134,7 +147,8 @@ WITH lines AS (
 ), keyed AS (
     SELECT *, trim(raw, ' ' || chr(9) || chr(13)) AS line FROM lines
 ), wide AS (
-    SELECT line FROM keyed WHERE line <> '' GROUP BY line HAVING count(DISTINCT site) >= 10
+    SELECT line FROM keyed WHERE line <> '' GROUP BY line
+    HAVING count(DISTINCT site) >= CASE WHEN length(line) >= 100 THEN 3 ELSE 10 END
 ), ranked AS (
     SELECT k.doc_id, k.text, k.place,
            row_number() OVER (PARTITION BY line ORDER BY doc_id NULLS FIRST, md5(text), place) AS turn

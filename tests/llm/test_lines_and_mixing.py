@@ -46,6 +46,19 @@ def test_line_spread_is_exact_near_the_threshold(spark):
     assert near[:3] == [10, 11, 12] and len(near) == 4 and abs(near[3] - 40) <= 8
 
 
+def test_long_passages_need_fewer_sites(spark):
+    passage = " ".join(f"word{k}" for k in range(60))
+    rows = [(k, f"own {k}\n{passage}\nshort line", f"site{k % 3}") for k in range(300)]
+    rows += [(k, f"own {k}\n{passage.upper()}", f"site{k % 2}") for k in range(300, 310)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(docs).collect()}
+    assert got == {
+        k: t if k == 0 or k >= 300 else f"own {k}\nshort line" for k, t, _ in rows
+    }
+    few = {r.doc_id: r.text for r in line_dedup.dedup_lines(docs, Spread(min_sites=2)).collect()}
+    assert few[0] == rows[0][1] and few[1] == "own 1" and few[300] == rows[300][1] and few[301] == "own 301"
+
+
 def test_line_dedup_odd_rows(odd_docs, no_docs):
     got = line_dedup.dedup_lines(odd_docs, Spread(min_sites=2))
     assert got.columns == odd_docs.columns and got.count() == odd_docs.count()
