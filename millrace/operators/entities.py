@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from millrace.functions.cleanse import iso_timestamp
 from millrace.functions.hashing import composite_id
 from millrace.operators.merge import first_per_key
+from millrace.session import stored_rows
 
 _TEXT_FIELDS = (
     *(f"data_artifact_{p}" for p in ("source", "organization", "repository", "id")),
@@ -48,87 +49,110 @@ def _text(*names: str) -> list[Column]:
     return [F.lit(None).cast("string").alias(n) for n in names]
 
 
-def _entity(records: DataFrame, key: Column, *fields: Column) -> DataFrame:
-    """One row per id: of several records the one with the most fields filled."""
-    rows = records.select(key.alias("id"), *fields).where("id IS NOT NULL")
-    gaps = sum((F.col(c).isNull().cast("int") for c in rows.columns), F.lit(0))
-    return first_per_key(rows, ["id"], [gaps, F.struct(*rows.columns)])
+_TYPES = {
+    "status": _STATUS,
+    "startedAt": T.TimestampType(),
+    "endedAt": T.TimestampType(),
+    "createdAt": T.TimestampType(),
+    "number": T.IntegerType(),
+    "tags": T.ArrayType(T.StringType()),
+}
 
 
-def fan_out(records: DataFrame, only: Sequence[str] | None = None) -> Mapping[str, DataFrame]:
-    """One DataFrame per entity, keyed by ``id``; ids of parents are id prefixes."""
-    r = _complete(records)
-    origin = F.col("data_origin").alias("origin")
+def _absent(name: str) -> Column:
+    return F.lit(None).cast(_TYPES.get(name, T.StringType()))
+
+
+def _forms() -> list[tuple[str, Column, dict[str, Column]]]:
+    """(entity, id, other columns) of all that a record may hold; ids of parents are id prefixes."""
     artifact = composite_id(*_parts("artifact", "source", "organization", "repository", "id"))
     repository = composite_id(*_parts("artifact", "source", "organization", "repository"))
     build = composite_id(*_parts("run", "source", "organization", "pipeline", "id"))
     pipeline = composite_id(*_parts("run", "source", "organization", "pipeline"))
-    run_org = composite_id(*_parts("run", "source", "organization"))
-    artifact_org = composite_id(*_parts("artifact", "source", "organization"))
     commit = composite_id(*_parts("commit", "source", "organization", "repository", "sha"))
     deployment = composite_id(*_parts("deploy", "source", "id"))
-
-    def organizations() -> DataFrame:
-        sides = r.select(
-            origin,
-            F.explode(
-                F.array(
-                    *[
-                        F.struct(
-                            F.col(f"data_{g}_source").alias("source"),
-                            F.col(f"data_{g}_organization").alias("uid"),
-                        )
-                        for g in ("artifact", "run")
-                    ]
-                )
-            ).alias("o"),
-        ).select("origin", "o.*")
-        key = composite_id(F.col("source"), F.col("uid"))
-        return _entity(
-            sides, key, F.col("uid"), F.col("source"), F.col("origin"),
-            *_text("name", "description", "url"),
+    owner = {g: composite_id(*_parts(g, "source", "organization")) for g in ("artifact", "run")}
+    origin = {"origin": F.col("data_origin")}
+
+    def empty(*names: str) -> dict[str, Column]:
+        return {n: _absent(n) for n in names}
+
+    described = empty("name", "description", "url")
+    organizations = [
+        ("organization", owner[g], {
+            "uid": F.col(f"data_{g}_organization"), "source": F.col(f"data_{g}_source"),
+            **origin, **described,
+        })
+        for g in owner
+    ]
+    return [
+        *organizations,
+        ("repository", repository, {
+            "uid": F.col("data_artifact_repository"), "organization": owner["artifact"],
+            **origin, **described,
+        }),
+        ("pipeline", pipeline, {
+            "uid": F.col("data_run_pipeline"), "organization": owner["run"], **origin, **described,
+        }),
+        ("build", build, {
+            "uid": F.col("data_run_id"), "pipeline": pipeline, "status": F.col("run_status"),
+            "statusCategory": F.col("run_status.category"),
+            "statusDetail": F.col("run_status.detail"),
+            "startedAt": iso_timestamp(F.col("run_start_time")),
+            "endedAt": iso_timestamp(F.col("run_end_time")),
+            **empty("createdAt", "number"), **origin, **empty("name", "url"),
+        }),
+        ("artifact", artifact, {
+            "uid": F.col("data_artifact_id"), "build": build, "repository": repository,
+            **origin, **empty("name", "type", "url", "tags"),
+        }),
+        ("artifact_commit_association", composite_id(artifact, commit), {
+            "artifact": artifact, "commit": commit, **origin,
+        }),
+        ("artifact_deployment", composite_id(artifact, deployment), {
+            "artifact": artifact, "deployment": deployment, **origin,
+        }),
+        ("deployment", deployment, {
+            "uid": F.col("data_deploy_id"), "source": F.col("data_deploy_source"), **origin,
+        }),
+        ("application", F.col("uid"), {
+            "uid": F.col("uid"), "name": F.col("name"), "platform": F.col("platform"), **origin,
+        }),
+    ]
+
+
+def entity_rows(records: DataFrame, only: Sequence[str] | None = None) -> DataFrame:
+    """All entities in one frame: ``entity``, ``id`` and every column any of them has.
+
+    The records are read once. A record is turned into its entities in place and all of these
+    meet in one shuffle, which an entity that most records name enters with one row from
+    each input partition. Of several rows of one id the one with the most fields filled stays.
+    """
+    forms = [f for f in _forms() if only is None or f[0] in only]
+    names = list(dict.fromkeys(n for _, _, fields in forms for n in fields))
+    shaped = [
+        F.struct(
+            F.lit(entity).alias("entity"),
+            key.alias("id"),
+            *[fields.get(n, _absent(n)).alias(n) for n in names],
         )
+        for entity, key, fields in forms
+    ]
+    exploded = _complete(records).select(F.explode(F.array(*shaped)).alias("e")).select("e.*")
+    rows = exploded.where("id IS NOT NULL")
+    gaps = sum((F.col(n).isNull().cast("int") for n in names), F.lit(0))
+    return first_per_key(rows, ["entity", "id"], [gaps, F.struct(*names)])
+
 
-    builders = {
-        "organization": organizations,
-        "repository": lambda: _entity(
-            r, repository, F.col("data_artifact_repository").alias("uid"),
-            artifact_org.alias("organization"), origin, *_text("name", "description", "url"),
-        ),
-        "pipeline": lambda: _entity(
-            r, pipeline, F.col("data_run_pipeline").alias("uid"),
-            run_org.alias("organization"), origin, *_text("name", "description", "url"),
-        ),
-        "build": lambda: _entity(
-            r, build, F.col("data_run_id").alias("uid"), pipeline.alias("pipeline"),
-            F.col("run_status").alias("status"),
-            F.col("run_status.category").alias("statusCategory"),
-            F.col("run_status.detail").alias("statusDetail"),
-            iso_timestamp(F.col("run_start_time")).alias("startedAt"),
-            iso_timestamp(F.col("run_end_time")).alias("endedAt"),
-            F.lit(None).cast("timestamp").alias("createdAt"),
-            F.lit(None).cast("int").alias("number"),
-            origin, *_text("name", "url"),
-        ),
-        "artifact": lambda: _entity(
-            r, artifact, F.col("data_artifact_id").alias("uid"), build.alias("build"),
-            repository.alias("repository"), origin, *_text("name", "type", "url"),
-            F.lit(None).cast("array<string>").alias("tags"),
-        ),
-        "artifact_commit_association": lambda: _entity(
-            r, composite_id(artifact, commit), artifact.alias("artifact"),
-            commit.alias("commit"), origin,
-        ),
-        "artifact_deployment": lambda: _entity(
-            r, composite_id(artifact, deployment), artifact.alias("artifact"),
-            deployment.alias("deployment"), origin,
-        ),
-        "deployment": lambda: _entity(
-            r, deployment, F.col("data_deploy_id").alias("uid"),
-            F.col("data_deploy_source").alias("source"), origin,
-        ),
-        "application": lambda: _entity(
-            r, F.col("uid"), F.col("uid"), F.col("name"), F.col("platform"), origin,
-        ),
+def fan_out(records: DataFrame, only: Sequence[str] | None = None) -> Mapping[str, DataFrame]:
+    """One DataFrame per entity, keyed by ``id``.
+
+    ``entity_rows`` is written once to the scratch folder, a folder an entity, so that each
+    of the frames reads its own rows only.
+    """
+    columns = {entity: list(fields) for entity, _, fields in _forms()}
+    stored = stored_rows(entity_rows(records, only), partition_by=["entity"])
+    return {
+        name: stored.where(F.col("entity") == name).select("id", *columns[name])
+        for name in (only or columns)
     }
-    return {name: builders[name]() for name in (only or builders)}

@@ -18,19 +18,6 @@ def same_key(left: str, right: str, keys: Sequence[str]) -> Column:
     )
 
 
-def with_hot_count(df: DataFrame, keys: Sequence[str], above: int) -> DataFrame:
-    """Add ``_hot_rows``: the rows of the key where it has more than ``above``, else null.
-
-    Rows are counted within each input partition first. No key is left out, and the
-    join carries no hint: adaptive execution broadcasts the list where it is small.
-    """
-    hot = one_row_per_key(df, keys, F.count("*").alias("_hot_rows")).where(
-        F.col("_hot_rows") > above
-    )
-    joined = df.alias("d").join(hot.alias("h"), same_key("d", "h", keys), "left")
-    return joined.select("d.*", "h._hot_rows")
-
-
 def with_position(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column]) -> DataFrame:
     """Add ``_position``: the row's number in the order of its key, from 1.
 

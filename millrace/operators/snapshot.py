@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from millrace.functions.hashing import row_checksum
 from millrace.operators.mapping import quoted
-from millrace.operators.ordered import ROWS_PER_WINDOW, with_neighbour
+from millrace.operators.ordered import with_neighbour
 from millrace.session import stored_rows
 
 VALID_FROM, VALID_TO, VERSION_CHECKSUM = "valid_from", "valid_to", "version_checksum"
@@ -124,34 +124,19 @@ def current_versions(history: DataFrame) -> DataFrame:
     return history.where(F.col(VALID_TO).isNull())
 
 
-def version_intervals(
-    versions: DataFrame,
-    keys: Sequence[str],
-    at: str,
-    *,
-    bucket: str = "hour",
-    rows_per_window: int = ROWS_PER_WINDOW,
-) -> DataFrame:
+def version_intervals(versions: DataFrame, keys: Sequence[str], at: str) -> DataFrame:
     """History of a change log that states every version with its time.
 
     A version equal to the one before it is left out; the interval of each ends
-    where the next begins. Equal times are ordered by checksum. ``bucket`` is the
-    span of time (``date_trunc`` unit) that one task sorts at once for one key.
-    The versions kept are stored in the scratch folder on the way, as the second
-    step reads them twice.
+    where the next begins. Equal times are ordered by checksum. Rows are stored in the
+    scratch folder on the way, sorted by ranges of key and time.
     """
     payload = [c for c in versions.columns if c != at]
     stamped = versions.withColumn(VERSION_CHECKSUM, row_checksum(versions.schema, payload))
     order = [F.col(quoted(at)), F.col(VERSION_CHECKSUM)]
-    slot = F.date_trunc(bucket, F.col(quoted(at)))
     compared = with_neighbour(
-        stamped, keys, slot, order, F.col(VERSION_CHECKSUM), "_before",
-        following=False, rows_per_window=rows_per_window,
+        stamped, keys, order, F.col(VERSION_CHECKSUM), "_before", following=False
     )
     kept = compared.where(~F.col("_before").eqNullSafe(F.col(VERSION_CHECKSUM))).drop("_before")
-    kept = stored_rows(kept)
-    ended = with_neighbour(
-        kept, keys, slot, order, F.col(quoted(at)), VALID_TO,
-        following=True, rows_per_window=rows_per_window,
-    )
+    ended = with_neighbour(kept, keys, order, F.col(quoted(at)), VALID_TO, following=True)
     return ended.withColumnRenamed(at, VALID_FROM)

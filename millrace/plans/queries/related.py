@@ -291,6 +291,15 @@ def change_records(spark: SparkSession, sf: str) -> DataFrame:
         F.struct(kind.alias("category"), user.alias("detail")).alias("run_status"),
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("run_start_time"),
         F.lit("feed").alias("data_origin"),
+        F.lit("git").alias("data_commit_source"),
+        kind.alias("data_commit_organization"),
+        F.concat(F.lit("repo"), k).alias("data_commit_repository"),
+        F.md5(F.col("event_id").cast("string")).alias("data_commit_sha"),
+        F.when(F.col("value") >= 8, F.lit("fleet")).alias("data_deploy_source"),
+        F.concat(F.lit("d"), user).alias("data_deploy_id"),
+        F.concat(F.lit("app"), k).alias("uid"),
+        F.concat(F.lit("App "), k).alias("name"),
+        F.lit("web").alias("platform"),
     )
 
 
@@ -319,13 +328,26 @@ def change_records(spark: SparkSession, sf: str) -> DataFrame:
     UNION ALL
     SELECT DISTINCT 'organization', s || '|' || event_type, s, event_type
     FROM events, (VALUES ('forge'), ('runner')) AS sides(s)
+    UNION ALL
+    SELECT 'artifact_commit_association',
+           'forge|' || event_type || '|repo' || (props ->> '$.k') || '|' || event_id
+               || '|git|' || event_type || '|repo' || (props ->> '$.k') || '|' || md5(event_id::VARCHAR),
+           'forge|' || event_type || '|repo' || (props ->> '$.k') || '|' || event_id,
+           'git|' || event_type || '|repo' || (props ->> '$.k') || '|' || md5(event_id::VARCHAR)
+    FROM events
+    UNION ALL
+    SELECT 'artifact_deployment',
+           'forge|' || event_type || '|repo' || (props ->> '$.k') || '|' || event_id || '|fleet|d' || user_id,
+           'forge|' || event_type || '|repo' || (props ->> '$.k') || '|' || event_id, 'fleet|d' || user_id
+    FROM events WHERE value >= 8
+    UNION ALL
+    SELECT DISTINCT 'deployment', 'fleet|d' || user_id, 'fleet', 'd' || user_id FROM events WHERE value >= 8
+    UNION ALL
+    SELECT DISTINCT 'application', 'app' || (props ->> '$.k'), 'web', 'App ' || (props ->> '$.k') FROM events
     """,
 )
 def entity_fanout(spark: SparkSession, sf: str) -> DataFrame:
-    found = entities.fan_out(
-        change_records(spark, sf),
-        only=["organization", "repository", "pipeline", "build", "artifact"],
-    )
+    found = entities.fan_out(change_records(spark, sf))
 
     def shown(name: str, parent: str, detail) -> DataFrame:
         return found[name].select(
@@ -339,4 +361,8 @@ def entity_fanout(spark: SparkSession, sf: str) -> DataFrame:
         .unionByName(shown("repository", "organization", F.col("uid")))
         .unionByName(shown("pipeline", "organization", F.col("uid")))
         .unionByName(shown("organization", "source", F.col("uid")))
+        .unionByName(shown("artifact_commit_association", "artifact", F.col("commit")))
+        .unionByName(shown("artifact_deployment", "artifact", F.col("deployment")))
+        .unionByName(shown("deployment", "source", F.col("uid")))
+        .unionByName(shown("application", "platform", F.col("name")))
     )

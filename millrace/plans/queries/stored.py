@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from millrace.functions.sqltypes import column
 from millrace.operators.entities import fan_out
-from millrace.operators.quality import check_unique
+from millrace.operators.quality import check_unique, union_all
 from millrace.operators.snapshot import current_versions
 from millrace.plans.load import copy_table, load_file, refresh_tables
 from millrace.plans.marts import Marts, Seed, SnapshotOf, build_marts, save_snapshot
@@ -127,22 +127,37 @@ def sync_contract(spark: SparkSession, sf: str) -> DataFrame:
 @registered(
     "entity_upsert",
     """
-    SELECT 'repository' AS entity, 'forge|' || event_type || '|repo' || (props ->> '$.k') AS id
-    FROM events GROUP BY ALL
-    UNION ALL
-    SELECT 'pipeline', 'runner|' || event_type || '|pipe' || user_id FROM events GROUP BY ALL
+    WITH r AS (
+        SELECT 'forge|' || event_type AS owner, 'runner|' || event_type AS runs, event_id, user_id, value,
+               'forge|' || event_type || '|repo' || (props ->> '$.k') AS repository,
+               'forge|' || event_type || '|repo' || (props ->> '$.k') || '|' || event_id AS artifact,
+               'git|' || event_type || '|repo' || (props ->> '$.k') || '|' || md5(event_id::VARCHAR) AS commit,
+               props ->> '$.k' AS k
+        FROM events
+    )
+    SELECT DISTINCT entity, id FROM (
+        SELECT 'organization' AS entity, owner AS id FROM r
+        UNION ALL SELECT 'organization', runs FROM r
+        UNION ALL SELECT 'repository', repository FROM r
+        UNION ALL SELECT 'pipeline', runs || '|pipe' || user_id FROM r
+        UNION ALL SELECT 'build', runs || '|pipe' || user_id || '|' || event_id FROM r WHERE value >= 5
+        UNION ALL SELECT 'artifact', artifact FROM r
+        UNION ALL SELECT 'artifact_commit_association', artifact || '|' || commit FROM r
+        UNION ALL SELECT 'artifact_deployment', artifact || '|fleet|d' || user_id FROM r WHERE value >= 8
+        UNION ALL SELECT 'deployment', 'fleet|d' || user_id FROM r WHERE value >= 8
+        UNION ALL SELECT 'application', 'app' || k FROM r
+    ) WHERE id IS NOT NULL
     """,
 )
 def entity_upsert(spark: SparkSession, sf: str) -> DataFrame:
-    """Entities of the first half of the month, then of all of it, into tables."""
+    """Entities of the first half of the month, then of all of it, into a table each."""
     database = scratch_database(spark)
     records = change_records(spark, sf)
     for part in (records.where("run_start_time < '2024-01-15'"), records):
-        sync_all(fan_out(part, only=["repository", "pipeline"]), database, ["id"])
-    return spark.table(f"{database}.repository").select(
-        F.lit("repository").alias("entity"), "id"
-    ).unionByName(
-        spark.table(f"{database}.pipeline").select(F.lit("pipeline").alias("entity"), "id")
+        found = fan_out(part)
+        sync_all(found, database, ["id"])
+    return union_all(
+        spark.table(f"{database}.{name}").select(F.lit(name).alias("entity"), "id") for name in found
     )
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,7 +46,9 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
-def stored_rows(df: DataFrame, path: str | None = None) -> DataFrame:
+def stored_rows(
+    df: DataFrame, path: str | None = None, partition_by: Sequence[str] = ()
+) -> DataFrame:
     """The rows, written once to the scratch folder and read back.
 
     This cuts the plan: what follows neither repeats the work before it nor
@@ -55,7 +58,10 @@ def stored_rows(df: DataFrame, path: str | None = None) -> DataFrame:
     path = path or scratch_dir(spark, "rows")
     # Small row groups: the rows are read once or twice more, and even a single
     # file, as an unpartitioned source gives, is then read by several tasks.
-    df.write.mode("errorifexists").option("parquet.block.size", 8 << 20).parquet(path)
+    writer = df.write.mode("errorifexists").option("parquet.block.size", 8 << 20)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
