@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.sqltypes import column
+from millrace.operators.differences import find_differences, save_with_tree
 from millrace.operators.entities import fan_out
 from millrace.operators.quality import check_unique, union_all
 from millrace.operators.snapshot import current_versions
@@ -161,6 +162,37 @@ def entity_upsert(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@registered(
+    "difference_tree",
+    """
+    WITH changed AS (
+        SELECT o_orderkey, o_custkey, o_orderstatus,
+               CASE WHEN o_totalprice > 300000 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice
+        FROM orders WHERE o_totalprice > 2000
+        UNION ALL SELECT -o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders WHERE o_totalprice < 3000
+    ), before AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders),
+    sides AS (
+        SELECT o_orderkey, 1 AS l, 0 AS r FROM (SELECT * FROM before EXCEPT ALL SELECT * FROM changed)
+        UNION ALL
+        SELECT o_orderkey, 0, 1 FROM (SELECT * FROM changed EXCEPT ALL SELECT * FROM before)
+    )
+    SELECT o_orderkey, sum(l)::BIGINT AS left_rows, sum(r)::BIGINT AS right_rows,
+           CASE WHEN sum(r) = 0 THEN 'missing' WHEN sum(l) = 0 THEN 'extra' ELSE 'changed' END AS finding
+    FROM sides GROUP BY o_orderkey
+    """,
+)
+def difference_tree(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders and a copy with changed, lost and added rows, compared by their trees."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    price = F.col("o_totalprice")
+    changed = orders.where(price > 2000).withColumn("o_totalprice", F.when(price > 300000, price + 1).otherwise(price))
+    added = orders.where(price < 3000).withColumn("o_orderkey", -F.col("o_orderkey"))
+    left, right = scratch_dir(spark, "tree"), scratch_dir(spark, "tree")
+    save_with_tree(orders, left, ["o_orderkey"], leaves=64)
+    save_with_tree(changed.unionByName(added), right, ["o_orderkey"], leaves=64)
+    return find_differences(spark, left, right)
+
+
 @registered(
     "load_file_csv",
     """
