@@ -7,7 +7,9 @@ change or nothing of it, a stop at any moment leaves the version before, and of
 one is told that it came second. Folders that no kept version names are swept by ``vacuum``.
 
 A version names as many folders as there are buckets, times the parts a bucket may have
-before it is compacted; it grows with the number of buckets, not with rows.
+before it is compacted; it grows with the number of buckets, not with rows. Compaction makes
+no more buckets than ``MOST_BUCKETS``: a table that needs finer ones has its buckets cut into
+slices, which lie in order in the files of a bucket and are told by a column of these.
 """
 
 from __future__ import annotations
@@ -26,6 +28,9 @@ from pyspark.sql import types as T
 from millrace.operators.mapping import quoted
 
 BUCKET = "_bucket"
+SLICE = "_slice"
+#: Folders that compaction deals a table into; each costs a file or more for every run.
+MOST_BUCKETS = 256
 
 
 @dataclass(frozen=True)
@@ -48,6 +53,8 @@ class Version:
     changed: Mapping[int, int] = field(default_factory=dict)
     #: What the step was, and the last batch of each stream.
     info: Mapping[str, object] = field(default_factory=dict)
+    #: Into how many slices the rows of a bucket are dealt, in files written since.
+    slices: int = 1
 
     def rows(self) -> int:
         return sum(p.rows for parts in self.parts.values() for p in parts)
@@ -56,7 +63,7 @@ class Version:
         return json.dumps(
             {
                 "number": self.number, "schema": self.schema.jsonValue(), "on": list(self.on),
-                "buckets": self.buckets, "info": dict(self.info),
+                "buckets": self.buckets, "slices": self.slices, "info": dict(self.info),
                 "parts": {b: [[p.folder, p.rows, p.blocks] for p in ps] for b, ps in sorted(self.parts.items())},
                 "changed": dict(sorted(self.changed.items())),
             }
@@ -68,7 +75,7 @@ class Version:
         return Version(
             v["number"], T.StructType.fromJson(v["schema"]), tuple(v["on"]), v["buckets"],
             {int(b): tuple(Part(*p) for p in ps) for b, ps in v["parts"].items()},
-            {int(b): n for b, n in v["changed"].items()}, v["info"],
+            {int(b): n for b, n in v["changed"].items()}, v["info"], v.get("slices", 1),
         )
 
 
@@ -77,6 +84,12 @@ def bucket_of(on: Sequence[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*[F.col(quoted(c)) for c in on]), F.lit(buckets)).cast("int")
 
 
+def slice_of(on: Sequence[str], buckets: int, slices: int) -> Column:
+    """The slice of a row in its bucket: both together are its bucket among ``buckets * slices``."""
+    finer = F.pmod(F.xxhash64(*[F.col(quoted(c)) for c in on]), F.lit(buckets * slices))
+    return F.floor(finer / F.lit(buckets)).cast("int")
+
+
 class Conflict(Exception):
     """Other writers changed the same buckets again and again."""
 
@@ -171,9 +184,12 @@ class BucketStore:
 
     def read(
         self, version: Version | None = None, *, buckets: Collection[int] | None = None,
-        folders: Collection[str] | None = None,
+        folders: Collection[str] | None = None, slices: Collection[int] | None = None,
     ) -> DataFrame:
-        """The rows of a version, or of some of its buckets or folders: no other file is opened."""
+        """The rows of a version, or of some of its buckets or folders: no other file is opened.
+
+        Of ``slices`` alone only the row groups are read that may hold some of them.
+        """
         version = version or self.latest()
         wanted = set(folders) if folders is not None else None
         paths = [
@@ -184,14 +200,23 @@ class BucketStore:
         ]
         if not paths:
             return self.spark.createDataFrame([], version.schema)
-        return self.spark.read.schema(version.schema).parquet(*paths)
+        if slices is None:
+            return self.spark.read.schema(version.schema).parquet(*paths)
+        marked = T.StructType([*version.schema, T.StructField(SLICE, T.IntegerType())])
+        # A table of one slice has no such column.
+        found = self.spark.read.schema(marked).parquet(*paths).withColumn(SLICE, F.coalesce(SLICE, F.lit(0)))
+        return found.where(F.col(SLICE).isin(*slices)).drop(SLICE)
 
     def write(self, rows: DataFrame, version: Version) -> dict[int, Part]:
         """Write rows below a folder of their own; the parts are no one's before they are published."""
         run = f"data/{uuid.uuid4().hex}"
         dealt = rows.select(*[quoted(c) for c in version.schema.names], bucket_of(version.on, version.buckets).alias(BUCKET))
         # Adaptive execution splits large buckets and puts small ones together.
-        dealt.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(f"{self.root}/{run}")
+        dealt = dealt.hint("rebalance", BUCKET)
+        if version.slices > 1:
+            dealt = dealt.withColumn(SLICE, slice_of(version.on, version.buckets, version.slices))
+            dealt = dealt.sortWithinPartitions(BUCKET, SLICE)
+        dealt.write.partitionBy(BUCKET).parquet(f"{self.root}/{run}")
         if not [n for n in self._names(run) if n.startswith(BUCKET)]:
             return {}
         # The bucket is in the folder's name, so the count reads no column.
@@ -244,7 +269,7 @@ class BucketStore:
         added, dropped = added or {}, dropped or {}
         while True:
             now = self.latest()
-            if now.buckets != base.buckets or now.schema != base.schema:
+            if (now.buckets, now.slices) != (base.buckets, base.slices) or now.schema != base.schema:
                 return None
             if any(now.changed.get(b, 0) > base.number for b in touched):
                 return None
@@ -270,16 +295,20 @@ def compact(store: BucketStore, *, most_parts: int = 4, rows_per_bucket: int | N
 
     With ``rows_per_bucket`` the number of buckets is doubled, and all rows dealt anew,
     until a bucket holds no more in the mean, so what a lookup opens stays as large as it
-    was however long the table has grown. Writers may go on meanwhile: what they add stays,
-    and only a doubling makes them start again.
+    was however long the table has grown. From ``MOST_BUCKETS`` on the buckets are cut into
+    slices instead, until a slice holds no more in the mean. Writers may go on meanwhile:
+    what they add stays, and only a doubling makes them start again.
     """
     for _ in range(retries):
         base = store.latest()
-        buckets = base.buckets
-        while rows_per_bucket and base.rows() > rows_per_bucket * buckets:
-            buckets *= 2
-        if buckets != base.buckets:
-            wider = replace(base, buckets=buckets)
+        buckets, slices = base.buckets, base.slices
+        while rows_per_bucket and base.rows() > rows_per_bucket * buckets * slices:
+            if 2 * buckets <= MOST_BUCKETS:
+                buckets *= 2
+            else:
+                slices *= 2
+        if (buckets, slices) != (base.buckets, base.slices):
+            wider = replace(base, buckets=buckets, slices=slices)
             parts = store.write(store.read(base), wider)
             number = base.number + 1
             made = replace(

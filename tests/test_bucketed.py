@@ -14,7 +14,7 @@ from millrace.plans import bucketed
 from millrace.plans.bucketed import merge_buckets, replace_rows
 from millrace.plans.marts import SnapshotOf, save_snapshot
 from millrace.plans.sync import sync
-from millrace.sources import writers
+from millrace.sources import versions, writers
 from millrace.sources.versions import BucketStore, Conflict, bucket_of, compact
 
 DAY = dt.datetime(2030, 5, 1, tzinfo=dt.timezone.utc)
@@ -247,3 +247,23 @@ def test_rows_without_a_key_get_no_version(spark, database):
     for day in (1, 2):
         stale = snapshot(people, stale, ["id"], F.lit(DAY + dt.timedelta(days=day)))
     assert stale.where("id IS NULL").count() == 1 and stale.where("valid_to IS NULL").count() == 1
+
+
+def test_very_many_buckets_share_folders(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(versions, "MOST_BUCKETS", 8)
+    root = str(tmp_path / "t")
+    merge_buckets(rows(spark, range(300)), root, ["id"], buckets=4)
+    store = BucketStore(spark, root)
+    made = compact(store, rows_per_bucket=1)
+    # As many as 512 buckets, in eight folders: a version does not grow with the rows.
+    assert (made.buckets, made.slices, sum(map(len, made.parts.values()))) == (8, 64, 8)
+    assert store.at(made.number) == made
+    assert as_set(store.read(), "id", "v") == {(i, 1.0) for i in range(300)}
+    fine = rows(spark, range(300)).select("id", bucket_of(["id"], 8).alias("b"), bucket_of(["id"], 512).alias("fine"))
+    want = {r["id"] for r in fine.where("b = 3").collect() if 5 <= r["fine"] // 8 < 40}
+    assert want and {r["id"] for r in store.read(made, buckets=[3], slices=range(5, 40)).collect()} == want
+    # Merges go on in the slices, and a compaction that has nothing to do publishes nothing.
+    assert merge_buckets(rows(spark, [7, 900], 2.0), root, ["id"]).result.updated == 1
+    assert as_set(store.read(), "id", "v") == {(i, 2.0 if i in (7, 900) else 1.0) for i in [*range(300), 900]}
+    assert store.read(slices=range(64)).count() == 301
+    assert compact(store, rows_per_bucket=1).number == store.latest().number
