@@ -127,3 +127,14 @@ def test_stream(spark, tmp_path):
     version = index.store.latest()
     assert version.info["streams"] == {"events": 4} and sum(map(len, version.parts.values())) <= 4
     assert as_set(index.store.history(), "operation") >= {("ingest",), ("compact",)}
+
+
+def test_events_are_hashed_and_folded_once(spark, tmp_path, monkeypatch):
+    from millrace.plans import event_index
+
+    folds, real = [], event_index.fold_events
+    monkeypatch.setattr(event_index, "fold_events", lambda *a: folds.append(1) or real(*a))
+    index = EventIndex(spark, str(tmp_path / "i"), buckets=2)
+    index.ingest(events(spark, [1, 2, 2]))
+    done = index.ingest(events(spark, [2, 3, 4]), completed=ingest_events(events(spark, [4]), index.read(), index.read()).created)
+    assert len(folds) == 2 and done.outcome["events_created"] == 1 and numbers(index) == [1, 2, 3]
