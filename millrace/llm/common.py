@@ -11,6 +11,8 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.session import has_rows  # noqa: F401
+
 # White space of the word count that sizes are stated in (fixed: space, tab to carriage return).
 WORD = "[^\\x20\\x09-\\x0D]+"
 
@@ -41,10 +43,6 @@ def unit_hash(*parts: Column | str) -> Column:
     return F.shiftrightunsigned(F.xxhash64(*parts), 12) / F.lit(float(1 << 52))
 
 
-def has_rows(df: DataFrame) -> bool:
-    return bool(df.take(1))
-
-
 class Memo(dict):
     """Results by key, computed on first use; emptied when it holds ``limit`` keys.
 

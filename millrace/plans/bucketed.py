@@ -14,7 +14,7 @@ from millrace.functions.hashing import SYNC_CHECKSUM, SYNC_UPDATED_AT
 from millrace.operators import merge, schema
 from millrace.operators.mapping import quoted
 from millrace.plans.sync import SyncResult, checked_rows, complete_rows, count_rejects, prepare_source
-from millrace.session import Scratch
+from millrace.session import Scratch, has_rows
 from millrace.sources.versions import BUCKET, BucketStore, Conflict, Version, bucket_of
 from millrace.sources.writers import SYNC_TYPES
 
@@ -38,6 +38,38 @@ def _buckets_in(rows: DataFrame) -> list[int]:
     return sorted(r[0] for r in rows.select(BUCKET).distinct().collect())
 
 
+_LARGE = 4  # a source of this share of the rows in its buckets is merged in one join
+
+
+def _merge_small(store, base, single, keys, stamp, looked_at, scratch) -> tuple[int, int, list[int], dict]:
+    """The changes first, then the buckets that have some: keys and checksums of the others are read."""
+    changes = scratch.keep(merge.merge_changes(store.read(base, buckets=looked_at), single, keys, stamp))
+    actions = dict(merge.action_counts(changes).collect())
+    rewritten = _buckets_in(changes.withColumn(BUCKET, bucket_of(base.on, base.buckets)))
+    added = {}
+    if rewritten:
+        merged = merge.merge_delta(store.read(base, buckets=rewritten), changes, keys)
+        added = store.write(merged.select(*[quoted(c) for c in base.schema.names]), base)
+    return actions.get(merge.INSERTED, 0), actions.get(merge.UPDATED, 0), rewritten, added
+
+
+def _merge_whole(store, base, single, keys, stamp, looked_at, scratch) -> tuple[int, int, list[int], dict]:
+    """One join of the buckets with the source, written at once; buckets found unchanged are not published."""
+    if not any(base.parts.get(b) for b in looked_at):
+        columns = [
+            stamp.cast(f.dataType).alias(f.name) if f.name not in single.columns
+            else F.col(quoted(f.name)).cast(f.dataType).alias(f.name)
+            for f in base.schema
+        ]
+        merged = single.select(*columns, F.lit(merge.INSERTED).alias(merge.ACTION))
+    else:
+        merged = merge.merge_keyed(store.read(base, buckets=looked_at), single, keys, stamp)
+    added, counted = store.write_with(merged, base, F.col(merge.ACTION))
+    of = {action: sum(n for (_, a), n in counted.items() if a == action) for action in (merge.INSERTED, merge.UPDATED)}
+    rewritten = sorted({b for b, a in counted if a in of})
+    return of[merge.INSERTED], of[merge.UPDATED], rewritten, {b: p for b, p in added.items() if b in rewritten}
+
+
 def merge_buckets(
     source: DataFrame,
     root: str,
@@ -79,22 +111,20 @@ def merge_buckets(
         skipped, errors = count_rejects(staged, on_bad)
         rows_read = staged.count()
         good = merge.with_checksum(schema.accepted(staged))
-        single = merge.dedupe_source(good, keys, order_by)
-        single = scratch.keep(complete_rows(single, spark.createDataFrame([], base.schema)))
-        distinct = single.count()
+        # Only the keys are shuffled to see whether any comes twice; most sources have none.
+        single, distinct = good, rows_read - skipped
+        if has_rows(merge.duplicate_keys(good, keys)):
+            single = scratch.keep(merge.dedupe_source(good, keys, order_by))
+            distinct = single.count()
+        single = complete_rows(single, spark.createDataFrame([], base.schema))
         for attempt in range(1, retries + 1):
             base = store.latest()
-            dealt = single.withColumn(BUCKET, bucket_of(base.on, base.buckets))
-            looked_at = _buckets_in(dealt)
-            target = store.read(base, buckets=looked_at)
-            changes = scratch.keep(merge.merge_changes(target, single, keys, stamp))
-            actions = dict(merge.action_counts(changes).collect())
-            inserted, updated = actions.get(merge.INSERTED, 0), actions.get(merge.UPDATED, 0)
-            rewritten = _buckets_in(changes.withColumn(BUCKET, bucket_of(base.on, base.buckets)))
+            looked_at = _buckets_in(single.withColumn(BUCKET, bucket_of(base.on, base.buckets)))
+            held = sum(p.rows for b in looked_at for p in base.parts.get(b, ()))
+            step = _merge_whole if distinct * _LARGE >= held else _merge_small
+            inserted, updated, rewritten, added = step(store, base, single, keys, stamp, looked_at, scratch)
             made: Version | None = base
             if rewritten:
-                merged = merge.merge_delta(store.read(base, buckets=rewritten), changes, keys)
-                added = store.write(merged.select(*[quoted(c) for c in base.schema.names]), base)
                 dropped = {b: [p.folder for p in base.parts.get(b, ())] for b in rewritten}
                 # Looked-at buckets count as well: a row found unchanged or missing must still be so.
                 made = store.commit(

@@ -29,6 +29,9 @@ from millrace.operators.mapping import quoted
 
 BUCKET = "_bucket"
 SLICE = "_slice"
+MARK = "_mark"
+#: Columns that hold digests as hexadecimal text.
+HEX = ("_sync_checksum", "event_hash")
 #: Folders that compaction deals a table into; each costs a file or more for every run.
 MOST_BUCKETS = 256
 
@@ -84,6 +87,25 @@ def bucket_of(on: Sequence[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*[F.col(quoted(c)) for c in on]), F.lit(buckets)).cast("int")
 
 
+_HEX = "^([0-9a-f][0-9a-f])*$"
+
+
+def packed(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Hexadecimal texts as bytes, half as many to shuffle; other texts stay as they are."""
+    for c in columns:
+        hexed = F.col(quoted(c)).rlike(_HEX)
+        rows = rows.withColumn(f"_hex_{c}", F.when(hexed, F.unhex(quoted(c)))).withColumn(
+            c, F.when(~hexed, F.col(quoted(c)))
+        )
+    return rows
+
+
+def unpacked(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    for c in columns:
+        rows = rows.withColumn(c, F.coalesce(F.col(quoted(c)), F.lower(F.hex(f"_hex_{c}")))).drop(f"_hex_{c}")
+    return rows
+
+
 def slice_of(on: Sequence[str], buckets: int, slices: int) -> Column:
     """The slice of a row in its bucket: both together are its bucket among ``buckets * slices``."""
     finer = F.pmod(F.xxhash64(*[F.col(quoted(c)) for c in on]), F.lit(buckets * slices))
@@ -209,19 +231,31 @@ class BucketStore:
 
     def write(self, rows: DataFrame, version: Version) -> dict[int, Part]:
         """Write rows below a folder of their own; the parts are no one's before they are published."""
+        parts, _ = self.write_with(rows, version, F.lit(None).cast("string"))
+        return parts
+
+    def write_with(self, rows: DataFrame, version: Version, mark: Column) -> tuple[dict[int, Part], dict]:
+        """As ``write``, with a mark of few values beside the rows: also their numbers by bucket and mark."""
         run = f"data/{uuid.uuid4().hex}"
-        dealt = rows.select(*[quoted(c) for c in version.schema.names], bucket_of(version.on, version.buckets).alias(BUCKET))
+        names, hexed = version.schema.names, [c for c in HEX if c in version.schema.names]
+        dealt = rows.select(
+            *[quoted(c) for c in names], bucket_of(version.on, version.buckets).alias(BUCKET), mark.alias(MARK)
+        )
         # Adaptive execution splits large buckets and puts small ones together.
-        dealt = dealt.hint("rebalance", BUCKET)
+        dealt = unpacked(packed(dealt, hexed).hint("rebalance", BUCKET), hexed)
         if version.slices > 1:
             dealt = dealt.withColumn(SLICE, slice_of(version.on, version.buckets, version.slices))
             dealt = dealt.sortWithinPartitions(BUCKET, SLICE)
-        dealt.write.partitionBy(BUCKET).parquet(f"{self.root}/{run}")
+        dealt.write.partitionBy(BUCKET).option("compression", "zstd").parquet(f"{self.root}/{run}")
         if not [n for n in self._names(run) if n.startswith(BUCKET)]:
-            return {}
-        # The bucket is in the folder's name, so the count reads no column.
-        counted = self.spark.read.parquet(f"{self.root}/{run}").groupBy(BUCKET).count().collect()
-        return {r[BUCKET]: Part(f"{run}/{BUCKET}={r[BUCKET]}", r["count"]) for r in counted}
+            return {}, {}
+        # The bucket is in the folder's name, so the count reads the mark alone.
+        stored = self.spark.read.schema(f"{MARK} string, {BUCKET} int").parquet(f"{self.root}/{run}")
+        counted = {(r[BUCKET], r[MARK]): r["count"] for r in stored.groupBy(BUCKET, MARK).count().collect()}
+        rows_in: dict[int, int] = {}
+        for (b, _), n in counted.items():
+            rows_in[b] = rows_in.get(b, 0) + n
+        return {b: Part(f"{run}/{BUCKET}={b}", n) for b, n in rows_in.items()}, counted
 
     def history(self) -> DataFrame:
         """version, operation, n_rows, n_parts, n_changed: a row for each version kept."""

@@ -267,3 +267,26 @@ def test_very_many_buckets_share_folders(spark, tmp_path, monkeypatch):
     assert as_set(store.read(), "id", "v") == {(i, 2.0 if i in (7, 900) else 1.0) for i in [*range(300), 900]}
     assert store.read(slices=range(64)).count() == 301
     assert compact(store, rows_per_bucket=1).number == store.latest().number
+
+
+def test_a_large_source_is_not_stored_again(spark, tmp_path, monkeypatch):
+    stored, real = [], bucketed.Scratch.keep
+    monkeypatch.setattr(bucketed.Scratch, "keep", lambda self, df: stored.append(df) or real(self, df))
+    root = str(tmp_path / "t")
+    merge_buckets(rows(spark, range(100)), root, ["id"], buckets=4)
+    # A row for each key: only the checked rows are staged, neither deduplicated rows nor changes are.
+    done = merge_buckets(rows(spark, range(50, 110), 2.0), root, ["id"], run_time=DAY)
+    assert len(stored) == 2 and (done.result.inserted, done.result.updated) == (10, 50)
+    store = BucketStore(spark, root)
+    assert as_set(store.read(), "id", "v") == {(i, 1.0 if i < 50 else 2.0) for i in range(110)}
+    assert {len(c) for (c,) in as_set(store.read(), "_sync_checksum")} == {64}
+    # A whole merge that finds nothing publishes nothing; a key that comes twice still counts once.
+    assert merge_buckets(rows(spark, range(110), 2.0).where("id >= 50"), root, ["id"]).rewritten == []
+    twice = merge_buckets(rows(spark, [7, 7], 3.0).union(rows(spark, range(90))), root, ["id"]).result
+    assert (twice.duplicates, twice.rows_read) == (3 - 1, 92)
+
+
+def test_hashes_are_packed_and_other_texts_kept(spark):
+    texts = ["00ff", "ABCD", "abc", "", "xy", None]
+    frame = spark.createDataFrame([(t,) for t in texts], "c string")
+    assert [r["c"] for r in versions.unpacked(versions.packed(frame, ["c"]), ["c"]).collect()] == texts
