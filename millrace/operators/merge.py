@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.functions.hashing import SYNC_CHECKSUM, SYNC_COLUMNS, SYNC_UPDATED_AT, row_checksum
 from millrace.operators.mapping import quoted
@@ -114,6 +115,15 @@ def merge_keyed(
     return joined.select(*[value(c) for c in target.columns], action.alias(ACTION))
 
 
+def all_new(target: T.StructType, source: DataFrame, run_time: Column) -> DataFrame:
+    """What ``merge_keyed`` gives for a target without rows, without a join."""
+    kept = [c for c in source.columns if c == SYNC_CHECKSUM or c not in SYNC_COLUMNS]
+    values = [
+        (F.col(quoted(f.name)) if f.name in kept else run_time).cast(f.dataType).alias(f.name) for f in target
+    ]
+    return source.select(*values, F.lit(INSERTED).alias(ACTION))
+
+
 def merge_changes(
     target: DataFrame, source: DataFrame, keys: Sequence[str], run_time: Column
 ) -> DataFrame:

@@ -56,12 +56,7 @@ def _merge_small(store, base, single, keys, stamp, looked_at, scratch) -> tuple[
 def _merge_whole(store, base, single, keys, stamp, looked_at, scratch) -> tuple[int, int, list[int], dict]:
     """One join of the buckets with the source, written at once; buckets found unchanged are not published."""
     if not any(base.parts.get(b) for b in looked_at):
-        columns = [
-            stamp.cast(f.dataType).alias(f.name) if f.name not in single.columns
-            else F.col(quoted(f.name)).cast(f.dataType).alias(f.name)
-            for f in base.schema
-        ]
-        merged = single.select(*columns, F.lit(merge.INSERTED).alias(merge.ACTION))
+        merged = merge.all_new(base.schema, single, stamp)
     else:
         merged = merge.merge_keyed(store.read(base, buckets=looked_at), single, keys, stamp)
     added, counted = store.write_with(merged, base, F.col(merge.ACTION))

@@ -149,12 +149,12 @@ def sync_rows(
         rows_read = staged.count()
         stamp = F.lit(run_time or dt.datetime.now(dt.timezone.utc)).cast("timestamp")
         if keys:
+            # Only the keys are shuffled to see whether any comes twice; most sources have none.
+            distinct = merge.distinct_keys(good, keys)
+            single = good if distinct == rows_read - skipped else merge.dedupe_source(good, keys, order_by)
             inserted, updated = _merge_into(
-                scratch, table, target, good, keys, order_by, stamp, partition_by, strategy
+                scratch, table, target, good, single, keys, stamp, partition_by, strategy
             )
-            distinct = inserted + updated
-            if distinct < rows_read - skipped:
-                distinct = merge.distinct_keys(good, keys)
         else:
             before = target.count()
             fresh = merge.merge_checksum_only(target, good).withColumn(SYNC_UPDATED_AT, stamp)
@@ -254,15 +254,14 @@ def _merge_into(
     table: str,
     target: DataFrame,
     good: DataFrame,
+    single: DataFrame,
     keys: Sequence[str],
-    order_by: Sequence[Column],
     stamp: Column,
     partition_by: Sequence[str],
     strategy: str,
 ) -> tuple[int, int]:
-    """Merge and count; returns inserted and updated rows."""
+    """Merge and count; returns inserted and updated rows. ``single`` has a row for each key of ``good``."""
     spark = scratch.spark
-    single = merge.dedupe_source(good, keys, order_by)
     if not partition_by:
         partition_by = [
             c.name for c in spark.catalog.listColumns(table) if c.isPartition and c.name in keys
@@ -283,6 +282,8 @@ def _merge_into(
         changes = scratch.keep(merge.merge_changes(scope, complete, keys, stamp))
         counted = changes
         merged = merge.merge_delta(scope, changes, keys)
+    elif not before:
+        merged = merge.all_new(target.schema, complete, stamp).drop(merge.ACTION)
     else:
         if not scope.where(F.col(SYNC_UPDATED_AT) == stamp).isEmpty():
             # An earlier run had this run time, so the time does not tell what this one wrote.

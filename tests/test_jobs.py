@@ -480,3 +480,19 @@ def test_switch_and_audit(spark, database):
     load_file(rows, f"{database}.on", pii_config=["v"], pii_switch="yes", audit=f"{database}.audit")
     assert spark.table(f"{database}.on").first().v.startswith("V_")
     assert sorted(r.sync_status for r in spark.table(f"{database}.audit").collect()) == ["running", "running", "success", "success"]
+
+
+def test_a_source_of_single_keys_is_not_deduplicated(spark, database, monkeypatch):
+    from millrace.operators import merge
+
+    ran, joined = [], []
+    real, real_join = merge.dedupe_source, merge.merge_keyed
+    monkeypatch.setattr(merge, "dedupe_source", lambda *a: ran.append(1) or real(*a))
+    monkeypatch.setattr(merge, "merge_keyed", lambda *a: joined.append(1) or real_join(*a))
+    rows = spark.createDataFrame([(i, f"v{i}") for i in range(20)], "id long, v string")
+    first = sync(rows, f"{database}.single", keys=["id"])
+    # Nor is an empty table joined with it.
+    assert (first.inserted, ran, joined) == (20, [], [])
+    again = sync(rows.union(rows.where("id < 5")), f"{database}.single", keys=["id"])
+    assert (again.inserted, again.unchanged, again.duplicates, ran, joined) == (0, 20, 5, [1], [1])
+    assert spark.table(f"{database}.single").where("_sync_updated_at IS NOT NULL").count() == 20
