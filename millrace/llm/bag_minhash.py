@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from millrace.llm.common import Memo, fresh, has_rows, ship, text_digest, text_or_empty
+from millrace.llm.common import Memo, arrow_rows, fresh, has_rows, ship, text_digest, text_or_empty
 from millrace.llm.graph import components
 from millrace.session import stored_rows
 
@@ -41,6 +41,9 @@ class Near:
     leaders: int = 1  # of a bucket in the first round; four times as many in each next one
 
 
+#: Shingles that a task holds at once, beyond those of one text: it bounds the memory of a Python worker.
+TOGETHER = 50_000
+
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -141,26 +144,33 @@ def signature_bands(texts: DataFrame, near: Near) -> DataFrame:
     size = near.bands * near.rows
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        memo, seen = Memo(word_hash), set()
+        memo, seen = Memo(word_hash, 100_000), set()
+
+        def signed(keys: list, bags: list) -> pd.DataFrame:
+            of = np.repeat(np.arange(len(bags)), [len(b[0]) for b in bags])
+            items = np.concatenate([b[0] for b in bags])
+            weights = np.concatenate([b[1] for b in bags])
+            found = _bands(signatures(items, weights, of, len(bags), size), near)
+            return pd.DataFrame({"v": keys, "bands": list(found)})
+
         for batch in batches:
-            for k in range(0, len(batch), 200):
-                keys, bags = [], []
-                for v, text in zip(batch["v"].iloc[k : k + 200], batch["text"].iloc[k : k + 200], strict=True):
-                    v = bytes(v)
-                    if v in seen:
-                        continue
-                    if len(seen) >= 100_000:
-                        seen.clear()
-                    seen.add(v)
-                    keys.append(v)
-                    bags.append(bag_of(text, memo, near.shingle))
-                if not keys:
+            keys, bags, held = [], [], 0
+            for v, text in zip(batch["v"], batch["text"], strict=True):
+                v = bytes(v)
+                if v in seen:
                     continue
-                of = np.repeat(np.arange(len(bags)), [len(b[0]) for b in bags])
-                items = np.concatenate([b[0] for b in bags])
-                weights = np.concatenate([b[1] for b in bags])
-                found = _bands(signatures(items, weights, of, len(bags), size), near)
-                yield pd.DataFrame({"v": keys, "bands": list(found)})
+                if len(seen) >= 20_000:
+                    seen.clear()
+                seen.add(v)
+                keys.append(v)
+                bags.append(bag_of(text, memo, near.shingle))
+                held += len(bags[-1][0])
+                # Texts are signed together up to so many shingles, since long ones take much memory.
+                if held >= TOGETHER or len(keys) >= 200:
+                    yield signed(keys, bags)
+                    keys, bags, held = [], [], 0
+            if keys:
+                yield signed(keys, bags)
 
     return texts.mapInPandas(run, "v binary, bands array<long>")
 
@@ -182,10 +192,18 @@ def verified(pairs: DataFrame, texts: DataFrame, near: Near) -> DataFrame:
     """(a, b, similarity) of all ``pairs``, on the whole texts."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bags = Memo(lambda text: _shingles(text, near.shingle), 64)
+        bags: dict[str, Counter] = {}
+
+        def bag(text: str) -> Counter:
+            if text not in bags:
+                if sum(map(len, bags.values())) >= TOGETHER:
+                    bags.clear()
+                bags[text] = _shingles(text, near.shingle)
+            return bags[text]
+
         for batch in batches:
             found = [
-                overlap(bags[x], _shingles(y, near.shingle))
+                overlap(bag(x), _shingles(y, near.shingle))
                 for x, y in zip(batch["text_a"], batch["text_b"], strict=True)
             ]
             yield pd.DataFrame({"a": batch["a"], "b": batch["b"], "similarity": found})
@@ -204,7 +222,7 @@ def solitary(texts: DataFrame, near: Near) -> DataFrame:
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        memo = Memo(word_hash)
+        memo = Memo(word_hash, 100_000)
         for batch in batches:
             for v, text in zip(batch["v"], batch["text"], strict=True):
                 items, weights = bag_of(text, memo, near.shingle)
@@ -232,6 +250,12 @@ def solitary(texts: DataFrame, near: Near) -> DataFrame:
 
 
 def links(docs: DataFrame, near: Near = Near()) -> DataFrame:
+    """``_links``, with few rows at once sent to Python workers: all of it is run before this returns."""
+    with arrow_rows(docs.sparkSession, 500, 4 << 20):
+        return _links(docs, near)
+
+
+def _links(docs: DataFrame, near: Near) -> DataFrame:
     """Verified links (a, b) that join all vertices of a class; vertices are text digests.
 
     In each round the members of a bucket are compared with its leaders; those linked to a

@@ -9,6 +9,7 @@ import random
 import struct
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -231,3 +232,20 @@ def test_grid_join_odd_tables(spark):
     rows = [(None, [1.0, 0.0], 1, 1), (1, None, 1, 1), (2, [1.0, 0.0], 1, 1), (2, [1.0, 0.0], 1, 1)]
     got = grid_join.near_vectors(spark.createDataFrame(rows, schema)).collect()
     assert len(got) == 4 and {r.n_links for r in got if r.vec_id == 1} == {0}
+
+
+def test_long_texts_are_signed_in_small_lots(spark, monkeypatch):
+    from millrace.llm import bag_minhash
+
+    sizes, real = [], bag_minhash.signatures
+    monkeypatch.setattr(bag_minhash, "signatures", lambda items, *a: sizes.append(len(items)) or real(items, *a))
+
+    class Rows:
+        def mapInPandas(self, run, schema):  # the function itself, in this process
+            texts = [" ".join(f"w{i}x{k}" for k in range(20_004)) for i in range(8)]
+            frame = pd.DataFrame({"v": [bytes([i]) * 16 for i in range(8)], "text": texts})
+            return pd.concat(run(iter([frame])))
+
+    found = bag_minhash.signature_bands(Rows(), bag_minhash.Near())
+    assert [v[0] for v in found["v"]] == list(range(8)) and len(sizes) > 1
+    assert max(sizes) <= bag_minhash.TOGETHER + 20_000 and sum(sizes) == 160_000
