@@ -8,8 +8,9 @@ the shingle's weight; two documents agree in a component with a probability equa
 weighted Jaccard similarity, whatever the weights. Points beyond a time bound can't be
 first, so few are drawn for a shingle of a long document.
 
-Signatures are banded; in a bucket members are compared with leaders, never all with all,
-and every link is verified on the texts' multisets. Equal texts are one vertex throughout.
+Signatures are banded; in a bucket members are compared with leaders, never all with all.
+Texts of a bucket that this leaves in different classes are compared where they share one of
+their rarest shingles. Every link is verified on the texts' multisets. Equal texts are one vertex.
 """
 
 from __future__ import annotations
@@ -21,13 +22,13 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from millrace.llm.common import Memo, arrow_rows, fresh, has_rows, ship, text_digest, text_or_empty
 from millrace.llm.graph import components
-from millrace.session import stored_rows
+from millrace.session import Scratch, stored_rows
 
 
 @dataclass(frozen=True)
@@ -38,7 +39,7 @@ class Near:
     shingle: int = 5
     bands: int = 24
     rows: int = 4
-    leaders: int = 1  # of a bucket in the first round; four times as many in each next one
+    leaders: int = 1  # of a bucket
 
 
 #: Shingles that a task holds at once, beyond those of one text: it bounds the memory of a Python worker.
@@ -249,70 +250,75 @@ def solitary(texts: DataFrame, near: Near) -> DataFrame:
     return own.join(total, "v").where(1 - F.col("own") / F.col("total") < near.similarity - 1e-9).select("v")
 
 
+def tokens(texts: DataFrame, near: Near) -> DataFrame:
+    """(token, v, size): a row for each unit of a text's weight, so that texts are sets; size is their number."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        memo = Memo(word_hash, 100_000)
+        for batch in batches:
+            for v, text in zip(batch["v"], batch["text"], strict=True):
+                items, weights = bag_of(text, memo, near.shingle)
+                ends = np.cumsum(weights)
+                size = int(ends[-1])
+                for k in range(0, size, 100_000):
+                    at = np.arange(k, min(k + 100_000, size))
+                    which = np.searchsorted(ends, at, side="right")
+                    copy = (at - (ends - weights)[which]).astype(np.uint64)
+                    found = np.where(copy == 0, items[which], _mix(items[which] ^ (copy * _GOLDEN)))
+                    yield pd.DataFrame({"token": found.view(np.int64), "v": [v] * len(at), "size": size})
+
+    return texts.mapInPandas(run, "token long, v binary, size long")
+
+
 def links(docs: DataFrame, near: Near = Near()) -> DataFrame:
     """``_links``, with few rows at once sent to Python workers: all of it is run before this returns."""
-    with arrow_rows(docs.sparkSession, 500, 4 << 20):
-        return _links(docs, near)
+    with arrow_rows(docs.sparkSession, 500, 4 << 20), Scratch(docs.sparkSession) as scratch:
+        return stored_rows(_links(docs, near, scratch))
 
 
-def _links(docs: DataFrame, near: Near) -> DataFrame:
+def _links(docs: DataFrame, near: Near, scratch: Scratch) -> DataFrame:
     """Verified links (a, b) that join all vertices of a class; vertices are text digests.
 
-    In each round the members of a bucket are compared with its leaders; those linked to a
-    leader leave the bucket, the leaders too, the others go on with four times as many
-    leaders, until no bucket has two members. A member that left can still be the only
-    link of one that stayed: that one lies within twice the distance of the leader, since
-    the distance is a metric, and such pairs of different classes are compared at the end.
-    Pairs that other links have joined already are not compared, and a bucket whose members
-    are all of one class is done with. Texts that can have no link are set aside beforehand.
+    The members of a bucket are compared with its leaders, which joins most of a group at
+    once. What may still link texts of one bucket but of different classes is found by
+    ``_across``, which does not depend on how many members a bucket has. Texts that can have
+    no link are set aside beforehand.
     """
     ship(docs.sparkSession)
     texts = docs.select(text_digest().alias("v"), text_or_empty().alias("text"))
     banded = signature_bands(texts, near)
     buckets = banded.groupBy("v").agg(F.min("bands").alias("bands")).select("v", F.explode("bands").alias("bucket"))
-    buckets = stored_rows(buckets)
+    buckets = scratch.keep(buckets)
     shared = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    sized = stored_rows(buckets.join(shared, "bucket"))
+    sized = scratch.keep(buckets.join(shared, "bucket"))
     # A text that others are copies of meets more of them than they meet each other, so it
     # leads its buckets and takes them all; led by a copy, a group would fall to pieces.
     met = sized.groupBy("v").agg(F.sum("n").alias("met"))
-    members = stored_rows(sized.join(met, "v").select("bucket", "v", "met"))
-    needed = stored_rows(
+    members = scratch.keep(sized.join(met, "v").select("bucket", "v", "met"))
+    needed = scratch.keep(
         texts.join(members.select("v").distinct(), "v", "left_semi").groupBy("v").agg(F.min("text").alias("text"))
     )
-    alone = stored_rows(solitary(needed, near))
+    alone = scratch.keep(solitary(needed, near))
     members = members.join(alone, "v", "left_anti").withColumn("root", F.col("v"))
-    members = stored_rows(_of_several_classes(members.select("bucket", "v", "met", "root")))
-    done = docs.sparkSession.createDataFrame([], "a binary, b binary, similarity double")
-    root = None
-    leaders = near.leaders
-    while has_rows(members):
-        # Each task keeps as many rows of a bucket as there are leaders, before the shuffle.
-        turn = F.row_number().over(W.partitionBy("bucket").orderBy(F.desc("met"), F.xxhash64("v", "bucket"), "v"))
-        heads = members.withColumn("turn", turn).where(F.col("turn") <= leaders)
-        heads = stored_rows(heads.select("bucket", F.col("v").alias("a"), F.col("root").alias("a_root")))
-        # A text and itself are of one class too.
-        faced = stored_rows(
-            members.select("bucket", "v", "root").join(heads, "bucket").where("root != a_root").select("bucket", "v", "a")
-        )
-        pairs = faced.select(F.least("a", "v").alias("a"), F.greatest("a", "v").alias("b")).distinct()
-        news = verified(pairs.join(done.select("a", "b"), ["a", "b"], "left_anti"), needed, near)
-        done = done.unionByName(stored_rows(news))
-        close = done.where(F.col("similarity") >= near.similarity)
-        either = close.select("a", F.col("b").alias("v")).union(close.select("b", "a"))
-        gone = faced.join(either, ["a", "v"], "left_semi").select("bucket", "v")
-        gone = gone.union(heads.select("bucket", F.col("a").alias("v"))).distinct()
-        root = components(close)
-        rest = members.select("bucket", "v", "met").join(gone, ["bucket", "v"], "left_anti")
-        rest = rest.join(root, F.col("v") == F.col("node"), "left").select(
-            "bucket", "v", "met", F.coalesce("component", "v").alias("root")
-        )
-        members = stored_rows(_of_several_classes(rest))
-        leaders *= 4
+    members = scratch.keep(_of_several_classes(members))
+    # Each task keeps as many rows of a bucket as there are leaders, before the shuffle.
+    turn = F.row_number().over(W.partitionBy("bucket").orderBy(F.desc("met"), F.xxhash64("v", "bucket"), "v"))
+    heads = members.withColumn("turn", turn).where(F.col("turn") <= near.leaders)
+    heads = heads.select("bucket", F.col("v").alias("a"))
+    faced = members.select("bucket", "v").join(heads, "bucket").where("v != a")
+    pairs = faced.select(F.least("a", "v").alias("a"), F.greatest("a", "v").alias("b")).distinct()
+    done = scratch.keep(verified(pairs, needed, near))
     close = done.where(F.col("similarity") >= near.similarity).select("a", "b")
-    if root is None:
-        return stored_rows(close)
-    return stored_rows(close.unionByName(_bridges(done, root, needed, near)))
+    root = components(close)
+    rest = members.select("bucket", "v").join(root, F.col("v") == F.col("node"), "left").select(
+        "bucket", "v", F.coalesce("component", "v").alias("root")
+    )
+    rest = scratch.keep(_of_several_classes(rest).select("v", "root").distinct())
+    if not has_rows(rest):
+        return close
+    pairs = _across(rest, needed, near, scratch).join(done.select("a", "b"), ["a", "b"], "left_anti")
+    news = verified(pairs, needed, near).where(F.col("similarity") >= near.similarity)
+    return close.unionByName(news.select("a", "b"))
 
 
 def _of_several_classes(members: DataFrame) -> DataFrame:
@@ -321,28 +327,57 @@ def _of_several_classes(members: DataFrame) -> DataFrame:
     return members.join(mixed.select("bucket"), "bucket", "left_semi")
 
 
-def _bridges(done: DataFrame, root: DataFrame, texts: DataFrame, near: Near) -> DataFrame:
-    """Links between a vertex near a leader and vertices linked to that leader, of another class."""
-    reach = 1 - near.similarity
-    both = done.union(done.select("b", "a", "similarity")).select(
-        F.col("a").alias("leader"), F.col("b").alias("v"), (1 - F.col("similarity")).alias("far")
-    )
-    rooted = both.where(F.col("far") <= 2 * reach + 1e-9).join(root, F.col("v") == F.col("node"), "left").select(
-        "leader", "v", "far", F.coalesce("component", "v").alias("root")
-    )
-    rooted = stored_rows(rooted)
-    star = rooted.where(F.col("far") <= reach + 1e-9).select(
-        "leader", F.col("v").alias("x"), F.col("far").alias("near_far"), F.col("root").alias("x_root")
+#: Sizes are told apart in steps of two per cent.
+_STEPS = 50
+
+
+def _across(rooted: DataFrame, texts: DataFrame, near: Near, scratch: Scratch) -> DataFrame:
+    """Pairs (a, b) of texts of different classes, among them all that are near; ``rooted`` is (v, root).
+
+    Tokens are ordered from rare to common. The overlap of two texts is at most what either
+    has from their first common token on, and has to be a given part of both sizes, so only
+    the rarest tokens of a text can be the first ones of a near pair: what a group has in
+    common brings none of it together, only what few have. Hashes that collide make
+    an overlap look larger, never smaller.
+    """
+    least = near.similarity
+    grown = (1 + least) / least  # a near pair's overlap times this is at least the sum of its sizes
+    found = scratch.keep(tokens(texts.join(rooted.select("v"), "v", "left_semi"), near))
+    counts = found.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # Tokens of one text alone come before all others, so those from a token on need no count of them.
+    onward = F.row_number().over(W.partitionBy("v").orderBy(F.desc("n"), F.desc("token")))
+    prefix = found.join(counts, "token").withColumn("onward", onward).where(F.col("onward") >= least * F.col("size") - 1e-6)
+    # The largest size of another text whose first common token with this one may be the token.
+    prefix = prefix.withColumn("reach", grown * F.col("onward") - F.col("size") + 1e-6)
+    prefix = scratch.keep(prefix.join(rooted, "v").select("token", "v", "root", "size", "reach"))
+    # The smaller text of a pair reaches its own size, as the larger one has at least that.
+    smaller = F.col("reach") >= F.col("size")
+    classes = prefix.groupBy("token", "root").agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.when(smaller, F.col("size"))).alias("low")
     )
-    ring = rooted.where(F.col("far") > reach)
-    pairs = (
-        ring.join(star, "leader")
-        .where((F.col("root") != F.col("x_root")) & (F.col("near_far") >= F.col("far") - reach - 1e-9))
-        .select(F.least("v", "x").alias("a"), F.greatest("v", "x").alias("b"))
-        .distinct()
-        .join(done.select("a", "b"), ["a", "b"], "left_anti")
+    classes = classes.groupBy("token").agg(
+        F.count(F.lit(1)).alias("classes"), F.max_by("root", F.struct("n", "root")).alias("main"), F.min("low").alias("low")
     )
-    return verified(pairs, texts, near).where(F.col("similarity") >= near.similarity).select("a", "b")
+    classes = classes.where("classes > 1").select("token", "main", "low")
+    # Most texts of a token are of one class, and these are not compared with each other.
+    kept = prefix.join(classes, "token").where("reach >= low").withColumn("main", F.col("root") == F.col("main"))
+    kept = scratch.keep(kept.drop("low"))
+
+    def step(size: Column) -> Column:
+        return F.floor(F.log(size) * _STEPS)
+
+    small = kept.where(smaller).withColumn("step", step(F.col("size")))
+    small = small.select("token", "step", *[F.col(n).alias(f"a_{n}") for n in ("v", "root", "size", "reach", "main")])
+    steps = F.sequence(step(least * F.col("size") - 1e-6), step(F.least("reach", "size")))
+    large = kept.withColumn("step", F.explode(steps))
+
+    def met(small: DataFrame, large: DataFrame) -> DataFrame:
+        both = small.join(large, ["token", "step"]).where(
+            "root != a_root AND a_size <= size AND size <= a_reach AND a_size <= reach"
+        )
+        return both.select(F.least("a_v", "v").alias("a"), F.greatest("a_v", "v").alias("b"))
+
+    return met(small.where("NOT a_main"), large).union(met(small.where("a_main"), large.where("NOT main"))).distinct()
 
 
 def _classed(docs: DataFrame, near: Near) -> DataFrame:

@@ -175,6 +175,70 @@ def test_near_copies_on_both_sides_of_the_threshold(spark):
     assert alone and all(shared[v] < near.similarity for v in alone)
 
 
+def test_copies_too_far_apart_are_not_compared_in_pairs(spark, monkeypatch):
+    """Copies of one text that link with nothing, though none has too much of its own to be near to any."""
+    rng = random.Random(5)
+    rows = [(0, " ".join(f"w{i}" for i in range(146)))]
+    for doc in range(1, 300):
+        words = rows[0][1].split()
+        for k, at in enumerate(rng.sample(range(8, 132, 6), 4)):
+            words[at] = f"n{doc}x{k}"
+        rows.append((doc, " ".join(words)))
+    compared, real = [], bag_minhash.verified
+
+    def counted(pairs, texts, near):
+        compared.append(pairs.count())
+        return real(pairs, texts, near)
+
+    monkeypatch.setattr(bag_minhash, "verified", counted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.class_id for r in bag_minhash.near_duplicates(docs).collect()}
+    assert got == brute_classes(rows)
+    assert sum(compared) < 8 * len(rows)  # of 44,850 pairs
+
+
+def test_links_beside_the_leader(spark):
+    """Texts of several lengths near to each other but not to the text that leads their buckets."""
+    rng = random.Random(23)
+    base = [f"w{i}" for i in range(150)]
+    rows = [(doc, " ".join(base[: 150 - doc])) for doc in range(6)]
+    for pair in range(60):
+        words = list(base)
+        for at in rng.sample(range(150), 5):
+            words[at] = f"n{pair}x{at}"
+        rows.append((len(rows), " ".join(words)))
+        cut = words[: rng.randrange(112, 150)]
+        if pair % 2:
+            cut[rng.randrange(110)] = f"m{pair}"
+        rows.append((len(rows), " ".join(cut + ["r s"] * rng.choice([0, 3]))))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.class_id for r in bag_minhash.near_duplicates(docs).collect()}
+    assert got == brute_classes(rows)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_all_near_pairs_of_two_classes_are_candidates(spark, seed):
+    rng = random.Random(seed)
+    texts = ["", "a b", "a  b", "a b c", " ".join(["x y"] * 40), " ".join(["x y"] * 36), " ".join(["x y"] * 30)]
+    for length in (9, 30, 60):
+        for _ in range(50):
+            words = [f"w{i}" for i in range(length - rng.randrange(length // 6 + 1))]
+            for _ in range(rng.randrange(4)):
+                at = rng.randrange(len(words))
+                words[at : at + 1] = rng.choice([[], [words[at]] * 2, [f"n{rng.randrange(6)}"], ["x y"]])
+            texts.append(" ".join(words))
+    own = {hashlib.md5(t.encode()).digest(): t for t in texts}
+    root = {v: rng.choice([v, min(own)]) for v in own}
+    frame = spark.createDataFrame([(bytearray(v), t) for v, t in own.items()], "v binary, text string")
+    rooted = spark.createDataFrame([(bytearray(v), bytearray(r)) for v, r in root.items()], "v binary, root binary")
+    with bag_minhash.Scratch(spark) as scratch:
+        found = {(bytes(r.a), bytes(r.b)) for r in bag_minhash._across(rooted, frame, bag_minhash.Near(), scratch).collect()}
+    bag = {v: bag_minhash._shingles(t, 5) for v, t in own.items()}
+    apart = [(a, b) for a, b in itertools.combinations(sorted(own), 2) if root[a] != root[b]]
+    near = {p for p in apart if bag_minhash.overlap(bag[p[0]], bag[p[1]]) >= 0.8}
+    assert len(near) > 20 and near <= found <= set(apart)
+
+
 def test_near_duplicates_of_documents(documents):
     rows = [(r.doc_id, r.text) for r in documents.collect()]
     got = {r.doc_id: r.class_id for r in bag_minhash.near_duplicates(documents).collect()}
