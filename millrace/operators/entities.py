@@ -124,7 +124,7 @@ def _forms() -> list[tuple[str, Column, dict[str, Column]]]:
 def entity_rows(records: DataFrame, only: Sequence[str] | None = None) -> DataFrame:
     """All entities in one frame: ``entity``, ``id`` and every column any of them has.
 
-    The records are read once. A record is turned into its entities in place and all of these
+    The records are read once; the order of the rows of one id is also what they carry. A record is turned into its entities in place and all of these
     meet in one shuffle, which an entity that most records name enters with one row from
     each input partition. Of several rows of one id the one with the most fields filled stays.
     """
@@ -134,24 +134,35 @@ def entity_rows(records: DataFrame, only: Sequence[str] | None = None) -> DataFr
         F.struct(
             F.lit(entity).alias("entity"),
             key.alias("id"),
-            *[fields.get(n, _absent(n)).alias(n) for n in names],
+            F.struct(*[fields.get(n, _absent(n)).alias(n) for n in names]).alias("fields"),
         )
         for entity, key, fields in forms
     ]
     exploded = _complete(records).select(F.explode(F.array(*shaped)).alias("e")).select("e.*")
     rows = exploded.where("id IS NOT NULL")
-    gaps = sum((F.col(n).isNull().cast("int") for n in names), F.lit(0))
-    return first_per_key(rows, ["entity", "id"], [gaps, F.struct(*names)])
+    gaps = sum((F.col("fields")[n].isNull().cast("int") for n in names), F.lit(0))
+    return first_per_key(rows, ["entity", "id"], [gaps, F.col("fields")]).select("entity", "id", "fields.*")
+
+
+def dealt(records: DataFrame, at_once: int = 100_000) -> DataFrame:
+    """The records, dealt evenly to as many tasks as leave each about ``at_once`` of them.
+
+    A task sorts all entities of its records, some ten rows a record, and a file of a few
+    megabytes may hold millions of records. They are dealt by number, not by value, so equal
+    ones do not meet.
+    """
+    tasks = -(-records.count() // at_once)
+    return records.repartition(tasks, F.monotonically_increasing_id()) if tasks > 1 else records
 
 
 def fan_out(records: DataFrame, only: Sequence[str] | None = None) -> Mapping[str, DataFrame]:
     """One DataFrame per entity, keyed by ``id``.
 
-    ``entity_rows`` is written once to the scratch folder, a folder an entity, so that each
-    of the frames reads its own rows only.
+    The records are counted and dealt to tasks first. ``entity_rows`` is written once to the
+    scratch folder, a folder an entity, so that each of the frames reads its own rows only.
     """
     columns = {entity: list(fields) for entity, _, fields in _forms()}
-    stored = stored_rows(entity_rows(records, only), partition_by=["entity"])
+    stored = stored_rows(entity_rows(dealt(records), only), partition_by=["entity"])
     return {
         name: stored.where(F.col("entity") == name).select("id", *columns[name])
         for name in (only or columns)
