@@ -59,7 +59,8 @@ def _merge_whole(store, base, single, keys, stamp, looked_at, scratch) -> tuple[
         merged = merge.all_new(base.schema, single, stamp)
     else:
         merged = merge.merge_keyed(store.read(base, buckets=looked_at), single, keys, stamp)
-    added, counted = store.write_with(merged, base, F.col(merge.ACTION))
+    counted: dict = {}
+    added = store.write(merged, base, F.col(merge.ACTION), counted)
     of = {action: sum(n for (_, a), n in counted.items() if a == action) for action in (merge.INSERTED, merge.UPDATED)}
     rewritten = sorted({b for b, a in counted if a in of})
     return of[merge.INSERTED], of[merge.UPDATED], rewritten, {b: p for b, p in added.items() if b in rewritten}

@@ -229,13 +229,15 @@ class BucketStore:
         found = self.spark.read.schema(marked).parquet(*paths).withColumn(SLICE, F.coalesce(SLICE, F.lit(0)))
         return found.where(F.col(SLICE).isin(*slices)).drop(SLICE)
 
-    def write(self, rows: DataFrame, version: Version) -> dict[int, Part]:
-        """Write rows below a folder of their own; the parts are no one's before they are published."""
-        parts, _ = self.write_with(rows, version, F.lit(None).cast("string"))
-        return parts
+    def write(
+        self, rows: DataFrame, version: Version, mark: Column | None = None, counted: dict | None = None
+    ) -> dict[int, Part]:
+        """Write rows below a folder of their own; the parts are no one's before they are published.
 
-    def write_with(self, rows: DataFrame, version: Version, mark: Column) -> tuple[dict[int, Part], dict]:
-        """As ``write``, with a mark of few values beside the rows: also their numbers by bucket and mark."""
+        With a mark of few values beside the rows, ``counted`` takes their numbers by bucket and mark.
+        """
+        mark = F.lit(None).cast("string") if mark is None else mark
+        counted = {} if counted is None else counted
         run = f"data/{uuid.uuid4().hex}"
         names, hexed = version.schema.names, [c for c in HEX if c in version.schema.names]
         dealt = rows.select(
@@ -248,14 +250,14 @@ class BucketStore:
             dealt = dealt.sortWithinPartitions(BUCKET, SLICE)
         dealt.write.partitionBy(BUCKET).option("compression", "zstd").parquet(f"{self.root}/{run}")
         if not [n for n in self._names(run) if n.startswith(BUCKET)]:
-            return {}, {}
+            return {}
         # The bucket is in the folder's name, so the count reads the mark alone.
         stored = self.spark.read.schema(f"{MARK} string, {BUCKET} int").parquet(f"{self.root}/{run}")
-        counted = {(r[BUCKET], r[MARK]): r["count"] for r in stored.groupBy(BUCKET, MARK).count().collect()}
+        counted |= {(r[BUCKET], r[MARK]): r["count"] for r in stored.groupBy(BUCKET, MARK).count().collect()}
         rows_in: dict[int, int] = {}
         for (b, _), n in counted.items():
             rows_in[b] = rows_in.get(b, 0) + n
-        return {b: Part(f"{run}/{BUCKET}={b}", n) for b, n in rows_in.items()}, counted
+        return {b: Part(f"{run}/{BUCKET}={b}", n) for b, n in rows_in.items()}
 
     def history(self) -> DataFrame:
         """version, operation, n_rows, n_parts, n_changed: a row for each version kept."""

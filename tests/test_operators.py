@@ -696,7 +696,7 @@ def test_equal_records_are_dealt_to_many_tasks(spark):
     rows = spark.createDataFrame([{**ART, **RUN}] * 2000, entities.RECORD_SCHEMA).coalesce(1)
     tasks = entities.dealt(rows, 100).groupBy(F.spark_partition_id().alias("task")).count().collect()
     assert sum(r["count"] for r in tasks) == 2000 and max(r["count"] for r in tasks) < 200
-    assert entities.entity_rows(entities.dealt(rows, 100)).count() == 5
+    assert entities.entity_rows(entities.dealt(rows, 100)).count() == 6
     assert entities.dealt(rows, 2000) is rows and entities.dealt(rows.limit(0)).count() == 0
 
 
