@@ -87,12 +87,8 @@ def ship(spark: SparkSession) -> None:
 
 
 @contextmanager
-def arrow_rows(spark: SparkSession, rows: int, bytes_: int = 32 << 20) -> Iterator[None]:
-    """Sends at most so many rows at once to Python workers, and about so many bytes."""
-    keys = {
-        "spark.sql.execution.arrow.maxRecordsPerBatch": str(rows),
-        "spark.sql.execution.arrow.maxBytesPerBatch": str(bytes_),
-    }
+def settings(spark: SparkSession, keys: dict[str, str]) -> Iterator[None]:
+    """Runtime settings that hold within the ``with`` block."""
     before = {key: spark.conf.get(key) for key in keys}
     for key, value in keys.items():
         spark.conf.set(key, value)
@@ -101,3 +97,14 @@ def arrow_rows(spark: SparkSession, rows: int, bytes_: int = 32 << 20) -> Iterat
     finally:
         for key, value in before.items():
             spark.conf.set(key, value)
+
+
+def arrow_rows(spark: SparkSession, rows: int, bytes_: int = 32 << 20):
+    """Sends at most so many rows at once to Python workers, and about so many bytes."""
+    return settings(
+        spark,
+        {
+            "spark.sql.execution.arrow.maxRecordsPerBatch": str(rows),
+            "spark.sql.execution.arrow.maxBytesPerBatch": str(bytes_),
+        },
+    )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,9 +51,9 @@ def has_rows(df: DataFrame) -> bool:
 
 
 def stored_rows(
-    df: DataFrame, path: str | None = None, partition_by: Sequence[str] = ()
+    df: DataFrame, path: str | None = None, partition_by: Sequence[str] = (), options: Mapping[str, str] | None = None
 ) -> DataFrame:
-    """The rows, written once to the scratch folder and read back.
+    """The rows, written once to the scratch folder and read back. ``options``: more of the writer's.
 
     This cuts the plan: what follows neither repeats the work before it nor
     depends on executors that held it, and can count and prune the stored rows.
@@ -62,7 +62,7 @@ def stored_rows(
     path = path or scratch_dir(spark, "rows")
     # Small row groups: the rows are read once or twice more, and even a single
     # file, as an unpartitioned source gives, is then read by several tasks.
-    writer = df.write.mode("errorifexists").option("parquet.block.size", 8 << 20)
+    writer = df.write.mode("errorifexists").option("parquet.block.size", 8 << 20).options(**options or {})
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
@@ -79,10 +79,10 @@ class Scratch:
     def __enter__(self) -> Scratch:
         return self
 
-    def keep(self, df: DataFrame) -> DataFrame:
+    def keep(self, df: DataFrame, options: Mapping[str, str] | None = None) -> DataFrame:
         path = scratch_dir(self.spark, "rows")
         self.paths.append(path)
-        return stored_rows(df, path)
+        return stored_rows(df, path, options=options)
 
     def __exit__(self, *_: object) -> None:
         hadoop = self.spark._jvm.org.apache.hadoop.fs

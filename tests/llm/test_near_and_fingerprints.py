@@ -290,6 +290,78 @@ def test_grid_join_brute_force(spark, grid):
     assert all(r.kept == (i == r.component_id) for i, r in got.items())
 
 
+def _linked_plans(monkeypatch):
+    """The plans of what is stored of the compared pairs, as they ran."""
+    plans, real = [], grid_join.stored_rows
+
+    def stored(df, *args, **options):
+        if df.columns == ["id", "other", "n"]:
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return real(df, *args, **options)
+
+    monkeypatch.setattr(grid_join, "stored_rows", stored)
+    return plans
+
+
+def test_grid_join_copies_no_vector_for_each_partner(spark, monkeypatch):
+    # Spread evenly, so no box tells vectors apart and every block meets every other.
+    rng = np.random.default_rng(11)
+    vectors = rng.normal(size=(300, 16))
+    vectors[200:] = vectors[:100] + 0.1 * rng.normal(size=(100, 16))
+    rows = [(k, list(map(float, v))) for k, v in enumerate(vectors)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    plans, least = _linked_plans(monkeypatch), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = {r.vec_id: (r.n_links, r.component_id) for r in grid_join.near_vectors(table, Grid(block=8, leaf=4, fan=2)).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", least)
+    roots, links = brute_vectors(rows)
+    assert len(links) >= 100 and {i: c for i, (_, c) in got.items()} == roots
+    assert sum(n for n, _ in got.values()) == 2 * len(links)
+    assert len(plans) == 1 and "Exchange" not in plans[0]
+
+
+@pytest.mark.parametrize("partners", [0, 1 << 30])
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_grid_join_shuffled_or_read_in_parts(spark, monkeypatch, partners, kind):
+    rng = np.random.default_rng(12)
+    rows = []
+    for length, n in ((10, 90), (3, 40)):
+        base = rng.normal(size=(n // 3, length)).astype(np.float32)
+        near = base[rng.integers(0, len(base), n)] * (1 + rng.random((n, 1))) + 0.12 * rng.normal(size=(n, length))
+        rows += [(None if k == 5 else len(rows) + k, list(map(float, v.astype(np.float32)))) for k, v in enumerate(near)]
+    rows += [(7_000 + k, rows[0][1]) for k in range(60)]  # more copies than a block holds
+    rows += [(2, rows[20][1]), (7_003, None), (3, [0.0] * 10)]
+    table = spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>").repartition(4)
+    monkeypatch.setattr(grid_join, "_PARTNERS", partners)
+    got = grid_join.near_vectors(table, Grid(block=8, leaf=3, fan=3)).collect()
+    good = [(i, np.array(v) / np.linalg.norm(v)) for i, v in rows if i is not None and v and any(v)]
+    count, links = dict.fromkeys({i for i, _ in rows}, 0), []
+    for (a, x), (b, y) in itertools.combinations(good, 2):
+        if len(x) == len(y) and x @ y >= 0.9:
+            links.append((a, b))
+            count[a] += 1
+            count[b] += 1
+    roots = joined({i for i, _ in rows if i is not None}, links)
+    assert len(got) == len(rows) and {r.vec_id: r.n_links for r in got} == count
+    assert {r.vec_id: r.component_id for r in got} == roots | {None: None}
+
+
+def test_grid_join_bound_passes_every_near_pair():
+    rng = np.random.default_rng(13)
+    x = rng.normal(size=(400, 24))
+    x[200:] = x[:200] + 0.09 * rng.normal(size=(200, 24)) * rng.random((200, 1)) * 3
+    x[300:320] = x[0]
+    units, axes = grid_join.unit_rows(x), np.linalg.qr(rng.normal(size=(24, 24)))[0]
+    near = {(i, j) for i, j in zip(*np.nonzero(units @ units.T >= 0.9), strict=True) if i < j}
+    for n in (1, 8, 24):
+        run = grid_join._Run(np.arange(400).tobytes(), x.tobytes(), np.dtype("float64"), axes[:, :n], Grid(dims=1, leaf=16))
+        found = list(grid_join._candidates(run, run, True, Grid(dims=1, leaf=16, block=64)))
+        pairs = [p for a, b in found for p in zip(a, b, strict=True)]
+        assert len(pairs) == len(set(pairs)) and near <= set(pairs) and (n < 24 or len(pairs) < 2 * len(near))
+
+
 def test_grid_join_odd_tables(spark):
     schema = "vec_id long, embedding array<float>, id long, block long"
     assert grid_join.near_vectors(spark.createDataFrame([], schema)).count() == 0
